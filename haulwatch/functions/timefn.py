@@ -19,6 +19,11 @@ def from_seconds(sec: Column) -> Column:
     return F.timestamp_add("SECOND", sec, F.expr(EPOCH))
 
 
+def time_text(sec: Column) -> Column:
+    """Whole seconds since 1970-01-01 to 'yyyy-MM-dd HH:mm:ss' text."""
+    return F.date_format(from_seconds(sec), TIME_FORMAT)
+
+
 def parse_time(text: Column) -> Column:
     """'yyyy-MM-dd HH:mm:ss' text to timestamp_ntz, null when it is no time."""
     return F.try_to_timestamp(text, F.lit(TIME_FORMAT)).cast("timestamp_ntz")

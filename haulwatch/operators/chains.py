@@ -13,12 +13,14 @@ has three steps, all of them on (key, chunk) groups or on summaries of chunks:
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,9 @@ from haulwatch.operators.ordered import DAY, with_chunk
 
 NONE = -1
 
+# Executors get the functions of this module themselves, not a reference to an installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @dataclass(frozen=True)
 class ChainRule:

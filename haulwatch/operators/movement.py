@@ -48,7 +48,7 @@ def trips(sited: DataFrame, strict: bool = False) -> DataFrame:
         F.max("worked_t").alias("from_site_work_sec"), F.max("leave_t").alias("from_site_leave_sec"),
     ).where(F.col("c").isNotNull())
     model = F.col("c.vehicle_model_id") if "vehicle_model_id" in more else F.lit(None).cast("string")
-    return paired.select(
+    out = paired.select(
         *KEY, *[F.col(f"c.{c}").alias(c) for c in more],
         *[F.col(f"o.{c}").alias(f"from_{c}") for c in site_cols],
         F.col("o.t_sec").alias("from_site_inter_sec"), "from_site_work_sec", "from_site_leave_sec",
@@ -56,6 +56,7 @@ def trips(sited: DataFrame, strict: bool = False) -> DataFrame:
         F.col("c.t_sec").alias("to_site_inter_sec"),
         load_by_model(model).alias("load"), empty_flag(F.col("o.site_flag")).alias("vehicle_empty"),
     )
+    return out.withColumns({c[:-3] + "time": timefn.time_text(F.col(c)) for c in out.columns if c.endswith("_sec")})
 
 
 def vehicle_online_time(tracks: DataFrame) -> DataFrame:

@@ -136,7 +136,7 @@ _SPARK = {
     "SEC": SPARK_SEC,
     "HEX": "hex",
     "BCDTIME": "date_format(ts, 'yyMMddHHmmss')",
-    "XOR": "aggregate(transform(sequence(0, length(bytes) DIV 2 - 1), i -> CAST(conv(substring(bytes, 2 * i + 1, 2), 16, 10) AS INT)), 0, (a, x) -> a ^ x)",
+    "XOR": "transform(array(bytes), b -> aggregate(sequence(0, length(b) DIV 2 - 1), 0, (a, i) -> a ^ CAST(conv(substring(b, 2 * i + 1, 2), 16, 10) AS INT)))[0]",
 }
 _DUCKDB = {
     "SEC": DUCKDB_SEC,

@@ -45,6 +45,11 @@ def _hex_at(text: Column, byte: Column | int, n_bytes: Column | int) -> Column:
     return text.substr(pos * 2 + 1, length * 2)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _number(text: Column) -> Column:
     """Hex text to bigint; null when empty or wider than a long."""
     significant = F.regexp_replace(text, "^0+", "")
@@ -70,20 +75,31 @@ def xor_checksum(text: Column) -> Column:
     step = 14
     blocks = F.ceil(F.length(text) / step).cast("int")
     padded = F.concat(text, F.repeat(F.lit("0"), blocks * step - F.length(text)))
-    folded = F.aggregate(
-        F.sequence(F.lit(0), F.greatest(blocks - 1, F.lit(0))),
-        F.lit(0).cast("long"),
-        lambda acc, i: acc.bitwiseXOR(
-            F.conv(padded.substr(i * step + 1, F.lit(step)), 16, 10).cast("long")
-        ),
-    )
-    out = folded
-    for shift in range(8, 56, 8):
-        out = out.bitwiseXOR(F.shiftright(folded, shift))
-    return out.bitwiseAND(0xFF).cast("int")
 
+    def fold(whole: Column) -> Column:
+        return F.aggregate(
+            F.sequence(F.lit(0), F.greatest((F.length(whole) / step).cast("int") - 1, F.lit(0))),
+            F.lit(0).cast("long"),
+            lambda acc, i: acc.bitwiseXOR(
+                F.conv(whole.substr(i * step + 1, F.lit(step)), 16, 10).cast("long")
+            ),
+        )
+
+    def squeeze(folded: Column) -> Column:
+        out = folded
+        for shift in range(8, 56, 8):
+            out = out.bitwiseXOR(F.shiftright(folded, shift))
+        return out.bitwiseAND(0xFF).cast("int")
+
+    return _let(_let(padded, fold), squeeze)
 
-def _tlv_items(body: Column) -> Column:
+
+def _tlv_items(text: Column) -> Column:
+    """Items of a body, see :func:`_walk_items`."""
+    return _let(text, _walk_items)
+
+
+def _walk_items(body: Column) -> Column:
     """Additional items from byte 28 on. The walk stops at the first item that does not fit;
     the length is a signed byte, so 128 and more stop it as well."""
     size = (F.length(body) / 2).cast("int")
@@ -175,13 +191,13 @@ def alarm_bits(word: Column) -> dict[str, Column]:
 
 def tlv_map(items: Column) -> Column:
     """Items as a map id -> hex payload; the last of equal ids wins."""
-    last = F.filter(
-        items,
-        lambda x, i: ~F.exists(
-            F.slice(items, i + 2, F.greatest(F.size(items), F.lit(1))), lambda y: y["id"] == x["id"]
-        ),
-    )
-    return F.map_from_entries(last)
+    def keep_last(found: Column) -> Column:
+        tail = F.greatest(F.size(found), F.lit(1))
+        return F.filter(
+            found, lambda x, i: ~F.exists(F.slice(found, i + 2, tail), lambda y: y["id"] == x["id"])
+        )
+
+    return F.map_from_entries(_let(items, keep_last))
 
 
 def location_fields(parsed: DataFrame) -> DataFrame:
