@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from haulwatch.functions import geo, timefn
 from haulwatch.operators import enrich
 from haulwatch.operators.chains import ChainRule, greedy_chain
-from haulwatch.operators.ordered import episodes
+from haulwatch.operators.ordered import DAY, episodes
 from haulwatch.operators.proximity import near_sites, with_violations
 
 KEY = ["dept_id", "vehicle_id"]
@@ -58,9 +58,8 @@ def thin_alarms(alarms: DataFrame, key: list[str] | None = None) -> DataFrame:
         F.min_by(F.struct(*[c for c in rest if c != "start_sec"]), "start_event_id").alias("_a")
     ).select(*key, "start_sec", "_a.*").select(*alarms.columns)
     rule = ChainRule(gap=THINNING_SECONDS, other_label=False, reopen="same")
-    kept = greedy_chain(spaced, key, rule, order=("start_sec", "start_event_id")).where(
-        F.col("role") == "open"
-    )
+    order = ("start_sec", "start_event_id")
+    kept = greedy_chain(spaced, key, rule, order=order, width=30 * DAY).where(F.col("role") == "open")
     return kept.select(*alarms.columns).unionByName(per_day)
 
 

@@ -84,8 +84,19 @@ class _Block:
         due = self._skip_label(due, self.label)
         closing = np.minimum(due, self._next(self._resets, index + 1))
         closing = np.where(closing < end, closing, NONE)
-        self.closing = closing
-        self.following = np.where(closing == NONE, NONE, self._reopen(np.maximum(closing, 0)))
+        # What happens after closing at a row, for every row; and where each row's chain closes.
+        self.reopen = self._reopen(index).tolist()
+        self.closing = closing.tolist()
+        self.following = [NONE if j == NONE else self.reopen[j] for j in self.closing]
+        # Per group: first reset, first row that is none, first row that is due for any state,
+        # first row after that with another label.
+        starts, groups = self.starts, np.arange(len(self.starts))
+        self.stop = self._next(self._resets, starts).tolist()
+        self.plain = self._next(self._plain, starts).tolist()
+        late = self._at(groups, self.t[starts] + rule.gap)
+        other = self._skip_label(late, self.label[np.minimum(late, n - 1)])
+        self.late, self.other = late.tolist(), other.tolist()
+        self.from_, self.to = starts.tolist(), self.ends.tolist()
 
     def _next(self, where: np.ndarray, index: np.ndarray) -> np.ndarray:
         pos = np.searchsorted(where, index)
@@ -112,44 +123,32 @@ class _Block:
     def last_openers(self) -> list[int]:
         """For a chain that opens at i: where its last link of the chunk opens."""
         out = list(range(self.n))
-        nxt, closing = self.following.tolist(), self.closing.tolist()
+        nxt, closing = self.following, self.closing
         for i in range(self.n - 1, -1, -1):
             if closing[i] != NONE:
                 out[i] = out[nxt[i]] if nxt[i] != NONE else NONE
         return out
 
     def first_plain(self, g: int) -> int:
-        i = int(self._next(self._plain, np.array([self.starts[g]]))[0])
-        return i if i < self.ends[g] else NONE
-
-    def first_closing(self, g: int, t0: int, label0: str | None) -> int:
-        """Where a state opened before the chunk closes in group g."""
-        s, end = int(self.starts[g]), int(self.ends[g])
-        code = np.array([self._code(label0)])
-        due = self._at(np.array([g]), np.array([max(t0 + self.rule.gap, self._base)]))
-        due = int(self._skip_label(np.maximum(due, s), code)[0])
-        stop = int(self._next(self._resets, np.array([s]))[0])
-        j = min(due, stop)
-        return j if j < end else NONE
-
-    def _code(self, text: str | None) -> int:
-        if text is None:
-            return -1
-        if not hasattr(self, "_codes"):
-            self._codes = {v: c for v, c in zip(self.label_text, self.label)}
-        return self._codes.get(text, -2)
+        return self.plain[g] if self.plain[g] < self.to[g] else NONE
+
+    def entry_closings(self, in_t: np.ndarray, in_label: list) -> list[int]:
+        """Per group, where a state that was open before the chunk closes."""
+        groups = np.arange(len(self.starts))
+        codes = {v: c for v, c in zip(self.label_text, self.label)}
+        code = np.array([-1 if v is None else codes.get(v, -2) for v in in_label])
+        due = np.maximum(self._at(groups, in_t + self.rule.gap), self.starts)
+        due = np.minimum(self._skip_label(due, code), self._next(self._resets, self.starts))
+        return np.where(due < self.ends, due, NONE).tolist()
 
     def listed(self, g: int) -> list[int]:
         """The only rows of group g at which an earlier state can close."""
-        s, end = int(self.starts[g]), int(self.ends[g])
-        stop = int(self._next(self._resets, np.array([s]))[0])
-        late = int(self._at(np.array([g]), np.array([self.t[s] + self.rule.gap]))[0])
-        rows = list(range(s, min(late, end)))
+        end, stop, late = self.to[g], self.stop[g], self.late[g]
+        rows = list(range(self.from_[g], min(late, end)))
         if late < end:
             rows.append(late)
-            other = int(self._skip_label(np.array([late]), self.label[late : late + 1])[0])
-            if self.rule.other_label and other < end:
-                rows.append(other)
+            if self.rule.other_label and self.other[g] < end:
+                rows.append(self.other[g])
         rows = [r for r in rows if r <= stop]
         if stop < end and stop not in rows:
             rows.append(stop)
@@ -157,6 +156,8 @@ class _Block:
 
     def worked_until(self, i: int) -> int | None:
         """Time of the last row with the opener's label less than ``gap`` after it."""
+        if not self.rule.other_label:
+            return None
         limit, end = self.t[i] + self.rule.gap, self.all_ends[self.group[i]]
         last = None
         j = i + 1
@@ -253,7 +254,7 @@ def _summarise(keys: list[str], rule: ChainRule):
                 rows.append((-1, leaving.after(s), None, False, *fresh))
                 source.append(s)
                 for k, j in enumerate(block.listed(g)):
-                    nxt = int(block._reopen(np.array([j]))[0])
+                    nxt = block.reopen[j]
                     state = _state(block, last[nxt] if nxt != NONE else NONE, leaving)
                     rows.append((k, int(block.t[j]), block.label_text[j], bool(block.reset[j]), *state))
                     source.append(s)
@@ -315,36 +316,38 @@ def _walk(keys: list[str], rule: ChainRule, payload: list[str]):
         for table in _blocks(batches, group_cols):
             block = _Block(table, keys, rule)
             leaving = _Leaving(block)
-            entry = {c: table.column(c) for c in ("in_t", "in_seq", "in_label", "in_leave")}
+            heads = table.select(list(ENTRY)).take(pa.array(block.starts)).to_pydict()
+            entered = np.array([0 if v is None else v for v in heads["in_t"]], dtype=np.int64)
+            closings = block.entry_closings(entered, heads["in_label"])
             rows, picked = [], []
             for g, s in enumerate(block.starts.tolist()):
                 if s >= block.ends[g]:
                     continue
-                t0 = entry["in_t"][s].as_py()
+                t0 = heads["in_t"][g]
                 if t0 is None:
                     i = block.first_plain(g)
                 else:
-                    j = block.first_closing(g, t0, entry["in_label"][s].as_py())
+                    j = closings[g]
                     if j == NONE:
                         continue
                     if not block.reset[j]:
-                        leave = entry["in_leave"][s].as_py()
+                        leave = heads["in_leave"][g]
                         if leave is None:
                             leave = leaving.after(s, before=j)
-                        rows.append(("close", t0, entry["in_seq"][s].as_py(), None, leave))
+                        rows.append(("close", t0, heads["in_seq"][g], None, leave))
                         picked.append(j)
-                    i = int(block._reopen(np.array([j]))[0])
+                    i = block.reopen[j]
                 while i != NONE:
                     link = (int(block.t[i]), int(block.seq[i]))
                     rows.append(("open", *link, block.worked_until(i), None))
                     picked.append(i)
-                    j = int(block.closing[i])
+                    j = block.closing[i]
                     if j == NONE:
                         break
                     if not block.reset[j]:
                         rows.append(("close", *link, None, leaving.after(i, before=j)))
                         picked.append(j)
-                    i = int(block.following[i])
+                    i = block.following[i]
             if rows:
                 yield from _emit(table.select([*keys, *payload]).take(pa.array(picked)), rows, LINK)
 
@@ -386,10 +389,10 @@ def greedy_chain(
         base = base.withColumn("_halo", F.lit(False))
     groups = [*keys, "_chunk"]
     spread = base.repartition(*groups)
-    tiny = spread.select(*groups, "_t", "_seq", "_label", "_reset", "_out", "_halo")
     key_fields = [base.schema[c] for c in groups]
 
-    summaries = tiny.sortWithinPartitions(*groups, "_t", "_seq").mapInArrow(
+    # Steps 1 and 3 read the same columns, so that Spark shuffles the rows once for both.
+    summaries = spread.sortWithinPartitions(*groups, "_t", "_seq").mapInArrow(
         _summarise(keys, rule), _spark_type(key_fields, SUMMARY)
     )
     entries = (

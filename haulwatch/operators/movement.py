@@ -40,7 +40,7 @@ def trips(sited: DataFrame, strict: bool = False) -> DataFrame:
         kept = rows.where(~F.col("_outside")).withColumn("_left", F.when(F.col("next._outside"), F.col("next.t_sec")))
     kept = kept.drop("prev", "next")
     rule = ChainRule(gap=TRIP_GAP_SECONDS, other_label=True, reopen="next")
-    links = greedy_chain(kept, KEY, rule, label="site_id", reset="_outside", out="_left")
+    links = greedy_chain(kept, KEY, rule, label="site_id", reset="_outside", out="_left", width=7 * DAY)
     end = F.struct("t_sec", *site_cols, *more)
     paired = links.groupBy(*KEY, "link_t", "link_seq").agg(
         F.max(F.when(F.col("role") == "open", end)).alias("o"),
