@@ -99,6 +99,21 @@ def near_sites(df: DataFrame, sites: DataFrame, radius_m: float = SITE_RADIUS_M)
     return pairs.where(d < radius_m).select(*df.columns, "site_id")
 
 
+def with_near_ids(df: DataFrame, sites: DataFrame, radius_m: float = SITE_RADIUS_M) -> DataFrame:
+    """Adds ``near``: the ids of all sites strictly within the radius, empty when there is none.
+    Like :func:`near_sites`, but one row per position, as a stream needs it."""
+    live = sites.where(F.col("lng").isNotNull() & F.col("lat").isNotNull())
+    if "is_delete" in sites.columns:
+        live = live.where(F.col("is_delete") == 0)
+    entry = F.struct("site_id", "lng", "lat")
+    cells = _near_cells(live.select("dept_id", "site_id", "lng", "lat"), radius_m).groupBy(
+        "dept_id", "_cx", "_cy"
+    ).agg(F.collect_list(entry).alias("_near"))
+    joined = _point_cells(df, SITE_CELL_DEG).join(cells, ["dept_id", "_cx", "_cy"], "left")
+    hits = F.filter(F.coalesce("_near", F.array()), lambda s: _close_to(s, radius_m, True))
+    return joined.select(*df.columns, F.transform(hits, lambda s: s["site_id"]).alias("near"))
+
+
 def _polygon_cells(dim: DataFrame, ring: str, size: float) -> DataFrame:
     """Polygons repeated for every cell of their bounding box."""
     def axis(name: str) -> Column:
