@@ -195,9 +195,12 @@ def inout_dwell(tracks: DataFrame, sites: DataFrame, seconds: int = DWELL_SECOND
     )
 
 
-def hourly_track_counts(tracks: DataFrame) -> DataFrame:
-    """Positions and mean speed per department and hour."""
-    hour = F.window("ts", "1 hour")
-    return tracks.groupBy("dept_id", hour.alias("_w")).agg(
+def hourly_track_counts(tracks: DataFrame, late: str | None = None) -> DataFrame:
+    """Positions and summed speed per department and hour. On a stream, ``late`` is how far the
+    watermark stays behind; hours are final once it has passed them."""
+    rows = tracks.withColumn("_at", F.timestamp_seconds("t_sec"))
+    if late is not None:
+        rows = rows.withWatermark("_at", late)
+    return rows.groupBy("dept_id", F.window("_at", "1 hour").alias("_w")).agg(
         F.count(F.lit(1)).alias("positions"), F.sum("speed").alias("speed_sum")
-    ).select("dept_id", timefn.epoch_seconds(F.col("_w.start")).alias("hour_sec"), "positions", "speed_sum")
+    ).select("dept_id", F.unix_seconds("_w.start").alias("hour_sec"), "positions", "speed_sum")

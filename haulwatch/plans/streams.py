@@ -14,6 +14,7 @@ from haulwatch.streaming import machines
 from haulwatch.streaming.stateful import run_machine
 
 KEY = ["dept_id", "vehicle_id"]
+# Alarm states need to be kept for two days at most; see run_machine for when to drop them.
 TWO_DAYS = 2 * 86400
 
 # Trigger interval of each job.
@@ -33,26 +34,26 @@ def trips(bus: DataFrame, sites: DataFrame, strict: bool = False) -> DataFrame:
     return out.withColumn("vehicle_empty", clean.empty_flag(F.col("from_site_flag")))
 
 
-def fence_alarms(bus: DataFrame, rules: DataFrame) -> DataFrame:
+def fence_alarms(bus: DataFrame, rules: DataFrame, idle_seconds: int | None = None) -> DataFrame:
     marked = proximity.with_violations(clean.admitted(bus), rules)
     codes = F.array_distinct(F.transform("violations", lambda v: v["illegal_type_code"]))
-    return run_machine(marked.withColumn("codes", codes), machines.EpisodeMachine(codes="codes"), KEY, TWO_DAYS)
+    return run_machine(marked.withColumn("codes", codes), machines.EpisodeMachine(codes="codes"), KEY, idle_seconds)
 
 
-def gps_incomplete_alarms(bus: DataFrame) -> DataFrame:
+def gps_incomplete_alarms(bus: DataFrame, idle_seconds: int | None = None) -> DataFrame:
     standing = F.when(F.col("speed") == 0, True).when(F.col("speed") > 0, False)
     machine = machines.EpisodeMachine(code=alarms.GPS_INCOMPLETE, offends="standing", jump_m=alarms.GPS_JUMP_M)
-    return run_machine(clean.admitted(bus).withColumn("standing", standing), machine, KEY, TWO_DAYS)
+    return run_machine(clean.admitted(bus).withColumn("standing", standing), machine, KEY, idle_seconds)
 
 
-def off_route_alarms(bus: DataFrame) -> DataFrame:
+def off_route_alarms(bus: DataFrame, idle_seconds: int | None = None) -> DataFrame:
     points = alarms.off_route_points(clean.admitted(bus))
-    return run_machine(points, machines.EpisodeMachine(code=alarms.OFF_ROUTE, offends="off_route"), KEY, TWO_DAYS)
+    return run_machine(points, machines.EpisodeMachine(code=alarms.OFF_ROUTE, offends="off_route"), KEY, idle_seconds)
 
 
-def no_register_alarms(bus: DataFrame) -> DataFrame:
+def no_register_alarms(bus: DataFrame, idle_seconds: int | None = None) -> DataFrame:
     missing = clean.admitted(bus).withColumn("offends", F.col("register_card_state") == 0)
-    return run_machine(missing, machines.DailyAlarmMachine(), KEY, TWO_DAYS)
+    return run_machine(missing, machines.DailyAlarmMachine(), KEY, idle_seconds)
 
 
 def online_time(bus: DataFrame) -> DataFrame:

@@ -52,8 +52,9 @@ def run_machine(
 ) -> DataFrame:
     """Rows the machine emits for a stream of positions with ``t_sec`` and ``event_id``.
 
-    With ``idle_seconds`` the state of a vehicle that sent nothing for so long (by the clock) is
-    dropped. Alarm states need two days at most; trips and dwell visits have no natural limit."""
+    The state of a vehicle is a few numbers, so by default it is kept. With ``idle_seconds`` the
+    state of a vehicle that sent nothing for so long, by the clock, is dropped; such a query always
+    has a next micro-batch, so run it with a processing-time trigger, not with ``availableNow``."""
     emitted = StructType.fromDDL(machine.output)
     result = StructType([StructField(k, df.schema[k].dataType) for k in keys] + emitted.fields)
     rows = df.select(*keys, "t_sec", "event_id", *[c for c in machine.columns if c not in ("t_sec", "event_id")])
@@ -63,9 +64,3 @@ def run_machine(
         step, result, STATE, "append", timeout
     )
 
-
-def hourly_counts(df: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Positions per department and hour; hours are final once the watermark has passed them."""
-    from haulwatch.operators.movement import hourly_track_counts
-
-    return hourly_track_counts(df.withWatermark("ts", late))

@@ -12,9 +12,16 @@ from haulwatch.sources import messages
 from haulwatch.sources.derived import view
 from haulwatch.streaming import sinks
 from haulwatch.streaming.dims import RefreshedDim, per_batch
-from haulwatch.streaming.stateful import hourly_counts
 
-N_FILES = 4
+N_FILES = 3
+
+
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 @pytest.fixture(scope="module")
@@ -134,7 +141,7 @@ def test_late_rows_are_ignored(spark, tracks, tmp_path):
 
 
 def test_hourly_counts_with_watermark(spark, tracks, in_order, tmp_path):
-    counts = hourly_counts(stream(spark, in_order, tracks.schema), "1 hour")
+    counts = movement.hourly_track_counts(stream(spark, in_order, tracks.schema), "1 hour")
     done, _ = run(spark, counts, tmp_path)
     want = {tuple(r) for r in movement.hourly_track_counts(tracks).select("dept_id", "hour_sec", "positions").collect()}
     got = [tuple(r) for r in done.select("dept_id", "hour_sec", "positions").collect()]
