@@ -50,17 +50,17 @@ def thin_alarms(alarms: DataFrame, key: list[str] | None = None) -> DataFrame:
     key = key or [*KEY, "illegal_type_code"]
     daily = F.col("illegal_type_code") == DOCUMENT_CONTROL
     rest = [c for c in alarms.columns if c not in key]
-    per_day = alarms.where(daily).groupBy(*key, timefn.day_number(F.col("start_sec")).alias("_d")).agg(
+    # Both rules on one clock: for daily alarms a day counts as one thinning interval, so that
+    # the first alarm of each day is exactly one interval or more after the one before.
+    day_clock = timefn.day_number(F.col("start_sec")).cast("long") * THINNING_SECONDS
+    clock = F.when(daily, day_clock).otherwise(F.col("start_sec"))
+    # Of alarms at the same clock time only the first can be kept.
+    first = alarms.groupBy(*key, clock.alias("_clock")).agg(
         F.min_by(F.struct(*rest), F.struct("start_sec", "start_event_id")).alias("_a")
-    ).select(*key, "_a.*").select(*alarms.columns)
-    # Of alarms that start in the same second only the first can be kept.
-    spaced = alarms.where(~daily).groupBy(*key, "start_sec").agg(
-        F.min_by(F.struct(*[c for c in rest if c != "start_sec"]), "start_event_id").alias("_a")
-    ).select(*key, "start_sec", "_a.*").select(*alarms.columns)
+    ).select(*key, "_clock", "_a.*")
     rule = ChainRule(gap=THINNING_SECONDS, other_label=False, reopen="same")
-    order = ("start_sec", "start_event_id")
-    kept = greedy_chain(spaced, key, rule, order=order, width=30 * DAY).where(F.col("role") == "open")
-    return kept.select(*alarms.columns).unionByName(per_day)
+    kept = greedy_chain(first, key, rule, order=("_clock", "start_event_id"), width=30 * DAY)
+    return kept.where(F.col("role") == "open").select(*alarms.columns)
 
 
 def fence_candidates(tracks: DataFrame, rules: DataFrame) -> DataFrame:

@@ -157,7 +157,8 @@ def frame_messages(spark, folder):
     place = (spark.sparkContext.applicationId, folder)
     if place not in _STORED:
         path = new_shared_path(spark, "frames")
-        view(spark, folder, "v_frame").write.parquet(path)
+        tasks = spark.sparkContext.defaultParallelism
+        view(spark, folder, "v_frame").repartition(tasks).write.parquet(path)
         _STORED[place] = path
     return spark.read.schema("event_id long, frame string").parquet(_STORED[place])
 

@@ -128,12 +128,33 @@ def _walk_items(body: Column) -> Column:
     return F.aggregate(walk, start, step)["items"]
 
 
+def _reject_reason(frame_col: str) -> Column:
+    """Why a frame cannot be decoded, from its text and lengths alone: the filter on it is pushed
+    below everything else, so it must not drag the other columns along."""
+    frame = F.col(frame_col)
+
+    def check(hexa: Column) -> Column:
+        size = F.length(hexa) / 2
+        props = _word(hexa, 2, 2)
+        start = F.when(props.bitwiseAND(0x2000) > 0, 16).otherwise(12)
+        body = props.bitwiseAND(0x3FF)
+        return (
+            F.when(hexa.isNull(), "not_hex")
+            .when(size < 12, "short_header")
+            .when(start + body > size, "short_frame")
+            .when(body < BODY_FIXED_BYTES, "short_body")
+        )
+
+    raw = F.lower(frame)
+    hexa = F.when((F.length(raw) % 2 == 0) & raw.rlike("^[0-9a-f]+$"), raw)
+    return F.when(frame.isNull() | (frame == ""), "empty").otherwise(_let(hexa, check))
+
+
 def parse_frames(df: DataFrame, frame_col: str = "frame") -> DataFrame:
     """Adds ``header``, ``body`` (hex), ``checksum``, ``checksum_ok`` and ``reject_reason``
     (null for a frame that decodes). The checksum is reported, not enforced."""
     raw = F.lower(F.col(frame_col))
-    is_hex = F.coalesce(raw.rlike("^([0-9a-f]{2})+$"), F.lit(False))
-    df = df.withColumn("_hex", F.when(is_hex, raw))
+    df = df.withColumn("_hex", F.when((F.length(raw) % 2 == 0) & raw.rlike("^[0-9a-f]+$"), raw))
     hexa = F.col("_hex")
     long_enough = F.length(hexa) >= 24
     df = df.withColumn("_props", F.when(long_enough, _word(hexa, 2, 2)))
@@ -169,15 +190,8 @@ def parse_frames(df: DataFrame, frame_col: str = "frame") -> DataFrame:
             ),
         }
     )
-    reason = (
-        F.when(F.col(frame_col).isNull() | (F.col(frame_col) == ""), "empty")
-        .when(hexa.isNull(), "not_hex")
-        .when(F.col("header").isNull(), "short_header")
-        .when(F.col("body").isNull(), "short_frame")
-        .when(F.length("body") < BODY_FIXED_BYTES * 2, "short_body")
-    )
     return df.withColumns(
-        {"checksum_ok": F.col("checksum") == F.col("_sum"), "reject_reason": reason}
+        {"checksum_ok": F.col("checksum") == F.col("_sum"), "reject_reason": _reject_reason(frame_col)}
     ).drop("_hex", "_props", "_sum")
 
 
@@ -212,9 +226,14 @@ def location_fields(parsed: DataFrame) -> DataFrame:
             "tlv": tlv_map(_tlv_items(body)),
         }
     )
-    mileage = _number(F.try_element_at("tlv", F.lit(TLV_MILEAGE)))
-    fuel_raw = F.try_element_at("tlv", F.lit(TLV_FUEL))
-    fuel = (_number(fuel_raw) / 10).cast("string")
+    mileage = _let(
+        _let(F.try_element_at("tlv", F.lit(TLV_MILEAGE)), _number),
+        lambda v: F.when(v.isNotNull(), F.format_string("%.2f", v / 10.0)).otherwise("0"),
+    )
+    fuel = _let(
+        F.try_element_at("tlv", F.lit(TLV_FUEL)),
+        lambda v: F.when(v.isNotNull(), F.coalesce((_number(v) / 10).cast("string"), F.lit(""))),
+    )
     state = state_bits(F.col("state_word"))
     alarm = alarm_bits(F.col("alarm_word"))
     ts = F.try_to_timestamp(
@@ -231,10 +250,8 @@ def location_fields(parsed: DataFrame) -> DataFrame:
             "gpsflag": state["located"],
             "accflag": state["acc"],
             "auxiliaryflag": F.lit(0),
-            "gpsdistance": F.when(
-                mileage.isNotNull(), F.format_string("%.2f", mileage / 10.0)
-            ).otherwise("0"),
-            "mainoilper": F.when(fuel_raw.isNotNull(), F.coalesce(fuel, F.lit(""))),
+            "gpsdistance": mileage,
+            "mainoilper": fuel,
             "sharpturn": alarm["sharp_turn"],
             "brake": alarm["hard_brake"],
         }
