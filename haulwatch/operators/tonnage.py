@@ -9,13 +9,15 @@ MEASURES = ["build_sum", "build_count", "disposal_sum", "disposal_count"]
 SITE_KEYS = ["area_id1", "area_id2", "area_id3", "site_id", "site_name", "dept_id"]
 
 
-def _site_stats(trips: DataFrame, flags: list[int], prefix: str, own: str, other: str) -> DataFrame:
+def _site_stats(
+    trips: DataFrame, flags: list[int], prefix: str, own: str, other: str, flag: str = "s_site_flag"
+) -> DataFrame:
     site = {
         f"{prefix}_site_province_id": "area_id1", f"{prefix}_site_city_id": "area_id2",
         f"{prefix}_site_area_id": "area_id3", f"{prefix}_site_id": "site_id",
         f"{prefix}_site_name": "site_name",
     }
-    picked = trips.where(F.col("s_site_flag").isin(flags))
+    picked = trips.where(F.col(flag).isin(flags))
     keys = [F.col(c).cast("string").alias(a) for c, a in site.items()]
     stats = picked.groupBy(*keys, "dept_id").agg(
         F.sum("load").alias(f"{own}_sum"), F.count("load").alias(f"{own}_count")
@@ -32,10 +34,11 @@ def build_stats(trips: DataFrame) -> DataFrame:
     return _site_stats(trips, [1, 3], "s", "build", "disposal")
 
 
-def disposal_stats(trips: DataFrame) -> DataFrame:
+def disposal_stats(trips: DataFrame, flag_side: str = "start") -> DataFrame:
     """Tonnes and loads by end site of trips whose *start* flag is 2 or 4: the published
-    definition of the disposal figure."""
-    return _site_stats(trips, [2, 4], "e", "disposal", "build")
+    definition of the disposal figure. ``flag_side='end'`` looks at the end flag instead."""
+    flag = "s_site_flag" if flag_side == "start" else "e_site_flag"
+    return _site_stats(trips, [2, 4], "e", "disposal", "build", flag)
 
 
 def build_disposal_daily(trips: DataFrame) -> DataFrame:

@@ -28,6 +28,9 @@ _LNG = (
     "CAST(113.60 AS DOUBLE) + CAST((event_id*7919) % 40 AS DOUBLE) * CAST(0.002 AS DOUBLE)"
 )
 
+# The five keys of ``region``, which stand for departments.
+DEPARTMENTS = range(5)
+
 VIEWS = {
     "v_track": f"""
 SELECT event_id, user_id AS vehicle_id, CAST(user_id % 5 AS INT) AS dept_id, ts, {{SEC}} AS t_sec,
@@ -55,12 +58,16 @@ SELECT c_custkey % 100 AS vehicle_id, c_custkey AS version, c_name AS car_card_n
 FROM {customer}""",
     "v_service_fee": """
 SELECT CAST(c_custkey % 5 AS INT) AS dept_id, c_custkey AS vehicle_id, CAST(CASE WHEN c_custkey % 6 = 0 THEN 1 ELSE 0 END AS INT) AS state FROM {customer}""",
-    "v_driver": """
-SELECT CAST(d AS INT) AS dept_id, k AS driver_id, concat('D', CAST(k AS STRING), '-', CAST(d AS STRING)) AS driver_card_number,
- concat('driver ', CAST(k AS STRING)) AS driver_name
-FROM (SELECT r_regionkey AS d, n_nationkey AS k FROM {region} CROSS JOIN {nation} WHERE n_nationkey < 8) x""",
-    "v_enterprise": """
-SELECT r_regionkey AS dept_id, n_nationkey AS enterprise_id, n_name AS enterprise_name, CAST(n_regionkey AS STRING) AS province_id FROM {nation} CROSS JOIN {region} WHERE n_nationkey < 20""",
+    "v_driver": " UNION ALL ".join(
+        f"SELECT CAST({d} AS INT) AS dept_id, n_nationkey AS driver_id, concat('D', CAST(n_nationkey AS STRING), '-{d}') AS driver_card_number,"
+        " concat('driver ', CAST(n_nationkey AS STRING)) AS driver_name FROM {nation} WHERE n_nationkey < 8"
+        for d in DEPARTMENTS
+    ),
+    "v_enterprise": " UNION ALL ".join(
+        f"SELECT CAST({d} AS INT) AS dept_id, n_nationkey AS enterprise_id, n_name AS enterprise_name,"
+        " CAST(n_regionkey AS STRING) AS province_id FROM {nation} WHERE n_nationkey < 20"
+        for d in DEPARTMENTS
+    ),
     "v_register_card": """
 SELECT dept_id, vehicle_id, card_id, disposal_site_id, state, coords FROM (
  SELECT CAST(c_custkey % 5 AS INT) AS dept_id, c_custkey AS vehicle_id, c_custkey*2 AS card_id, (c_custkey % 5) + 5 * (c_custkey % 2) AS disposal_site_id, CAST(CASE WHEN c_custkey % 8 = 0 THEN 1 ELSE 0 END AS INT) AS state, '[[[113.60,34.70],[113.62,34.72]]]' AS coords FROM {customer} WHERE c_custkey % 3 <> 0
@@ -72,7 +79,7 @@ SELECT s_suppkey AS site_id, s_name AS site_name, CAST(s_suppkey % 5 AS INT) AS
  CAST(113.60 AS DOUBLE) + CAST((s_suppkey*31) % 40 AS DOUBLE) * CAST(0.002 AS DOUBLE) AS lng, CAST(34.70 AS DOUBLE) + CAST((s_suppkey*17) % 40 AS DOUBLE) * CAST(0.002 AS DOUBLE) AS lat, CAST(CASE WHEN s_suppkey % 17 = 16 THEN 1 ELSE 0 END AS INT) AS is_delete FROM {supplier}""",
     "v_area": """
 SELECT r_regionkey AS dept_id, r_regionkey*10 + k AS id, concat(r_name, '-', CAST(k AS STRING)) AS city_name, CAST(CASE WHEN r_regionkey = 4 AND k = 1 THEN 0 ELSE 1 END AS INT) AS state,
- CASE k WHEN 0 THEN '113.599,34.699;113.599,34.739;113.639,34.739;113.639,34.699' ELSE '113.621,34.721;113.621,34.785;113.685,34.753' END AS coords FROM {region} CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 AS k) z""",
+ CASE k WHEN 0 THEN '113.599,34.699;113.599,34.739;113.639,34.739;113.639,34.699' ELSE '113.621,34.721;113.621,34.785;113.685,34.753' END AS coords FROM (SELECT *, 0 AS k FROM {region} UNION ALL SELECT *, 1 AS k FROM {region}) z""",
     "v_boundary": """
 SELECT n_nationkey AS id, concat('fence-', CAST(n_nationkey AS STRING)) AS name, concat('a', CAST(n_nationkey % 3 AS STRING)) AS area_id,
  CASE n_nationkey % 5 WHEN 0 THEN '[[113.599,34.699],[113.599,34.739],[113.639,34.739],[113.639,34.699]]' ELSE '[[113.621,34.721],[113.621,34.785],[113.685,34.753]]' END AS coords FROM {nation}""",
@@ -92,10 +99,12 @@ SELECT condition_id, dept_id, fence_flag, CAST(CASE WHEN fence_flag = 1 THEN 20.
  concat('fence-', CAST(condition_id AS STRING)) AS name,
  CASE dept_id WHEN 0 THEN '[[113.599,34.699],[113.599,34.739],[113.639,34.739],[113.639,34.699]]' ELSE '[[113.621,34.721],[113.621,34.785],[113.685,34.753]]' END AS coords
 FROM (SELECT n_nationkey AS condition_id, n_nationkey % 5 AS dept_id, CAST(((n_nationkey - n_nationkey % 5) / 5) AS INT) + 1 AS fence_flag FROM {nation}) f""",
-    "v_score": """
-SELECT CAST(r_regionkey AS INT) AS dept_id, code AS illegal_type_code, concat('type ', code) AS illegal_type_short_desc,
- CAST(w AS DOUBLE) AS enterprise_score, CAST(w * 2 AS DOUBLE) AS vehicle_score, CAST(w + r_regionkey AS DOUBLE) AS driver_score
-FROM {region} CROSS JOIN (SELECT '0118' AS code, 3 AS w UNION ALL SELECT '0110', 2 UNION ALL SELECT '0115', 5 UNION ALL SELECT '0112', 1) z WHERE r_regionkey < 4""",
+    "v_score": " UNION ALL ".join(
+        f"SELECT CAST(r_regionkey AS INT) AS dept_id, '{code}' AS illegal_type_code, 'type {code}' AS illegal_type_short_desc,"
+        f" CAST({w} AS DOUBLE) AS enterprise_score, CAST({w * 2} AS DOUBLE) AS vehicle_score, CAST({w} + r_regionkey AS DOUBLE) AS driver_score"
+        " FROM {region} WHERE r_regionkey < 4"
+        for code, w in (("0118", 3), ("0110", 2), ("0115", 5), ("0112", 1))
+    ),
     "v_area_name": """
 SELECT id, area_name FROM (SELECT concat('c', CAST(n_nationkey AS STRING)) AS id, concat('city ', n_name) AS area_name FROM {nation}
  UNION ALL SELECT CAST(r_regionkey AS STRING), concat('province ', r_name) FROM {region}) z""",
