@@ -15,6 +15,8 @@ from haulwatch.functions import geo, timefn
 
 SITE_RADIUS_M = 500.0
 SITE_CELL_DEG = 0.01
+# Small enough that a site near the middle of a cell has all of the cell within 500 m.
+FIRST_SITE_CELL_DEG = 0.004
 AREA_CELL_DEG = 0.05
 
 # Alarm code of a violated rule by fence flag.
@@ -29,7 +31,7 @@ def all_sites(build: DataFrame, disposal: DataFrame) -> DataFrame:
     )
 
 
-def _near_cells(sites: DataFrame, radius_m: float) -> DataFrame:
+def _near_cells(sites: DataFrame, radius_m: float, size: float = SITE_CELL_DEG) -> DataFrame:
     """Sites repeated for every cell that a point within the radius can lie in. A degree of
     longitude shrinks towards the poles, so the reach in x grows with 1/cos(lat)."""
     reach_y = radius_m / geo.METRES_PER_DEGREE
@@ -39,7 +41,7 @@ def _near_cells(sites: DataFrame, radius_m: float) -> DataFrame:
     def span(coord: str, reach: Column) -> Column:
         return F.explode(
             F.sequence(
-                geo.cell(F.col(coord) - reach, SITE_CELL_DEG), geo.cell(F.col(coord) + reach, SITE_CELL_DEG)
+                geo.cell(F.col(coord) - reach, size), geo.cell(F.col(coord) + reach, size)
             )
         )
 
@@ -65,6 +67,25 @@ def _first_at_place(sites: DataFrame, order: list[str]) -> DataFrame:
     ).select("dept_id", "lng", "lat", "_s.*")
 
 
+def _possible_firsts(sites: DataFrame, radius_m: float, size: float) -> DataFrame:
+    """(site, cell) pairs in which the site can be some position's first match. A site within
+    the radius of the whole cell ends the list of that cell: all positions in it match there at
+    the latest. Cells amid a crowd of sites so get short lists; a cell at the rim of one, which no
+    site has within its radius as a whole, keeps all sites that reach into it."""
+    pairs = _near_cells(sites, radius_m, size)
+    corners = [
+        geo.distance_m(F.col("lng"), F.col("lat"), (F.col("_cx") + dx) * size, (F.col("_cy") + dy) * size)
+        for dx in (0, 1) for dy in (0, 1)
+    ]
+    rank = F.struct("site_flag", "site_id")
+    cell_key = ["dept_id", "_cx", "_cy"]
+    # One metre of slack keeps rounding at the corners on the safe side.
+    whole = pairs.where(F.greatest(*corners) <= radius_m - 1.0)
+    stops = whole.groupBy(*cell_key).agg(F.min(rank).alias("_stop"))
+    kept = pairs.join(stops, cell_key, "left")
+    return kept.where(F.col("_stop").isNull() | (rank <= F.col("_stop"))).drop("_stop")
+
+
 def with_site(df: DataFrame, sites: DataFrame, radius_m: float = SITE_RADIUS_M) -> DataFrame:
     """Adds the first site, by (flag, id), within the radius in the same department; null
     columns when there is none. The radius is a parameter, sites' own radius is not used."""
@@ -75,10 +96,10 @@ def with_site(df: DataFrame, sites: DataFrame, radius_m: float = SITE_RADIUS_M)
     live = _first_at_place(live.select("dept_id", *attrs), ["site_flag", "site_id"])
     lead = ["site_flag", "site_id"]
     entry = F.struct(*lead, *[a for a in attrs if a not in lead])
-    cells = _near_cells(live, radius_m).groupBy("dept_id", "_cx", "_cy").agg(
+    cells = _possible_firsts(live, radius_m, FIRST_SITE_CELL_DEG).groupBy("dept_id", "_cx", "_cy").agg(
         F.array_sort(F.collect_list(entry)).alias("_near")
     )
-    joined = _point_cells(df, SITE_CELL_DEG).join(cells, ["dept_id", "_cx", "_cy"], "left")
+    joined = _point_cells(df, FIRST_SITE_CELL_DEG).join(cells, ["dept_id", "_cx", "_cy"], "left")
     first = F.get(F.filter("_near", lambda s: _close_to(s, radius_m, False)), F.lit(0))
     out = joined.withColumn("_site", first)
     named = {a: a if a.startswith("site_") else "site_" + a for a in attrs}
