@@ -147,3 +147,21 @@ def test_point_in_time_partition(spark, small):
 
     assert day_partition(dt.date(2024, 3, 1), -1) == {"month_id": "2024-02", "day_id": "29"}
     assert view(spark, small, "v_track").count() > 0
+
+
+def test_sql_functions(spark, small):
+    from haulwatch.functions import sql
+
+    sql.register(spark)
+    tracks = view(spark, small, "v_track")
+    tracks.createOrReplaceTempView("sql_tracks")
+    got = spark.sql(
+        "SELECT event_id, round(distance_m(lng, lat, 113.6D, 34.7D), 4) AS d,"
+        " in_time_range(second_of_day(t_sec), clock_seconds('22:00'), clock_seconds('06:00:00')) AS n FROM sql_tracks"
+    )
+    d = geo.distance_m(F.col("lng"), F.col("lat"), F.lit(113.6), F.lit(34.7))
+    want = tracks.select(
+        "event_id", F.round(d, 4).alias("d"),
+        timefn.in_time_range(F.col("t_sec"), F.lit("22:00"), F.lit("06:00:00")).alias("n"),
+    )
+    assert got.exceptAll(want).count() == 0 and got.count() == tracks.count()
