@@ -11,11 +11,10 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
 HEADLINE = [
-    "build_disposal_daily", "area_rollup", "cumulative_amount", "rank_by_type", "rank_by_enterprise",
-    "rank_grouping_sets", "score_pivot_vehicle", "tracks_bd09", "decode_frames", "data_bus", "join_site_500m",
-    "join_region", "fence_violations", "trips", "trips_strict", "gps_incomplete_alarms", "fence_alarms",
-    "off_route_alarms", "no_register_alarms", "vehicle_online_time", "vehicle_current_state", "stop_episodes",
-    "inout_dwell", "illegal_disposal", "hourly_track_counts",
+    "build_disposal_daily", "cumulative_amount", "rank_by_type", "rank_grouping_sets", "tracks_bd09",
+    "decode_frames", "data_bus", "join_site_500m", "join_region", "fence_violations", "trips",
+    "gps_incomplete_alarms", "fence_alarms", "no_register_alarms", "vehicle_online_time",
+    "vehicle_current_state", "stop_episodes", "inout_dwell", "hourly_track_counts",
 ]
 
 
