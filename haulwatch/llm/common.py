@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,15 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Rows of the driver as a local relation: Spark knows its size, and so when it can be broadcast."""
+    frame = spark.createDataFrame([], schema)
+    columns = zip(*rows) if rows else [[] for _ in frame.columns]
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "string": pa.string()}
+    arrays = [pa.array(list(c), kinds[kind]) for c, (_, kind) in zip(columns, frame.dtypes)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=frame.columns))
+
+
 def body(text: str = "text") -> Column:
     """The text, a null one as the empty text."""
     return F.coalesce(F.col(text).cast("string"), F.lit(""))

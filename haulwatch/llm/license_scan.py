@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwatch.llm.common import body, documents
+from haulwatch.llm.common import body, documents, small_table
 
 # Beginnings of words that have two spellings, after lower case.
 SPELLINGS = (
@@ -107,7 +107,7 @@ def known_licenses(spark: SparkSession) -> DataFrame:
     rows = list(TEXTS)
     rows += [(license_id, notice.format(name)) for license_id, names in NAMES.items() for name in names
              for notice in NOTICES]
-    return spark.createDataFrame(rows, "license_id string, text string")
+    return small_table(spark, rows, "license_id string, text string")
 
 
 def canonical_lines(text: Column) -> Column:
