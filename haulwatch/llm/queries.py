@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from haulwatch.llm import exact_dedup, license_scan, line_dedup, mixing, packing, quality_rules
+from haulwatch.llm import (
+    exact_dedup, license_scan, line_dedup, mixing, packing, quality_crf, quality_rules, secret_scan,
+)
 
 QUERIES = {
+    "op1_secret_scan": secret_scan.op1_secret_scan,
     "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_source_mixing": mixing.op4_source_mixing,
+    "op5_quality_crf": quality_crf.op5_quality_crf,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op10_license_scan": license_scan.op10_license_scan,
