@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from haulwatch.llm import (
     exact_dedup, license_scan, line_dedup, mixing, near_dedup, packing, quality_crf, quality_rules, secret_scan,
+    substring_dedup,
 )
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_minmax_near_dedup": near_dedup.op8_minmax_near_dedup,
+    "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_license_scan": license_scan.op10_license_scan,
 }
 ORACLES = {
