@@ -79,7 +79,8 @@ def bd_to_gcj(lng: Column, lat: Column) -> tuple[Column, Column]:
 
 
 def polygon_from_text(text: Column) -> Column:
-    """'lon,lat;lon,lat;...' to array<struct<x,y>>; vertices that are no numbers become null."""
+    """'lon,lat;lon,lat;...' to array<struct<x,y>>; empty parts, as behind a last ';', are none, and
+    vertices that are no numbers become null."""
     def vertex(part: Column) -> Column:
         xy = F.split(part, ",")
         return F.struct(
@@ -87,7 +88,7 @@ def polygon_from_text(text: Column) -> Column:
             F.get(xy, F.lit(1)).try_cast("double").alias("y"),
         )
 
-    return F.transform(F.split(text, ";"), vertex)
+    return F.transform(F.filter(F.split(text, ";"), lambda part: F.trim(part) != ""), vertex)
 
 
 def polygon_from_json(text: Column) -> Column:

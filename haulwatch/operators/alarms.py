@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from haulwatch.functions import geo, timefn
 from haulwatch.operators import enrich
 from haulwatch.operators.chains import ChainRule, greedy_chain
-from haulwatch.operators.ordered import DAY, episodes
-from haulwatch.operators.proximity import near_sites, with_violations
+from haulwatch.operators.ordered import DAY, episodes, timed
+from haulwatch.operators.proximity import audited_disposal, with_near_ids, with_violations
 
 KEY = ["dept_id", "vehicle_id"]
 
@@ -28,6 +28,7 @@ ILLEGAL_DISPOSAL = "0123"
 MIN_EPISODE_SECONDS = 240  # more than three whole minutes
 THINNING_SECONDS = 7200
 GPS_JUMP_M = 2000.0
+FENCE = ["fence_flag", "fence_id", "fence_name", "fence_area_id"]
 
 
 def _candidates(paired: DataFrame, code: Column | None = None, extra: list[str] | None = None) -> DataFrame:
@@ -72,10 +73,9 @@ def fence_candidates(tracks: DataFrame, rules: DataFrame) -> DataFrame:
     )
     breaks = F.col("illegal_type_code").isNotNull()
     paired = episodes(
-        rows, KEY, breaks, ~breaks, ["fence_flag", "fence_id", "fence_name", "lng", "lat"],
-        by=["illegal_type_code"],
+        rows, KEY, breaks, ~breaks, [*FENCE, "lng", "lat"], by=["illegal_type_code"],
     )
-    return _candidates(paired, extra=["fence_flag", "fence_id", "fence_name"])
+    return _candidates(paired, extra=FENCE)
 
 
 def fence_alarms(tracks: DataFrame, rules: DataFrame) -> DataFrame:
@@ -85,7 +85,7 @@ def fence_alarms(tracks: DataFrame, rules: DataFrame) -> DataFrame:
 def gps_incomplete_candidates(tracks: DataFrame) -> DataFrame:
     """Standing still, then moving again somewhere else."""
     speed = F.col("speed")
-    paired = episodes(tracks.where(F.col("t_sec").isNotNull()), KEY, speed == 0, speed > 0, ["lng", "lat"])
+    paired = episodes(tracks, KEY, speed == 0, speed > 0, ["lng", "lat"])
     found = _candidates(paired, F.lit(GPS_INCOMPLETE))
     jump = geo.distance_m(
         F.col("alarm_end_lng"), F.col("alarm_end_lat"), F.col("alarm_start_lng"), F.col("alarm_start_lat")
@@ -118,7 +118,7 @@ def off_route_alarms(tracks: DataFrame) -> DataFrame:
 def no_register_alarms(tracks: DataFrame) -> DataFrame:
     """The first position of a vehicle without permit on each calendar day. An aggregate, so a
     hot vehicle is reduced before the shuffle."""
-    rows = tracks.where(F.col("register_card_state") == 0)
+    rows = timed(tracks).where(F.col("register_card_state") == 0)
     first = F.min(F.struct("t_sec", "event_id", "lng", "lat")).alias("_f")
     per_day = rows.groupBy(*KEY, timefn.day_number(F.col("t_sec")).alias("_d")).agg(first)
     return per_day.select(
@@ -129,15 +129,26 @@ def no_register_alarms(tracks: DataFrame) -> DataFrame:
 
 
 def illegal_disposal(tracks: DataFrame, sites: DataFrame, cards: DataFrame) -> DataFrame:
-    """Positions near a disposal site the vehicle has no permit for. The rule is inferred: the
-    published job collects the permitted sites but raises nothing."""
-    disposal = sites.where(F.col("site_flag") == 2)
-    pairs = near_sites(tracks, disposal)
-    allowed = enrich.allowed_disposal_sites(cards, sites).select(
-        "vehicle_id", F.col("disposal_site_id").alias("site_id")
+    """Alarms of positions near an audited disposal site that the vehicle has no permit for, the first such
+    site by id, thinned like all alarms. The rule is inferred: the published job collects the permitted sites
+    but raises nothing."""
+    return thin_alarms(illegal_disposal_points(tracks, sites, cards))
+
+
+def illegal_disposal_points(tracks: DataFrame, sites: DataFrame, cards: DataFrame) -> DataFrame:
+    """One alarm row per offending position, as a stream needs it. The permitted sites of a vehicle are
+    a list of its distinct permits, joined to the positions that are near some site only."""
+    rows = timed(tracks).select(*KEY, "t_sec", "event_id", "lng", "lat")
+    near = with_near_ids(rows, audited_disposal(sites)).where(F.size("near") > 0)
+    allowed = enrich.allowed_disposal_sites(cards, sites).groupBy("vehicle_id").agg(
+        F.collect_set("disposal_site_id").alias("_allowed")
     )
-    return pairs.join(allowed, ["vehicle_id", "site_id"], "left_anti").withColumn(
-        "illegal_type_code", F.lit(ILLEGAL_DISPOSAL)
+    forbidden = F.array_min(F.array_except("near", F.coalesce("_allowed", F.array().cast("array<bigint>"))))
+    found = near.join(allowed, "vehicle_id", "left").withColumn("site_id", forbidden)
+    return found.where(F.col("site_id").isNotNull()).select(
+        *KEY, F.lit(ILLEGAL_DISPOSAL).alias("illegal_type_code"), F.col("t_sec").alias("start_sec"),
+        F.col("event_id").alias("start_event_id"), F.col("lng").alias("alarm_start_lng"),
+        F.col("lat").alias("alarm_start_lat"), "site_id",
     )
 
 

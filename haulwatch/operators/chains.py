@@ -365,10 +365,11 @@ def greedy_chain(
     opening row, the same for both rows of a link. ``worked_t`` (on 'open') is the last time the
     opener's label was seen within ``gap``; ``leave_t`` (on 'close') is the first ``out`` time
     from the opening to the closing row. A ``reset`` row replaces an open state by itself
-    without closing it, and is ignored while nothing is open. Keys must not be null."""
+    without closing it, and is ignored while nothing is open. Rows without a key or a place in
+    the order are left out."""
     payload = df.columns
     gap = rule.gap
-    base = df.dropna(subset=keys).withColumns(
+    base = df.dropna(subset=[*keys, *order]).withColumns(
         {
             "_t": F.col(order[0]).cast("long"),
             "_seq": F.col(order[1]).cast("long"),

@@ -21,11 +21,11 @@ TRIP_POINTS = ["from_site_lng", "from_site_lat", "to_site_lng", "to_site_lat"]
 
 # The columns of the trip table that are always null, in table order.
 TRIP_ROW_EMPTY = (
-    "device_id time gps_lng gps_lat speed pos gps_flag wire_flag power_flag acc_flag "
-    "auxiliary_flag temperature door all_distance all_dist_fuel gps_distance gps_all_distance "
-    "report_time zxcqi alarm_flag main_oil_per residual_oil vice_oil_per vice_residual_oil "
-    "oil_difference sharp_turn brake"
-).split()
+    "device_id", "time", "gps_lng", "gps_lat", "speed", "pos", "gps_flag", "wire_flag", "power_flag", "acc_flag",
+    "auxiliary_flag", "temperature", "door", "all_distance", "all_dist_fuel", "gps_distance", "gps_all_distance",
+    "report_time", "zxcqi", "alarm_flag", "main_oil_per", "residual_oil", "vice_oil_per", "vice_residual_oil",
+    "oil_difference", "sharp_turn", "brake",
+)
 
 
 def admitted(df: DataFrame) -> DataFrame:
@@ -33,9 +33,16 @@ def admitted(df: DataFrame) -> DataFrame:
     return df.where((F.col("manage_state") == "1") & (F.col("audit_state") == "1"))
 
 
+def on_date(df: DataFrame, as_of: dt.date, ts: str = "ts") -> DataFrame:
+    """Rows of the day ``as_of`` by a stored timestamp: two constants that the scan compares with
+    its statistics."""
+    start = dt.datetime.combine(as_of, dt.time())
+    return df.where((F.col(ts) >= F.lit(start).cast("timestamp_ntz")) & (
+        F.col(ts) < F.lit(start + dt.timedelta(days=1)).cast("timestamp_ntz")))
+
+
 def on_day(df: DataFrame, as_of: dt.date, sec: str = "t_sec") -> DataFrame:
-    """Rows whose event day is ``as_of``. A range on the time column itself, so that it
-    reaches the scan's statistics."""
+    """Rows whose event day is ``as_of`` by their seconds, for decoded messages."""
     start = (as_of - dt.date(1970, 1, 1)).days * 86400
     return df.where((F.col(sec) >= start) & (F.col(sec) < start + 86400))
 
@@ -84,43 +91,41 @@ def valid_trips(df: DataFrame) -> DataFrame:
     return df.dropna(subset=TRIP_POINTS)
 
 
-def _or_null(df: DataFrame, name: str, dtype: str = "string") -> Column:
-    return F.col(name).cast(dtype) if name in df.columns else F.lit(None).cast(dtype)
-
-
 def trip_table_row(df: DataFrame, processed_at: Column) -> DataFrame:
     """A trip as a row of the trip table: 64 columns, the last three its partition."""
     def end(prefix: str, letter: str) -> dict[str, Column]:
         return {
-            f"{letter}_site_time": _or_null(df, f"{prefix}_site_inter_time"),
+            f"{letter}_site_time": F.col(f"{prefix}_site_inter_time"),
             **{
-                f"{letter}_site_{part}": _or_null(df, f"{prefix}_site_{part}")
-                for part in ("id", "name", "address", "province_id", "city_id", "area_id")
+                f"{letter}_site_{part}": F.col(f"{prefix}_site_{part}").cast("string")
+                for part in ("id", "name", "province_id", "city_id", "area_id")
             },
-            f"{letter}_site_lat": _or_null(df, f"{prefix}_site_lat", "double"),
-            f"{letter}_site_lng": _or_null(df, f"{prefix}_site_lng", "double"),
-            f"{letter}_site_flag": F.coalesce(_or_null(df, f"{prefix}_site_flag", "int"), F.lit(-1)),
+            # found by reverse geocoding, an outside service
+            f"{letter}_site_address": F.lit(None).cast("string"),
+            f"{letter}_site_lat": F.col(f"{prefix}_site_lat").cast("double"),
+            f"{letter}_site_lng": F.col(f"{prefix}_site_lng").cast("double"),
+            f"{letter}_site_flag": F.coalesce(F.col(f"{prefix}_site_flag").cast("int"), F.lit(-1)),
         }
 
     start = end("from", "s")
     start["s_site_time"] = F.coalesce(start["s_site_time"], F.lit(""))
-    start_order = "id name flag lng lat area_id province_id city_id address time".split()
+    start_order = ("id", "name", "flag", "lng", "lat", "area_id", "province_id", "city_id", "address", "time")
     columns = {name: F.lit(None).cast("string") for name in TRIP_ROW_EMPTY}
     columns |= end("to", "e")
     columns |= {"status": F.lit(0), "dev_id": F.lit(None).cast("string"), "dev_status": F.lit(0)}
     columns |= {f"s_site_{part}": start[f"s_site_{part}"] for part in start_order}
     columns |= {
         "updatetime": F.date_format(processed_at, timefn.TIME_FORMAT),
-        "dept_id": _or_null(df, "dept_id", "int"),
-        "vehicle_id": _or_null(df, "vehicle_id", "long"),
-        "transport_enterprise_id": _or_null(df, "enterprise_id"),
-        "car_card_number": _or_null(df, "car_card_number"),
-        "load": _or_null(df, "load", "double"),
-        "enterprise_name": _or_null(df, "enterprise_name"),
-        "province_id": _or_null(df, "province_id"),
-        "city_id": _or_null(df, "city_id"),
-        "area_id": _or_null(df, "area_id"),
-        "vehicle_empty": _or_null(df, "vehicle_empty", "int"),
+        "dept_id": F.col("dept_id").cast("int"),
+        "vehicle_id": F.col("vehicle_id").cast("long"),
+        "transport_enterprise_id": F.col("enterprise_id").cast("string"),
+        "car_card_number": F.col("car_card_number"),
+        "load": F.col("load").cast("double"),
+        "enterprise_name": F.col("enterprise_name"),
+        "province_id": F.col("province_id").cast("string"),
+        "city_id": F.col("city_id").cast("string"),
+        "area_id": F.col("area_id").cast("string"),
+        "vehicle_empty": F.col("vehicle_empty").cast("int"),
     }
     columns |= timefn.partition_columns(processed_at)
     return df.select(*[column.alias(name) for name, column in columns.items()])

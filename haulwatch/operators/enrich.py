@@ -79,8 +79,8 @@ def with_transport_card(df: DataFrame, cards: DataFrame) -> DataFrame:
 
 
 def allowed_disposal_sites(cards: DataFrame, sites: DataFrame) -> DataFrame:
-    """Which disposal sites a vehicle may use: valid permit and a live site."""
-    live = sites.where((F.col("site_flag") == 2) & (F.col("is_delete") == 0))
+    """Which disposal sites a vehicle may use: valid permit and a live site that passed the audit."""
+    live = sites.where((F.col("site_flag") == 2) & (F.col("is_delete") == 0) & (F.col("audit_state") == "1"))
     permits = cards.where(F.col("state") == 0).select("vehicle_id", "disposal_site_id").distinct()
     dim = live.select(
         F.col("site_id").alias("disposal_site_id"), F.col("site_name").alias("disposal_site_name"),

@@ -9,7 +9,7 @@ from haulwatch.functions import timefn
 from haulwatch.operators.chains import ChainRule, greedy_chain
 from haulwatch.operators.clean import empty_flag, load_by_model
 from haulwatch.operators.ordered import DAY, episodes, with_chunk, with_neighbours
-from haulwatch.operators.proximity import near_sites
+from haulwatch.operators.proximity import audited_disposal, near_sites
 
 KEY = ["dept_id", "vehicle_id"]
 
@@ -18,16 +18,24 @@ STOP_GAP_SECONDS = 180
 DWELL_SECONDS = 180
 
 
-def trips(sited: DataFrame, strict: bool = False) -> DataFrame:
+# What a trip takes over from the position that ends it.
+TRIP_CARRY = (
+    "vehicle_model_id", "enterprise_id", "enterprise_name", "car_card_number", "province_id", "city_id", "area_id",
+)
+
+
+def trips(sited: DataFrame, strict: bool = False, carry: tuple[str, ...] = TRIP_CARRY) -> DataFrame:
     """Trips from site to site out of positions with ``site_*`` columns.
 
     A stay opens at a position inside a site. It closes at the first position inside another
     site at least six minutes later, which gives a trip; the next position inside a site opens
     the next stay. Positions outside all sites do not end a stay; the first one gives the leave
     time. With ``strict`` they do: the open stay is replaced by the outside position, so the
-    following trip has no origin (and is removed by :func:`clean.valid_trips`)."""
+    following trip has no origin (and is removed by :func:`clean.valid_trips`).
+
+    ``carry`` names the columns a trip takes over; the load needs ``vehicle_model_id``."""
     site_cols = [c for c in sited.columns if c.startswith("site_")]
-    more = [c for c in ("vehicle_model_id", "enterprise_id", "enterprise_name", "car_card_number") if c in sited.columns]
+    more = list(carry)
     rows = sited.select(
         *KEY, "t_sec", "event_id", *more, *site_cols, F.col("site_id").isNull().alias("_outside")
     )
@@ -47,18 +55,36 @@ def trips(sited: DataFrame, strict: bool = False) -> DataFrame:
         F.max(F.when(F.col("role") == "close", end)).alias("c"),
         F.max("worked_t").alias("from_site_work_sec"), F.max("leave_t").alias("from_site_leave_sec"),
     ).where(F.col("c").isNotNull())
-    model = F.col("c.vehicle_model_id") if "vehicle_model_id" in more else F.lit(None).cast("string")
+    load = {"load": load_by_model(F.col("c.vehicle_model_id"))} if "vehicle_model_id" in more else {}
     out = paired.select(
         *KEY, *[F.col(f"c.{c}").alias(c) for c in more],
         *[F.col(f"o.{c}").alias(f"from_{c}") for c in site_cols],
         F.col("o.t_sec").alias("from_site_inter_sec"), "from_site_work_sec", "from_site_leave_sec",
         *[F.col(f"c.{c}").alias(f"to_{c}") for c in site_cols],
         F.col("c.t_sec").alias("to_site_inter_sec"),
-        load_by_model(model).alias("load"), empty_flag(F.col("o.site_flag")).alias("vehicle_empty"),
+        *[c.alias(n) for n, c in load.items()], empty_flag(F.col("o.site_flag")).alias("vehicle_empty"),
     )
     return out.withColumns({c[:-3] + "time": timefn.time_text(F.col(c)) for c in out.columns if c.endswith("_sec")})
 
 
+def with_trip_dims(trips: DataFrame, sites: DataFrame, vehicles: DataFrame, enterprises: DataFrame) -> DataFrame:
+    """Streamed trips, which know their sites by id, with the columns that :func:`trips` takes from the
+    positions. Each table has one row per key."""
+    out = trips
+    for end in ("from", "to"):
+        attrs = [c for c in sites.columns if c not in ("dept_id", "site_flag", "is_delete")]
+        named = {c: f"{end}_{c}" if c.startswith("site_") else f"{end}_site_{c}" for c in attrs}
+        dim = sites.select("dept_id", *[F.col(c).alias(n) for c, n in named.items()])
+        out = out.join(dim, ["dept_id", f"{end}_site_id"], "left")
+    known = vehicles.select(*KEY, "vehicle_model_id", "enterprise_id", "car_card_number")
+    names = enterprises.select("dept_id", "enterprise_id", "enterprise_name", "province_id", "city_id", "area_id")
+    out = out.join(known, KEY, "left").join(names, ["dept_id", "enterprise_id"], "left")
+    return out.withColumns({
+        "load": load_by_model(F.col("vehicle_model_id")),
+        **{c[:-3] + "time": timefn.time_text(F.col(c)) for c in trips.columns if c.endswith("_sec")},
+    })
+
+
 def vehicle_online_time(tracks: DataFrame) -> DataFrame:
     """Seconds online today, per position.
 
@@ -161,7 +187,7 @@ def inout_dwell(tracks: DataFrame, sites: DataFrame, seconds: int = DWELL_SECOND
     follows from its next position and the one before it came back. Long absences cut the
     positions inside into segments. A segment longer than ``seconds`` confirms and ends a visit;
     a shorter one leaves the visit pending, and the next segment then ends it."""
-    disposal = sites.where(F.col("site_flag") == 2)
+    disposal = audited_disposal(sites)
     rows = tracks.where(F.col("t_sec").isNotNull()).select(*KEY, "t_sec", "event_id", "lng", "lat")
     last = rows.groupBy(*KEY).agg(F.max(F.struct("t_sec", "event_id")).alias("_last"))
     around = with_neighbours(rows, KEY, ["t_sec", "event_id"])

@@ -14,6 +14,19 @@ from pyspark.sql import functions as F
 DAY = 86400
 
 
+def timed(df: DataFrame, order: tuple[str, ...] = ("t_sec", "event_id")) -> DataFrame:
+    """Rows that have a place in the order. Ordered operators work on these; see :func:`untimed`."""
+    return df.dropna(subset=list(order))
+
+
+def untimed(df: DataFrame, order: tuple[str, ...] = ("t_sec", "event_id")) -> DataFrame:
+    """The rows that :func:`timed` leaves out, for a reject table: their message bore no valid date."""
+    missing = F.lit(False)
+    for column in order:
+        missing = missing | F.col(column).isNull()
+    return df.where(missing)
+
+
 def with_chunk(df: DataFrame, width: int = DAY, sec: str = "t_sec") -> DataFrame:
     return df.withColumn("_chunk", F.floor(F.col(sec) / width))
 
@@ -23,8 +36,8 @@ def with_neighbours(
     order: tuple[str, str] = ("t_sec", "event_id"),
 ) -> DataFrame:
     """Adds structs ``prev`` and ``next``: ``payload`` of the row before and after in the
-    key's order, null at its ends."""
-    rows = with_chunk(df, width, order[0])
+    key's order, null at its ends. Rows without a time are left out."""
+    rows = with_chunk(timed(df, order), width, order[0])
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     near = F.struct(*payload)
     rows = rows.withColumns({"prev": F.lag(near).over(inside), "next": F.lead(near).over(inside)})
@@ -50,7 +63,8 @@ def episodes(
     All opening rows between two closing rows form one episode per value of ``by``; ``opened``
     is its first (or last) opening row, ``closed`` the closing row, both as structs of the order
     columns and ``payload``. A row that both opens and closes belongs to the episode it closes.
-    Episodes without a closing row are not returned."""
+    Episodes without a closing row are not returned; rows without a time are left out."""
+    df = timed(df, order)
     by = by or []
     best = F.min if pick == "first" else F.max
     mark = F.explode(

@@ -31,23 +31,36 @@ def all_sites(build: DataFrame, disposal: DataFrame) -> DataFrame:
     )
 
 
+def audited_disposal(sites: DataFrame) -> DataFrame:
+    """Disposal sites that passed the audit; only these permit anything and are visited."""
+    return sites.where((F.col("site_flag") == 2) & (F.col("audit_state") == "1"))
+
+
+def _column(lng: Column, size: float) -> Column:
+    """Band of longitude, counted from -180 degrees and not yet taken round the globe."""
+    return geo.cell(lng + 180.0, size)
+
+
+def _round_globe(column: Column, size: float) -> Column:
+    return F.pmod(column, F.lit(round(360.0 / size)))
+
+
 def _near_cells(sites: DataFrame, radius_m: float, size: float = SITE_CELL_DEG) -> DataFrame:
     """Sites repeated for every cell that a point within the radius can lie in. A degree of
-    longitude shrinks towards the poles, so the reach in x grows with 1/cos(lat)."""
-    reach_y = radius_m / geo.METRES_PER_DEGREE
-    scale = F.greatest(F.cos(F.radians(F.abs(F.col("lat")) + reach_y)), F.lit(1e-3))
-    reach_x = F.lit(reach_y * 1.001) / scale
+    longitude shrinks towards the poles, so the reach in x grows with 1/cos(lat), up to the whole
+    circle where the pole itself is in reach; cells go on across 180 degrees."""
+    reach_y = radius_m / geo.METRES_PER_DEGREE * 1.001
+    top = F.abs(F.col("lat")) + reach_y
+    reach_x = F.when(top < 89.999, F.least(F.lit(reach_y) / F.cos(F.radians(top)), F.lit(180.0))).otherwise(180.0)
+    columns = F.sequence(_column(F.col("lng") - reach_x, size), _column(F.col("lng") + reach_x, size))
+    columns = F.array_distinct(F.transform(columns, lambda c: _round_globe(c, size)))
+    rows = F.sequence(geo.cell(F.col("lat") - reach_y, size), geo.cell(F.col("lat") + reach_y, size))
+    return sites.withColumn("_cx", F.explode(columns)).withColumn("_cy", F.explode(rows))
 
-    def span(coord: str, reach: Column) -> Column:
-        return F.explode(
-            F.sequence(
-                geo.cell(F.col(coord) - reach, size), geo.cell(F.col(coord) + reach, size)
-            )
-        )
 
-    return sites.withColumn("_cx", span("lng", reach_x)).withColumn(
-        "_cy", span("lat", F.lit(reach_y * 1.001))
-    )
+def _site_cells(df: DataFrame, size: float) -> DataFrame:
+    return df.withColumns({
+        "_cx": _round_globe(_column(F.col("lng"), size), size), "_cy": geo.cell(F.col("lat"), size)})
 
 
 def _point_cells(df: DataFrame, size: float) -> DataFrame:
@@ -74,7 +87,7 @@ def _possible_firsts(sites: DataFrame, radius_m: float, size: float) -> DataFram
     site has within its radius as a whole, keeps all sites that reach into it."""
     pairs = _near_cells(sites, radius_m, size)
     corners = [
-        geo.distance_m(F.col("lng"), F.col("lat"), (F.col("_cx") + dx) * size, (F.col("_cy") + dy) * size)
+        geo.distance_m(F.col("lng"), F.col("lat"), (F.col("_cx") + dx) * size - 180.0, (F.col("_cy") + dy) * size)
         for dx in (0, 1) for dy in (0, 1)
     ]
     rank = F.struct("site_flag", "site_id")
@@ -99,7 +112,7 @@ def with_site(df: DataFrame, sites: DataFrame, radius_m: float = SITE_RADIUS_M)
     cells = _possible_firsts(live, radius_m, FIRST_SITE_CELL_DEG).groupBy("dept_id", "_cx", "_cy").agg(
         F.array_sort(F.collect_list(entry)).alias("_near")
     )
-    joined = _point_cells(df, FIRST_SITE_CELL_DEG).join(cells, ["dept_id", "_cx", "_cy"], "left")
+    joined = _site_cells(df, FIRST_SITE_CELL_DEG).join(cells, ["dept_id", "_cx", "_cy"], "left")
     first = F.get(F.filter("_near", lambda s: _close_to(s, radius_m, False)), F.lit(0))
     out = joined.withColumn("_site", first)
     named = {a: a if a.startswith("site_") else "site_" + a for a in attrs}
@@ -115,7 +128,7 @@ def near_sites(df: DataFrame, sites: DataFrame, radius_m: float = SITE_RADIUS_M)
     dim = _near_cells(live.select("dept_id", "site_id", "lng", "lat"), radius_m).select(
         "dept_id", "_cx", "_cy", "site_id", F.col("lng").alias("_slng"), F.col("lat").alias("_slat")
     )
-    pairs = _point_cells(df, SITE_CELL_DEG).join(dim, ["dept_id", "_cx", "_cy"], "inner")
+    pairs = _site_cells(df, SITE_CELL_DEG).join(dim, ["dept_id", "_cx", "_cy"], "inner")
     d = geo.distance_m(F.col("lng"), F.col("lat"), F.col("_slng"), F.col("_slat"))
     return pairs.where(d < radius_m).select(*df.columns, "site_id")
 
@@ -130,7 +143,7 @@ def with_near_ids(df: DataFrame, sites: DataFrame, radius_m: float = SITE_RADIUS
     cells = _near_cells(live.select("dept_id", "site_id", "lng", "lat"), radius_m).groupBy(
         "dept_id", "_cx", "_cy"
     ).agg(F.collect_list(entry).alias("_near"))
-    joined = _point_cells(df, SITE_CELL_DEG).join(cells, ["dept_id", "_cx", "_cy"], "left")
+    joined = _site_cells(df, SITE_CELL_DEG).join(cells, ["dept_id", "_cx", "_cy"], "left")
     hits = F.filter(F.coalesce("_near", F.array()), lambda s: _close_to(s, radius_m, True))
     return joined.select(*df.columns, F.transform(hits, lambda s: s["site_id"]).alias("near"))
 
@@ -146,15 +159,26 @@ def _polygon_cells(dim: DataFrame, ring: str, size: float) -> DataFrame:
     return dim.withColumn("_cx", axis("x")).withColumn("_cy", axis("y"))
 
 
+def _bad_ring(ring: str) -> Column:
+    return F.coalesce(F.exists(ring, lambda p: p["x"].isNull() | p["y"].isNull()), F.lit(True))
+
+
+def bad_areas(areas: DataFrame) -> DataFrame:
+    """Active areas with a vertex that is no number, or without a polygon: no position can be in them.
+    For a reject table."""
+    rings = areas.where(F.col("state") == 1).withColumn("_ring", geo.polygon_from_text(F.col("coords")))
+    return rings.where(_bad_ring("_ring")).drop("_ring")
+
+
 def with_region(df: DataFrame, areas: DataFrame, cell_deg: float = AREA_CELL_DEG) -> DataFrame:
     """Adds region_id and region_name of the first active area, by id, of the department
-    that contains the position."""
+    that contains the position. Areas of :func:`bad_areas` contain none."""
     active = areas.where(F.col("state") == 1).groupBy("dept_id", "coords").agg(
         F.min(F.struct("id", "city_name")).alias("_a")
     )
     dim = active.select(
         "dept_id", "_a.*", geo.polygon_from_text(F.col("coords")).alias("_ring")
-    ).where(~F.exists("_ring", lambda p: p["x"].isNull() | p["y"].isNull()))
+    ).where(~_bad_ring("_ring"))
     dim = _polygon_cells(dim, "_ring", cell_deg)
     entry = F.struct("id", "city_name", geo.polygon_edges(F.col("_ring")).alias("edges"))
     cells = dim.select("dept_id", "_cx", "_cy", entry.alias("_e")).groupBy("dept_id", "_cx", "_cy").agg(
@@ -201,7 +225,7 @@ def with_violations(df: DataFrame, rules: DataFrame, cell_deg: float = AREA_CELL
     dim = _polygon_cells(dim, "_ring", cell_deg)
     entry = F.struct(
         "fence_flag", F.col("condition_id").alias("fence_id"), F.col("name").alias("fence_name"),
-        code[F.col("fence_flag")].alias("illegal_type_code"), "speed", "start_date", "end_date",
+        F.col("area_id").alias("fence_area_id"), code[F.col("fence_flag")].alias("illegal_type_code"), "speed", "start_date", "end_date",
         geo.polygon_edges(F.col("_ring")).alias("edges"),
     )
     cells = dim.select("dept_id", "_cx", "_cy", entry.alias("_e")).groupBy("dept_id", "_cx", "_cy").agg(
@@ -216,11 +240,12 @@ def with_violations(df: DataFrame, rules: DataFrame, cell_deg: float = AREA_CELL
         broken,
         lambda r: F.struct(
             r["fence_flag"].alias("fence_flag"), r["fence_id"].alias("fence_id"),
-            r["fence_name"].alias("fence_name"), r["illegal_type_code"].alias("illegal_type_code"),
+            r["fence_name"].alias("fence_name"), r["fence_area_id"].alias("fence_area_id"),
+            r["illegal_type_code"].alias("illegal_type_code"),
         ),
     )
     none = F.expr(
-        "cast(array() as array<struct<fence_flag:int,fence_id:int,fence_name:string,illegal_type_code:string>>)"
+        "cast(array() as array<struct<fence_flag:int,fence_id:int,fence_name:string,fence_area_id:string,illegal_type_code:string>>)"
     )
     return joined.withColumn("violations", F.coalesce(slim, none)).select(*df.columns, "violations")
 

@@ -18,12 +18,11 @@ SCORE_CODES = {
 
 def scoring_detail(detail: DataFrame) -> DataFrame:
     """The detail rows the counts are made from. ``illegal_id`` is a violation code."""
-    name = "illegal_type_short_desc"
     return detail.select(
         "vehicle_id", "car_card_number", "enterprise_name", "illegal_id",
         "enterprise_final_score", "vehicle_driver_final_score",
         F.col("enterprise_id").alias("transport_enterprise_id"), "province_id", "city_id", "area_id",
-        (F.col(name) if name in detail.columns else F.concat(F.lit("type "), F.col("illegal_id"))).alias("illegal_name"),
+        F.col("illegal_type_short_desc").alias("illegal_name"),
         F.col("create_time").alias("illegal_date"), F.col("create_time").alias("create_date"), "dept_id",
     )
 
@@ -101,6 +100,9 @@ def vehicle_type_base(df: DataFrame) -> DataFrame:
     )
 
 
+#: Bands of score in which the enterprises of a department are ranked.
+RANK_BANDS = 1000
+
 # name -> keys beyond the region
 RANK_LEVELS = {
     "type": TYPE, "enterprise": ENTERPRISE, "enterprise_type": [*ENTERPRISE, *TYPE],
@@ -135,8 +137,22 @@ def rank_grouping_sets(df: DataFrame) -> DataFrame:
 
 
 def ranked_enterprises(df: DataFrame) -> DataFrame:
-    """Enterprises of a department by summed score, highest first. The window sorts one row
-    per (region, enterprise), not the detail."""
-    w = Window.partitionBy("dept_id").orderBy(F.col("illegal_sum").desc())
-    totals = rank_by_enterprise(df).withColumn("illegal_sum", F.round("illegal_sum", 4))
-    return totals.withColumn("place", F.rank().over(w))
+    """Enterprises of a department by summed score, highest first; scores are summed as decimals, so that
+    equal ones tie exactly.
+
+    A department is cut into bands of equal width below its highest score. Ranks are taken inside a band and
+    moved by the number of rows in the bands above it, so that no task sorts a whole department."""
+    exact = df.withColumn("enterprise_final_score", F.col("enterprise_final_score").cast("decimal(18,4)"))
+    totals = rank_by_enterprise(exact)
+    highest = totals.groupBy("dept_id").agg(F.max("illegal_sum").alias("_top"))
+    share = F.try_divide(F.col("illegal_sum").cast("double"), F.col("_top").cast("double"))
+    rows = totals.join(highest, "dept_id").withColumn(
+        "_band", F.least(F.floor(F.coalesce(share, F.lit(0.0)) * RANK_BANDS), F.lit(RANK_BANDS).cast("long")))
+    above = Window.partitionBy("dept_id").orderBy(F.col("_band").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    bands = rows.groupBy("dept_id", "_band").agg(F.count(F.lit(1)).alias("_n"))
+    bands = bands.select("dept_id", "_band", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
+    inside = Window.partitionBy("dept_id", "_band").orderBy(F.col("illegal_sum").desc_nulls_last())
+    ranked = rows.withColumn("_place", F.rank().over(inside)).join(bands, ["dept_id", "_band"])
+    return ranked.select(
+        *REGION, *ENTERPRISE, "illegal_vehicle_count", "illegal_count",
+        F.col("illegal_sum").cast("double").alias("illegal_sum"), (F.col("_above") + F.col("_place")).cast("int").alias("place"))

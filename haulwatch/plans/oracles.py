@@ -39,7 +39,9 @@ def dist(lng1: str, lat1: str, lng2: str, lat2: str) -> str:
 
 CLOCK = "(t_sec % 86400)"
 ADMITTED = "SELECT * FROM v_track WHERE manage_state = '1' AND audit_state = '1'"
-LOCATED = ADMITTED + " AND lat > 20"
+BOX = "lat > 20 AND lat < 40 AND lng > 100 AND lng < 120 AND speed >= 0 AND speed < 100"
+CLEANED = f"{ADMITTED} AND {BOX}"
+TIMED = "t_sec IS NOT NULL"
 STAMP = "strftime(make_timestamp({0} * 1000000), '%Y-%m-%d %H:%M:%S')"
 
 # ---- sources and sinks
@@ -65,7 +67,7 @@ oracle(
 oracle(
     "frame_header",
     """SELECT event_id, 512 AS msg_id, CAST(length(body) // 2 AS INT) AS body_length, 0 AS encryption, false AS has_sub_package, 0 AS reserved,
- lpad(CAST(user_id AS VARCHAR), 11, '0') AS terminal_phone, CAST(event_id % 65536 AS INT) AS flow_id FROM v_frame_body WHERE event_id % 40 NOT IN (1, 2, 4, 5)""",
+ lpad(CAST(user_id AS VARCHAR), 11, '0') AS terminal_phone, CAST(event_id % 65536 AS INT) AS flow_id, CAST(NULL AS INT) AS sub_package_total, CAST(NULL AS INT) AS sub_package_seq FROM v_frame_body WHERE event_id % 40 NOT IN (1, 2, 4, 5)""",
 )
 oracle(
     "frame_checksum",
@@ -154,7 +156,7 @@ def _closed(raw: str) -> str:
     return f"SELECT id, dept_id, x, y, coalesce(px0, lx) AS px, coalesce(py0, ly) AS py FROM ({raw}) r"
 
 
-AREA_EDGES = _closed(_edges("(SELECT * FROM v_area WHERE state = 1) s", "id", "string_split(coords, ';')", ","))
+AREA_EDGES = _closed(_edges("(SELECT * FROM v_area WHERE state = 1) s", "id", "list_filter(string_split(coords, ';'), lambda v: v <> '')", ","))
 FENCE_EDGES = _closed(_edges("v_fence_rule", "condition_id", "string_split(replace(replace(coords, '[[', ''), ']]', ''), '],[')", ","))
 REGION = {
     "area_edges": AREA_EDGES,
@@ -163,7 +165,7 @@ REGION = {
 oracle(
     "join_region",
     "SELECT p.event_id, a.id AS region_id, a.city_name AS region_name FROM pts p LEFT JOIN region r ON r.event_id = p.event_id LEFT JOIN v_area a ON a.id = r.id",
-    {"pts": LOCATED, **REGION},
+    {"pts": ADMITTED, **REGION},
 )
 oracle(
     "data_bus",
@@ -177,13 +179,13 @@ oracle(
  LEFT JOIN region r ON r.event_id = p.event_id LEFT JOIN v_area a ON a.id = r.id""",
     {"pts": RAW, "cards": CARDS, **REGION},
 )
-oracle("all_sites", "SELECT site_id, site_name, dept_id, round(lng, 6) AS lng, round(lat, 6) AS lat, site_flag FROM v_site WHERE is_delete = 0")
+oracle("all_sites", "SELECT site_id, site_name, dept_id, round(lng, 6) AS lng, round(lat, 6) AS lat, site_flag, audit_state, province_id, city_id, area_id FROM v_site WHERE is_delete = 0")
 NEAR = (
-    "SELECT p.event_id, s.site_id, s.site_flag FROM {pts} p JOIN v_site s ON s.dept_id = p.dept_id AND s.is_delete = 0 AND "
+    "SELECT p.event_id, s.site_id, s.site_flag, s.audit_state FROM {pts} p JOIN v_site s ON s.dept_id = p.dept_id AND s.is_delete = 0 AND "
     + dist("p.lng", "p.lat", "s.lng", "s.lat") + " {cmp}"
 )
 SITED = {
-    "pts": LOCATED,
+    "pts": ADMITTED,
     "first_site": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY site_flag, site_id) AS k FROM (" + NEAR.format(pts="pts", cmp="<= 500") + ") n) m WHERE k = 1",
 }
 oracle(
@@ -198,10 +200,10 @@ oracle("fence_rules", """SELECT condition_id, t.dept_id, fence_flag, speed, star
  UNION ALL SELECT condition_id, dept_id, 4, NULL, NULL, NULL FROM v_rule_out WHERE state = 0
  UNION ALL SELECT condition_id, dept_id, 5, NULL, start_date, end_date FROM v_rule_document WHERE state = 0) t JOIN v_boundary b ON b.id = t.condition_id""")
 FENCED = {
-    "pts": LOCATED,
+    "pts": ADMITTED,
     "fence_edges": FENCE_EDGES,
     "hits": _inside("pts", "v_fence_rule", "fence_edges"),
-    "broken": f"""SELECT p.*, r.fence_flag, r.condition_id AS fence_id, r.name AS fence_name,
+    "broken": f"""SELECT p.*, r.fence_flag, r.condition_id AS fence_id, r.name AS fence_name, r.area_id AS fence_area_id,
  CASE r.fence_flag WHEN 1 THEN '0110' WHEN 2 THEN '0115' WHEN 3 THEN '0116' WHEN 4 THEN '0114' ELSE '0119' END AS illegal_type_code
  FROM hits h JOIN pts p ON p.event_id = h.event_id JOIN v_fence_rule r ON r.condition_id = h.id
  WHERE CASE r.fence_flag WHEN 1 THEN p.speed > r.speed WHEN 2 THEN p.speed > 0 WHEN 4 THEN p.speed > 0
@@ -210,17 +212,17 @@ FENCED = {
 }
 oracle(
     "fence_violations",
-    "SELECT p.event_id, b.fence_flag, b.fence_id, b.fence_name, b.illegal_type_code FROM pts p LEFT JOIN broken b ON b.event_id = p.event_id",
+    "SELECT p.event_id, b.fence_flag, b.fence_id, b.fence_name, b.fence_area_id, b.illegal_type_code FROM pts p LEFT JOIN broken b ON b.event_id = p.event_id",
     FENCED,
 )
-ALLOWED = "SELECT DISTINCT c.vehicle_id, c.disposal_site_id, s.site_name AS disposal_site_name, s.lng, s.lat FROM v_register_card c JOIN v_site s ON s.site_id = c.disposal_site_id WHERE c.state = 0 AND s.site_flag = 2 AND s.is_delete = 0"
+ALLOWED = "SELECT DISTINCT c.vehicle_id, c.disposal_site_id, s.site_name AS disposal_site_name, s.lng, s.lat FROM v_register_card c JOIN v_site s ON s.site_id = c.disposal_site_id WHERE c.state = 0 AND s.site_flag = 2 AND s.is_delete = 0 AND s.audit_state = '1'"
 oracle("allowed_disposal_sites", "SELECT vehicle_id, disposal_site_id, disposal_site_name, round(lng, 6) AS lng, round(lat, 6) AS lat FROM allowed", {"allowed": ALLOWED})
 oracle(
     "track_allowed_sites",
     "SELECT a.event_id, a.vehicle_id, s.sites FROM a LEFT JOIN (SELECT vehicle_id, string_agg(CAST(disposal_site_id AS VARCHAR), ',' ORDER BY disposal_site_id) AS sites FROM allowed GROUP BY 1) s ON s.vehicle_id = a.vehicle_id",
     {"a": ADMITTED, "allowed": ALLOWED},
 )
-oracle("inout_pairs", "SELECT n.event_id, p.vehicle_id, n.site_id FROM (" + NEAR.format(pts="pts", cmp="< 500") + ") n JOIN pts p ON p.event_id = n.event_id WHERE n.site_flag = 2", {"pts": LOCATED})
+oracle("inout_pairs", "SELECT n.event_id, p.vehicle_id, n.site_id FROM (" + NEAR.format(pts="pts", cmp="< 500") + ") n JOIN pts p ON p.event_id = n.event_id WHERE n.site_flag = 2 AND n.audit_state = '1'", {"pts": ADMITTED})
 
 # ---- tonnage
 _M = ["build_sum", "build_count", "disposal_sum", "disposal_count"]
@@ -268,7 +270,7 @@ oracle(
 )
 
 # ---- violations
-DETAIL = {"d": "SELECT *, enterprise_id AS transport_enterprise_id, concat('type ', illegal_id) AS illegal_name FROM v_illegal"}
+DETAIL = {"d": "SELECT *, enterprise_id AS transport_enterprise_id, illegal_type_short_desc AS illegal_name FROM v_illegal"}
 oracle(
     "scoring_detail",
     "SELECT vehicle_id, car_card_number, enterprise_name, illegal_id, illegal_name, round(enterprise_final_score, 4) AS enterprise_final_score, round(vehicle_driver_final_score, 4) AS vehicle_driver_final_score, transport_enterprise_id, province_id, city_id, area_id, dept_id, strftime(create_time, '%Y-%m-%d %H:%M:%S') AS illegal_date FROM d",
@@ -316,7 +318,11 @@ def _level(name: str, keys: str, score: str) -> str:
 
 
 oracle("rank_grouping_sets", " UNION ALL ".join(_level(n, *a) for n, a in _LEVELS.items()), DETAIL)
-oracle("ranked_enterprises", f"SELECT *, CAST(rank() OVER (PARTITION BY dept_id ORDER BY illegal_sum DESC) AS INT) AS place FROM ({_rank(_ENT, True, ES)}) r", DETAIL)
+oracle(
+    "ranked_enterprises",
+    f"SELECT * REPLACE (CAST(illegal_sum AS DOUBLE) AS illegal_sum), CAST(rank() OVER (PARTITION BY dept_id ORDER BY illegal_sum DESC) AS INT) AS place FROM (SELECT {_REG}, {_ENT}, {_DV}, count(*) AS illegal_count, sum(CAST({ES} AS DECIMAL(18, 4))) AS illegal_sum FROM d GROUP BY {_REG}, {_ENT}) r",
+    DETAIL,
+)
 
 # ---- functions
 oracle("geo_distance", "SELECT event_id, round(" + dist("lng", "lat", "113.6", "34.7") + ", 4) AS metres FROM v_track")
@@ -324,14 +330,14 @@ oracle(
     "in_time_range",
     f"SELECT event_id, {CLOCK} > 21600 AND {CLOCK} < 81000 AS by_day, {CLOCK} < 21600 OR {CLOCK} > 79200 AS by_night FROM v_track",
 )
-oracle("in_effective_date", "SELECT event_id, date_trunc('minute', ts) BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-20 12:00:00' AS effective FROM v_track")
+oracle("in_effective_date", "SELECT event_id, CASE WHEN t_sec IS NOT NULL THEN date_trunc('minute', ts) END BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-20 12:00:00' AS effective FROM v_track")
 _SPENT = "(t_sec - CAST(epoch(TIMESTAMP '2024-01-15 12:00:00') AS BIGINT))"
 oracle("elapsed", f"SELECT event_id, CAST(trunc({_SPENT} / 60) AS BIGINT) AS minutes, CAST(trunc({_SPENT} / 3600) AS BIGINT) AS hours FROM v_track")
 
 
 def _interval(s: str, strict: bool) -> str:
     rest = f"{s} % 60" if strict else f"({s} // 60) % 60"
-    return f"CASE WHEN {s} >= 3600 THEN concat({s} // 3600, '小时', {rest}, '分') ELSE concat({s} // 60, '分') END"
+    return f"CASE WHEN {s} IS NULL THEN NULL WHEN {s} >= 3600 THEN concat({s} // 3600, '小时', {rest}, '分') ELSE concat({s} // 60, '分') END"
 
 
 oracle("alarm_interval", f"SELECT event_id, {_interval('(t_sec % 20000)', False)} AS interval_time, {_interval('(t_sec % 20000)', True)} AS interval_strict FROM v_track")
@@ -339,7 +345,7 @@ oracle("alarm_interval", f"SELECT event_id, {_interval('(t_sec % 20000)', False)
 # ---- alarms
 ROUTED = {
     "cards": CARDS,
-    "pts": "SELECT t.*, c.coords, CASE WHEN c.vehicle_id IS NULL THEN 0 ELSE 1 END AS has_card FROM (" + LOCATED + ") t LEFT JOIN cards c ON c.dept_id = t.dept_id AND c.vehicle_id = t.vehicle_id",
+    "pts": "SELECT t.*, c.coords, CASE WHEN c.vehicle_id IS NULL THEN 0 ELSE 1 END AS has_card FROM (" + ADMITTED + ") t LEFT JOIN cards c ON c.dept_id = t.dept_id AND c.vehicle_id = t.vehicle_id",
     "vertices": """SELECT coords, CAST(split_part(v, ',', 1) AS DOUBLE) AS x, CAST(split_part(v, ',', 2) AS DOUBLE) AS y FROM (
  SELECT coords, unnest(regexp_extract_all(coords, '[0-9.]+,[0-9.]+')) AS v FROM (SELECT DISTINCT coords FROM cards) c) z""",
     "routed": "SELECT p.*, NOT EXISTS (SELECT 1 FROM vertices v WHERE v.coords = p.coords AND " + dist("p.lng", "p.lat", "v.x", "v.y") + " <= 500) AS off_route FROM pts p WHERE has_card = 1",
@@ -350,7 +356,7 @@ oracle("off_route_points", "SELECT event_id, vehicle_id, off_route FROM routed",
 def _episodes(rows: str, bad: str, good: str) -> dict[str, str]:
     """Runs of bad rows numbered by the good rows before them, and the good row after each."""
     return {
-        "marked": f"SELECT *, {bad} AS bad, count(*) FILTER (WHERE {good}) OVER (PARTITION BY {KEYS} ORDER BY t_sec, event_id ROWS UNBOUNDED PRECEDING) AS run FROM {rows} WHERE {bad} OR {good}",
+        "marked": f"SELECT *, {bad} AS bad, count(*) FILTER (WHERE {good}) OVER (PARTITION BY {KEYS} ORDER BY t_sec, event_id ROWS UNBOUNDED PRECEDING) AS run FROM {rows} WHERE ({bad} OR {good}) AND {TIMED}",
         "closers": f"SELECT {KEYS}, run, t_sec, event_id, lng, lat FROM marked WHERE NOT bad",
     }
 
@@ -378,32 +384,32 @@ THIN = {
 _POINTS = "round(alarm_start_lng, 6) AS alarm_start_lng, round(alarm_start_lat, 6) AS alarm_start_lat, end_sec, round(alarm_end_lng, 6) AS alarm_end_lng, round(alarm_end_lat, 6) AS alarm_end_lat"
 _ALARM_ROW = f"SELECT {KEYS}, illegal_type_code, start_sec, start_event_id, {_POINTS} FROM thinned"
 GPS = {
-    "pts": LOCATED, **_episodes("pts", "speed = 0", "speed > 0"), "openers": FIRST_BAD,
+    "pts": CLEANED, **_episodes("pts", "speed = 0", "speed > 0"), "openers": FIRST_BAD,
     "cand": "SELECT * FROM (" + _cands("'0118'", "openers") + ") c WHERE " + dist("alarm_end_lng", "alarm_end_lat", "alarm_start_lng", "alarm_start_lat") + " > 2000",
     **THIN,
 }
 oracle("gps_incomplete_alarms", _ALARM_ROW, GPS, recursive=True)
-OFF = {**ROUTED, **_episodes("routed", "off_route", "NOT off_route"), "openers": FIRST_BAD, "cand": _cands("'0112'", "openers"), **THIN}
+OFF = {**ROUTED, "cleaned": f"SELECT * FROM routed WHERE {BOX}", **_episodes("cleaned", "off_route", "NOT off_route"), "openers": FIRST_BAD, "cand": _cands("'0112'", "openers"), **THIN}
 oracle("off_route_alarms", _ALARM_ROW, OFF, recursive=True)
 FENCE_ALARMS = {
-    **FENCED,
+    **FENCED, "pts": CLEANED,
     "plain": "SELECT * FROM pts p WHERE NOT EXISTS (SELECT 1 FROM broken b WHERE b.event_id = p.event_id)",
-    "rows_": f"SELECT {KEYS}, t_sec, event_id, lng, lat, fence_flag, fence_id, fence_name, illegal_type_code FROM broken UNION ALL SELECT {KEYS}, t_sec, event_id, lng, lat, NULL, NULL, NULL, NULL FROM plain",
+    "rows_": f"SELECT {KEYS}, t_sec, event_id, lng, lat, fence_flag, fence_id, fence_name, fence_area_id, illegal_type_code FROM broken UNION ALL SELECT {KEYS}, t_sec, event_id, lng, lat, NULL, NULL, NULL, NULL, NULL FROM plain",
     **_episodes("rows_", "illegal_type_code IS NOT NULL", "illegal_type_code IS NULL"),
     "openers": f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {KEYS}, run, illegal_type_code ORDER BY t_sec, event_id, fence_id) AS k FROM marked WHERE bad) m WHERE k = 1",
-    "cand": _cands("o.illegal_type_code", "openers", "fence_flag fence_id fence_name"),
+    "cand": _cands("o.illegal_type_code", "openers", "fence_flag fence_id fence_name fence_area_id"),
     **THIN,
 }
-oracle("fence_alarms", f"SELECT {KEYS}, illegal_type_code, fence_flag, fence_id, fence_name, start_sec, start_event_id, {_POINTS} FROM thinned", FENCE_ALARMS, recursive=True)
+oracle("fence_alarms", f"SELECT {KEYS}, illegal_type_code, fence_flag, fence_id, fence_name, fence_area_id, start_sec, start_event_id, {_POINTS} FROM thinned", FENCE_ALARMS, recursive=True)
 oracle(
     "no_register_alarms",
-    f"SELECT {KEYS}, '0111' AS illegal_type_code, t_sec AS start_sec, event_id AS start_event_id, round(lng, 6) AS alarm_start_lng, round(lat, 6) AS alarm_start_lat FROM (SELECT *, row_number() OVER (PARTITION BY {KEYS}, t_sec // 86400 ORDER BY t_sec, event_id) AS k FROM a WHERE register_card_state = 0) r WHERE k = 1",
+    f"SELECT {KEYS}, '0111' AS illegal_type_code, t_sec AS start_sec, event_id AS start_event_id, round(lng, 6) AS alarm_start_lng, round(lat, 6) AS alarm_start_lat FROM (SELECT *, row_number() OVER (PARTITION BY {KEYS}, t_sec // 86400 ORDER BY t_sec, event_id) AS k FROM a WHERE register_card_state = 0 AND {TIMED}) r WHERE k = 1",
     {"a": ADMITTED},
 )
 oracle(
     "alarm_thinning",
     f"SELECT {KEYS}, illegal_type_code, start_sec, start_event_id FROM thinned",
-    {"a": ADMITTED, "cand": f"SELECT {KEYS}, CASE WHEN event_id % 3 = 0 THEN '0119' ELSE '0110' END AS illegal_type_code, t_sec AS start_sec, event_id AS start_event_id FROM a", **THIN},
+    {"a": ADMITTED, "cand": f"SELECT {KEYS}, CASE WHEN event_id % 3 = 0 THEN '0119' ELSE '0110' END AS illegal_type_code, t_sec AS start_sec, event_id AS start_event_id FROM a WHERE {TIMED}", **THIN},
     recursive=True,
 )
 oracle(
@@ -420,8 +426,14 @@ oracle(
 )
 oracle(
     "illegal_disposal",
-    "SELECT n.event_id, p.dept_id, p.vehicle_id, n.site_id, p.t_sec, '0123' AS illegal_type_code FROM (" + NEAR.format(pts="pts", cmp="< 500") + ") n JOIN pts p ON p.event_id = n.event_id WHERE n.site_flag = 2 AND NOT EXISTS (SELECT 1 FROM allowed a WHERE a.vehicle_id = p.vehicle_id AND a.disposal_site_id = n.site_id)",
-    {"pts": LOCATED, "allowed": ALLOWED},
+    f"SELECT {KEYS}, illegal_type_code, site_id, start_sec, start_event_id, round(alarm_start_lng, 6) AS alarm_start_lng, round(alarm_start_lat, 6) AS alarm_start_lat FROM thinned",
+    {
+        "pts": f"{CLEANED} AND {TIMED}", "allowed": ALLOWED,
+        "cand": "SELECT p.dept_id, p.vehicle_id, '0123' AS illegal_type_code, p.t_sec AS start_sec, p.event_id AS start_event_id, p.lng AS alarm_start_lng, p.lat AS alarm_start_lat, min(n.site_id) AS site_id FROM ("
+        + NEAR.format(pts="pts", cmp="< 500") + ") n JOIN pts p ON p.event_id = n.event_id WHERE n.site_flag = 2 AND n.audit_state = '1' AND NOT EXISTS (SELECT 1 FROM allowed a WHERE a.vehicle_id = p.vehicle_id AND a.disposal_site_id = n.site_id) GROUP BY ALL",
+        **THIN,
+    },
+    recursive=True,
 )
 
 
@@ -438,7 +450,7 @@ def _trip_walk(strict: bool) -> dict[str, str]:
         return f"CASE WHEN NOT open AND o.site_id IS NOT NULL THEN {opened} WHEN NOT open OR emit THEN {none} WHEN o.site_id IS NULL THEN {left} WHEN s_site = o.site_id AND o.t_sec - s_t < 360 THEN {same} ELSE {keep} END"
 
     return {
-        **SITED,
+        **SITED, "pts": f"{CLEANED} AND {TIMED}",
         "ordered": f"SELECT p.*, f.site_id, row_number() OVER (PARTITION BY p.dept_id, p.vehicle_id ORDER BY p.t_sec, p.event_id) AS rn FROM pts p LEFT JOIN first_site f ON f.event_id = p.event_id",
         "steps": f"""SELECT {KEYS}, rn, site_id IS NOT NULL AS open, CASE WHEN site_id IS NOT NULL THEN rn END AS s_rn, site_id AS s_site, CASE WHEN site_id IS NOT NULL THEN t_sec END AS s_t,
   CAST(NULL AS BIGINT) AS s_work, CAST(NULL AS BIGINT) AS s_leave, false AS emit, CAST(NULL AS BIGINT) AS e_rn, CAST(NULL AS BIGINT) AS e_work, CAST(NULL AS BIGINT) AS e_leave FROM ordered WHERE rn = 1
@@ -447,9 +459,10 @@ def _trip_walk(strict: bool) -> dict[str, str]:
  FROM (SELECT s.open, s.s_rn, s.s_site, s.s_t, s.s_work, s.s_leave, o.*, s.open AND o.site_id IS NOT NULL AND (s.s_site IS NULL OR s.s_site <> o.site_id) AND (o.t_sec - s.s_t) // 60 > 5 AS emit
   FROM steps s JOIN ordered o ON o.dept_id = s.dept_id AND o.vehicle_id = s.vehicle_id AND o.rn = s.rn + 1) o""",
         "trip": f"""SELECT c.dept_id, c.vehicle_id, fs.site_id AS from_site_id, fs.site_name AS from_site_name, fs.site_flag AS from_site_flag, fs.lng AS from_site_lng, fs.lat AS from_site_lat, f.t_sec AS from_site_inter_sec, s.e_work AS from_site_work_sec, s.e_leave AS from_site_leave_sec,
-  ts.site_id AS to_site_id, ts.site_name AS to_site_name, ts.site_flag AS to_site_flag, ts.lng AS to_site_lng, ts.lat AS to_site_lat, c.t_sec AS to_site_inter_sec, CAST({LOAD} AS DOUBLE) AS load, CASE WHEN fs.site_flag = 1 THEN 0 ELSE 1 END AS vehicle_empty
+  ts.site_id AS to_site_id, ts.site_name AS to_site_name, ts.site_flag AS to_site_flag, ts.lng AS to_site_lng, ts.lat AS to_site_lat, c.t_sec AS to_site_inter_sec, ts.province_id AS to_province, ts.city_id AS to_city, ts.area_id AS to_area, fs.province_id AS from_province, fs.city_id AS from_city, fs.area_id AS from_area,
+  v.enterprise_id, v.car_card_number, e.enterprise_name, e.province_id, e.city_id, e.area_id, CAST({LOAD} AS DOUBLE) AS load, CASE WHEN fs.site_flag = 1 THEN 0 ELSE 1 END AS vehicle_empty
   FROM steps s JOIN ordered c ON c.dept_id = s.dept_id AND c.vehicle_id = s.vehicle_id AND c.rn = s.rn JOIN ordered f ON f.dept_id = s.dept_id AND f.vehicle_id = s.vehicle_id AND f.rn = s.e_rn
-  JOIN v_site ts ON ts.site_id = c.site_id LEFT JOIN v_site fs ON fs.site_id = f.site_id LEFT JOIN v_vehicle v ON v.vehicle_id = c.vehicle_id AND v.dept_id = c.dept_id WHERE s.emit""",
+  JOIN v_site ts ON ts.site_id = c.site_id LEFT JOIN v_site fs ON fs.site_id = f.site_id LEFT JOIN v_vehicle v ON v.vehicle_id = c.vehicle_id AND v.dept_id = c.dept_id LEFT JOIN v_enterprise e ON e.dept_id = v.dept_id AND e.enterprise_id = v.enterprise_id WHERE s.emit""",
     }
 
 
@@ -460,18 +473,19 @@ oracle("valid_trips", f"SELECT {_TRIP} FROM trip WHERE from_site_lng IS NOT NULL
 oracle("trips_partitioned", "SELECT '2024-01' AS month_id, '31' AS day_id, '7' AS hour_id, count(*) AS trips, round(sum(load), 4) AS tonnes FROM trip", _trip_walk(False), recursive=True)
 _NULLS = (
     "device_id time gps_lng gps_lat speed pos gps_flag wire_flag power_flag acc_flag auxiliary_flag temperature door all_distance all_dist_fuel gps_distance gps_all_distance "
-    "report_time zxcqi alarm_flag main_oil_per residual_oil vice_oil_per vice_residual_oil oil_difference sharp_turn brake e_site_address e_site_province_id e_site_city_id e_site_area_id dev_id "
-    "s_site_area_id s_site_province_id s_site_city_id s_site_address transport_enterprise_id car_card_number enterprise_name province_id city_id area_id"
+    "report_time zxcqi alarm_flag main_oil_per residual_oil vice_oil_per vice_residual_oil oil_difference sharp_turn brake e_site_address dev_id s_site_address"
 ).split()
 oracle(
     "trips_table_row",
     "SELECT " + ", ".join(f"CAST(NULL AS VARCHAR) AS {n}" for n in _NULLS) + f""", {STAMP.format('to_site_inter_sec')} AS e_site_time, CAST(to_site_id AS VARCHAR) AS e_site_id, to_site_name AS e_site_name, round(to_site_lat, 6) AS e_site_lat, round(to_site_lng, 6) AS e_site_lng,
  coalesce(to_site_flag, -1) AS e_site_flag, 0 AS status, 0 AS dev_status, CAST(from_site_id AS VARCHAR) AS s_site_id, from_site_name AS s_site_name, coalesce(from_site_flag, -1) AS s_site_flag, round(from_site_lng, 6) AS s_site_lng, round(from_site_lat, 6) AS s_site_lat,
- {STAMP.format('from_site_inter_sec')} AS s_site_time, '2024-01-31 07:05:09' AS updatetime, dept_id, vehicle_id, round(load, 6) AS load, vehicle_empty, '2024-01' AS month_id, '31' AS day_id, '7' AS hour_id FROM trip""",
+ {STAMP.format('from_site_inter_sec')} AS s_site_time, '2024-01-31 07:05:09' AS updatetime, dept_id, vehicle_id, round(load, 6) AS load, vehicle_empty, '2024-01' AS month_id, '31' AS day_id, '7' AS hour_id,
+ to_province AS e_site_province_id, to_city AS e_site_city_id, to_area AS e_site_area_id, from_province AS s_site_province_id, from_city AS s_site_city_id, from_area AS s_site_area_id,
+ CAST(enterprise_id AS VARCHAR) AS transport_enterprise_id, car_card_number, enterprise_name, province_id, city_id, area_id FROM trip""",
     _trip_walk(False), recursive=True,
 )
 ONLINE = {
-    "a": ADMITTED,
+    "a": f"{ADMITTED} AND {TIMED}",
     "ordered": f"SELECT *, row_number() OVER (PARTITION BY {KEYS} ORDER BY t_sec, event_id) AS rn FROM a",
     "steps": f"""SELECT {KEYS}, rn, t_sec AS last_t, CAST(0 AS BIGINT) AS total, CAST(0 AS BIGINT) AS shown FROM ordered WHERE rn = 1
  UNION ALL SELECT dept_id, vehicle_id, rn, CASE WHEN gap > 0 THEN t_sec ELSE last_t END, CASE WHEN gap <= 0 THEN total WHEN total + gap > t_sec % 86400 THEN 0 ELSE total + gap END,
@@ -490,7 +504,7 @@ oracle(
 
 def _stops(gap: int) -> dict[str, str]:
     return {
-        "pts": LOCATED,
+        "pts": f"{CLEANED} AND {TIMED}",
         "ordered": f"SELECT *, row_number() OVER (PARTITION BY {KEYS} ORDER BY t_sec, event_id) AS rn FROM pts",
         "steps": f"""SELECT {KEYS}, rn, CASE WHEN speed = 0 THEN rn END AS s_rn, CASE WHEN speed = 0 THEN t_sec END AS seen, CAST(NULL AS BIGINT) AS e_rn FROM ordered WHERE rn = 1
  UNION ALL SELECT dept_id, vehicle_id, rn, CASE WHEN speed > 0 THEN NULL WHEN s_rn IS NULL OR t_sec - seen > {gap} THEN rn ELSE s_rn END, CASE WHEN speed > 0 THEN NULL ELSE t_sec END,
@@ -505,8 +519,8 @@ oracle("stop_episodes", _STOP, _stops(3600), recursive=True)
 oracle("stop_episodes_three_minutes", _STOP, _stops(180), recursive=True)
 # Position by position per (vehicle, site): enter, exit, side and whether the enter is confirmed.
 DWELL = {
-    "pts": LOCATED,
-    "pairs": "SELECT DISTINCT p.dept_id, p.vehicle_id, n.site_id FROM (" + NEAR.format(pts="pts", cmp="< 500") + ") n JOIN pts p ON p.event_id = n.event_id WHERE n.site_flag = 2",
+    "pts": f"{CLEANED} AND {TIMED}",
+    "pairs": "SELECT DISTINCT p.dept_id, p.vehicle_id, n.site_id FROM (" + NEAR.format(pts="pts", cmp="< 500") + ") n JOIN pts p ON p.event_id = n.event_id WHERE n.site_flag = 2 AND n.audit_state = '1'",
     "ordered": "SELECT p.dept_id, p.vehicle_id, q.site_id, p.t_sec, " + dist("p.lng", "p.lat", "s.lng", "s.lat") + " < 500 AS inside, row_number() OVER (PARTITION BY p.dept_id, p.vehicle_id, q.site_id ORDER BY p.t_sec, p.event_id) AS rn FROM pairs q JOIN pts p ON p.dept_id = q.dept_id AND p.vehicle_id = q.vehicle_id JOIN v_site s ON s.site_id = q.site_id",
     "steps": """SELECT dept_id, vehicle_id, site_id, rn, CASE WHEN inside THEN t_sec END AS enter_t, CAST(NULL AS BIGINT) AS exit_t, false AS locked, CAST(NULL AS BIGINT) AS e_enter, CAST(NULL AS BIGINT) AS e_exit FROM ordered WHERE rn = 1
  UNION ALL SELECT dept_id, vehicle_id, site_id, rn,
@@ -517,4 +531,4 @@ DWELL = {
  FROM (SELECT o.*, s.enter_t, s.exit_t, s.locked, coalesce(NOT o.inside AND s.locked AND o.t_sec - s.exit_t > 180, false) AS done FROM steps s JOIN ordered o ON o.dept_id = s.dept_id AND o.vehicle_id = s.vehicle_id AND o.site_id = s.site_id AND o.rn = s.rn + 1) x""",
 }
 oracle("inout_dwell", "SELECT dept_id, vehicle_id, site_id, e_enter AS enter_sec, e_exit AS exit_sec FROM steps WHERE e_enter IS NOT NULL", DWELL, recursive=True)
-oracle("hourly_track_counts", "SELECT dept_id, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS hour_sec, count(*) AS positions, round(sum(speed), 4) AS speed_sum FROM v_track GROUP BY 1, 2")
+oracle("hourly_track_counts", "SELECT dept_id, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS hour_sec, count(*) AS positions, round(sum(speed), 4) AS speed_sum FROM v_track WHERE t_sec IS NOT NULL GROUP BY 1, 2")

@@ -44,18 +44,22 @@ def admitted(spark: SparkSession, folder: str) -> DataFrame:
     return clean.admitted(view(spark, folder, "v_track"))
 
 
-def located(spark: SparkSession, folder: str) -> DataFrame:
-    return admitted(spark, folder).where(F.col("lat") > 20)
+def cleaned(spark: SparkSession, folder: str) -> DataFrame:
+    """Positions as the data bus carries them."""
+    return clean.plausible(admitted(spark, folder))
 
 
 def sited(spark: SparkSession, folder: str) -> DataFrame:
-    vehicles = view(spark, folder, "v_vehicle").select("dept_id", "vehicle_id", "vehicle_model_id")
-    tracks = proximity.with_site(located(spark, folder), view(spark, folder, "v_site"))
-    return tracks.join(vehicles, ["dept_id", "vehicle_id"], "left")
+    vehicles = view(spark, folder, "v_vehicle").select(
+        "dept_id", "vehicle_id", "vehicle_model_id", "car_card_number", "enterprise_id"
+    )
+    tracks = proximity.with_site(cleaned(spark, folder), view(spark, folder, "v_site"))
+    known = tracks.join(vehicles, ["dept_id", "vehicle_id"], "left")
+    return known.join(view(spark, folder, "v_enterprise"), ["dept_id", "enterprise_id"], "left")
 
 
-def routed(spark: SparkSession, folder: str) -> DataFrame:
-    return enrich.with_register_card(located(spark, folder), view(spark, folder, "v_register_card"))
+def routed(positions: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    return enrich.with_register_card(positions, view(spark, folder, "v_register_card"))
 
 
 # ---- sources and sinks ------------------------------------------------------------------
@@ -125,7 +129,8 @@ def bus_docs(spark, folder):
     """Positions written as JSON documents, once per event, and read back."""
     tracks = view(spark, folder, "v_track").drop("ts")
     path = new_shared_path(spark, "docs")
-    sinks.write_documents(tracks.unionByName(tracks), path, "event_id")
+    for _ in range(2):  # a replay of the batch replaces its documents
+        sinks.write_documents(tracks.unionByName(tracks), path, "event_id", batch_id=0)
     back = spark.read.schema(tracks.schema).json(path)
     return back.select("event_id", "vehicle_id", "t_sec", "speed", "audit_state")
 
@@ -149,22 +154,8 @@ def vehicle_current_state(spark, folder):
 # ---- frames -----------------------------------------------------------------------------
 
 
-_STORED: dict[tuple[str, str], str] = {}
-
-
-def frame_messages(spark, folder):
-    """The frames as a message store: written once per application, then read like a topic."""
-    place = (spark.sparkContext.applicationId, folder)
-    if place not in _STORED:
-        path = new_shared_path(spark, "frames")
-        tasks = spark.sparkContext.defaultParallelism
-        view(spark, folder, "v_frame").repartition(tasks).write.parquet(path)
-        _STORED[place] = path
-    return spark.read.schema("event_id long, frame string").parquet(_STORED[place])
-
-
 def _good(spark, folder):
-    return frames.decode_frames(frame_messages(spark, folder))[0]
+    return frames.decode_frames(view(spark, folder, "v_frame"))[0]
 
 
 @register
@@ -177,13 +168,13 @@ def decode_frames(spark, folder):
 
 @register
 def frame_header(spark, folder):
-    parsed = frames.parse_frames(frame_messages(spark, folder)).where(F.col("header").isNotNull())
-    return parsed.select("event_id", "header.*").drop("sub_package_total", "sub_package_seq")
+    parsed = frames.parse_frames(view(spark, folder, "v_frame")).where(F.col("header").isNotNull())
+    return parsed.select("event_id", "header.*")
 
 
 @register
 def frame_checksum(spark, folder):
-    parsed = frames.parse_frames(frame_messages(spark, folder)).where(F.col("reject_reason").isNull())
+    parsed = frames.parse_frames(view(spark, folder, "v_frame")).where(F.col("reject_reason").isNull())
     return parsed.select("event_id", "checksum", "checksum_ok")
 
 
@@ -207,7 +198,7 @@ def frame_tlv(spark, folder):
 
 @register
 def decode_rejects(spark, folder):
-    return frames.decode_frames(frame_messages(spark, folder))[1].select("event_id", "reject_reason")
+    return frames.decode_frames(view(spark, folder, "v_frame"))[1].select("event_id", "reject_reason")
 
 
 # ---- cleaning ---------------------------------------------------------------------------
@@ -225,7 +216,7 @@ def plausible_tracks(spark, folder):
 
 @register
 def today_tracks(spark, folder):
-    return clean.on_day(view(spark, folder, "v_track"), AS_OF).select("event_id", "vehicle_id", "t_sec")
+    return clean.on_date(view(spark, folder, "v_track"), AS_OF).select("event_id", "vehicle_id", "t_sec")
 
 
 @register
@@ -326,7 +317,7 @@ def data_bus(spark, folder):
 
 @register
 def join_region(spark, folder):
-    out = proximity.with_region(located(spark, folder), view(spark, folder, "v_area"))
+    out = proximity.with_region(admitted(spark, folder), view(spark, folder, "v_area"))
     return out.select("event_id", "region_id", "region_name")
 
 
@@ -339,7 +330,7 @@ def all_sites(spark, folder):
 
 @register
 def join_site_500m(spark, folder):
-    out = proximity.with_site(located(spark, folder), view(spark, folder, "v_site"))
+    out = proximity.with_site(admitted(spark, folder), view(spark, folder, "v_site"))
     return rounded(out.select("event_id", "site_id", "site_name", "site_flag", "site_lng", "site_lat"))
 
 
@@ -359,8 +350,8 @@ def fence_rules(spark, folder):
 
 @register
 def fence_violations(spark, folder):
-    out = proximity.fence_violations(located(spark, folder), view(spark, folder, "v_fence_rule"))
-    return out.select("event_id", "fence_flag", "fence_id", "fence_name", "illegal_type_code")
+    out = proximity.fence_violations(admitted(spark, folder), view(spark, folder, "v_fence_rule"))
+    return out.select("event_id", *alarms.FENCE, "illegal_type_code")
 
 
 @register
@@ -379,8 +370,8 @@ def track_allowed_sites(spark, folder):
 
 @register
 def inout_pairs(spark, folder):
-    disposal = view(spark, folder, "v_site").where(F.col("site_flag") == 2)
-    return proximity.near_sites(located(spark, folder), disposal).select("event_id", "vehicle_id", "site_id")
+    disposal = proximity.audited_disposal(view(spark, folder, "v_site"))
+    return proximity.near_sites(admitted(spark, folder), disposal).select("event_id", "vehicle_id", "site_id")
 
 
 # ---- tonnage ----------------------------------------------------------------------------
@@ -466,7 +457,7 @@ def geo_distance(spark, folder):
 
 @register
 def off_route_points(spark, folder):
-    return alarms.off_route_points(routed(spark, folder)).select("event_id", "vehicle_id", "off_route")
+    return alarms.off_route_points(routed(admitted(spark, folder), spark, folder)).select("event_id", "vehicle_id", "off_route")
 
 
 @register
@@ -506,17 +497,17 @@ def alarm_interval(spark, folder):
 
 @register
 def gps_incomplete_alarms(spark, folder):
-    return rounded(alarms.gps_incomplete_alarms(located(spark, folder)))
+    return rounded(alarms.gps_incomplete_alarms(cleaned(spark, folder)))
 
 
 @register
 def fence_alarms(spark, folder):
-    return rounded(alarms.fence_alarms(located(spark, folder), view(spark, folder, "v_fence_rule")))
+    return rounded(alarms.fence_alarms(cleaned(spark, folder), view(spark, folder, "v_fence_rule")))
 
 
 @register
 def off_route_alarms(spark, folder):
-    return rounded(alarms.off_route_alarms(routed(spark, folder)))
+    return rounded(alarms.off_route_alarms(routed(cleaned(spark, folder), spark, folder)))
 
 
 @register
@@ -546,7 +537,7 @@ def alarm_scores(spark, folder):
 
 @register
 def alarm_enriched(spark, folder):
-    found = alarms.gps_incomplete_alarms(located(spark, folder))
+    found = alarms.gps_incomplete_alarms(cleaned(spark, folder))
     out = alarms.enrich_alarms(found, view(spark, folder, "v_score"), F.expr(PROCESSED_AT))
     return rounded(out.select(
         "dept_id", "vehicle_id", "illegal_type_code", "start_sec", "end_sec", "interval_time", "interval_distance",
@@ -558,9 +549,12 @@ def alarm_enriched(spark, folder):
 @register
 def illegal_disposal(spark, folder):
     out = alarms.illegal_disposal(
-        located(spark, folder), view(spark, folder, "v_site"), view(spark, folder, "v_register_card")
+        cleaned(spark, folder), view(spark, folder, "v_site"), view(spark, folder, "v_register_card")
     )
-    return out.select("event_id", "dept_id", "vehicle_id", "site_id", "t_sec", "illegal_type_code")
+    return rounded(out.select(
+        "dept_id", "vehicle_id", "illegal_type_code", "site_id", "start_sec", "start_event_id", "alarm_start_lng",
+        "alarm_start_lat",
+    ))
 
 
 def _trips(spark, folder, strict=False):
@@ -603,17 +597,17 @@ def vehicle_online_time(spark, folder):
 
 @register
 def stop_episodes(spark, folder):
-    return rounded(movement.stop_episodes(located(spark, folder), gap=3600))
+    return rounded(movement.stop_episodes(cleaned(spark, folder), gap=3600))
 
 
 @register
 def stop_episodes_three_minutes(spark, folder):
-    return rounded(movement.stop_episodes(located(spark, folder)))
+    return rounded(movement.stop_episodes(cleaned(spark, folder)))
 
 
 @register
 def inout_dwell(spark, folder):
-    return movement.inout_dwell(located(spark, folder), view(spark, folder, "v_site"))
+    return movement.inout_dwell(cleaned(spark, folder), view(spark, folder, "v_site"))
 
 
 @register

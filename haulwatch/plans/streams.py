@@ -1,7 +1,7 @@
 """The streaming jobs: a stream of bus positions in, a stream of results out.
 
 Each function returns a streaming DataFrame. Start it with a sink of
-:mod:`haulwatch.streaming.sinks`, a checkpoint folder and the trigger of :data:`TRIGGERS`.
+:mod:`haulwatch.streaming.sinks`, a checkpoint folder and a trigger.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulwatch.operators import alarms, clean, proximity
+from haulwatch.operators import alarms, clean, movement, proximity
 from haulwatch.streaming import machines
 from haulwatch.streaming.stateful import run_machine
 
@@ -17,27 +17,33 @@ KEY = ["dept_id", "vehicle_id"]
 # Alarm states need to be kept for two days at most; see run_machine for when to drop them.
 TWO_DAYS = 2 * 86400
 
-# Trigger interval of each job.
-TRIGGERS = {
-    "frames_to_bus": "10 seconds", "frames_to_positions": "3 seconds", "plates_to_positions": "4 seconds",
-    "plates_to_bus": "5 seconds", "positions_to_bus": "5 seconds", "trips": "5 seconds",
-    "fence_alarms": "5 seconds", "gps_incomplete_alarms": "3 seconds", "no_register_alarms": "3 seconds",
-    "off_route_alarms": "3 seconds", "online_time": "5 seconds", "stops": "5 seconds",
-    "dwell": "10 seconds", "illegal_disposal": "5 seconds", "alarm_table": "5 seconds",
-    "trip_table": "5 seconds", "bus_documents": "3 seconds", "bus_table": "5 seconds",
-}
-
-
 def trips(bus: DataFrame, sites: DataFrame, strict: bool = False) -> DataFrame:
     sited = proximity.with_site(clean.admitted(bus), sites)
     out = run_machine(sited, machines.TripMachine(strict=strict), KEY)
     return out.withColumn("vehicle_empty", clean.empty_flag(F.col("from_site_flag")))
 
 
+def trip_records(
+    bus: DataFrame, sites: DataFrame, vehicles: DataFrame, enterprises: DataFrame, strict: bool = False
+) -> DataFrame:
+    """Trips with all columns of the batch operator: places, names, vehicle, enterprise, load."""
+    return movement.with_trip_dims(trips(bus, sites, strict), sites, vehicles, enterprises)
+
+
+def trip_table(
+    bus: DataFrame, sites: DataFrame, vehicles: DataFrame, enterprises: DataFrame, processed_at: Column
+) -> DataFrame:
+    """Rows of the trip table: trips with both end points known."""
+    records = trip_records(bus, sites, vehicles, enterprises, strict=True)
+    return clean.trip_table_row(clean.valid_trips(records), processed_at)
+
+
 def fence_alarms(bus: DataFrame, rules: DataFrame, idle_seconds: int | None = None) -> DataFrame:
     marked = proximity.with_violations(clean.admitted(bus), rules)
-    codes = F.array_distinct(F.transform("violations", lambda v: v["illegal_type_code"]))
-    return run_machine(marked.withColumn("codes", codes), machines.EpisodeMachine(codes="codes"), KEY, idle_seconds)
+    # violations are in match order: of each code the first
+    codes = F.transform("violations", lambda v: F.to_json(F.struct(*[v[c].alias(c) for c in ["illegal_type_code", *alarms.FENCE]])))
+    machine = machines.EpisodeMachine(codes="codes", details=tuple(alarms.FENCE), output=machines.FENCE_OUTPUT)
+    return run_machine(marked.withColumn("codes", codes), machine, KEY, idle_seconds)
 
 
 def gps_incomplete_alarms(bus: DataFrame, idle_seconds: int | None = None) -> DataFrame:
@@ -65,12 +71,13 @@ def stops(bus: DataFrame, gap: int = 180) -> DataFrame:
 
 
 def dwell(bus: DataFrame, sites: DataFrame) -> DataFrame:
-    marked = proximity.with_near_ids(clean.admitted(bus), sites.where(F.col("site_flag") == 2))
+    marked = proximity.with_near_ids(clean.admitted(bus), proximity.audited_disposal(sites))
     return run_machine(marked, machines.DwellMachine(), KEY)
 
 
 def illegal_disposal(bus: DataFrame, sites: DataFrame, cards: DataFrame) -> DataFrame:
-    return alarms.illegal_disposal(clean.admitted(bus), sites, cards)
+    """Every position with its first site; thinned where the alarms are stored."""
+    return alarms.illegal_disposal_points(clean.admitted(bus), sites, cards)
 
 
 def enriched_alarms(found: DataFrame, scores: DataFrame, processed_at: Column) -> DataFrame:

@@ -33,25 +33,26 @@ DEPARTMENTS = range(5)
 
 VIEWS = {
     "v_track": f"""
-SELECT event_id, user_id AS vehicle_id, CAST(user_id % 5 AS INT) AS dept_id, ts, {{SEC}} AS t_sec,
+SELECT event_id, user_id AS vehicle_id, CAST(user_id % 5 AS INT) AS dept_id, ts,
+ CASE WHEN event_id % 89 = 5 THEN NULL ELSE {{SEC}} END AS t_sec,
  CASE WHEN event_type='error' THEN 0.0 ELSE value/4 END AS speed, {_LAT} AS lat, {_LNG} AS lng,
  CASE WHEN user_id % 11 = 0 THEN '0' ELSE '1' END AS manage_state,
  CASE WHEN user_id % 13 = 0 THEN NULL ELSE '1' END AS audit_state,
  CAST(CASE WHEN user_id % 3 = 0 THEN 0 ELSE 1 END AS INT) AS register_card_state
 FROM {{events}}""",
-    # Positions before the vehicle is known: a device id and a plate only.
+    # Positions before the vehicle is known: a device id and a plate only, for some of an unknown vehicle.
     "v_raw_track": f"""
-SELECT event_id, concat('T', CAST(user_id AS STRING)) AS devid,
- concat('Customer#', lpad(CAST(user_id AS STRING), 9, '0')) AS plate, {{SEC}} AS t_sec,
+SELECT event_id, concat(CASE WHEN user_id % 10 = 9 THEN 'U' ELSE 'T' END, CAST(user_id AS STRING)) AS devid,
+ concat(CASE WHEN user_id % 10 = 9 THEN 'Unknown#' ELSE 'Customer#' END, lpad(CAST(user_id AS STRING), 9, '0')) AS plate, {{SEC}} AS t_sec,
  CASE WHEN event_type='error' THEN 0.0 ELSE value/4 END AS speed, {_LAT} AS lat, {_LNG} AS lng
 FROM {{events}}""",
     "v_vehicle": """
 SELECT c_custkey AS vehicle_id, concat('T', CAST(c_custkey AS STRING)) AS terminal_id, c_name AS car_card_number,
  CASE c_custkey % 4 WHEN 0 THEN '0' WHEN 1 THEN '16' WHEN 2 THEN '17' ELSE '99' END AS vehicle_model_id,
- CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_custkey % 10 END AS driver_id, c_nationkey AS enterprise_id, CAST(c_custkey % 5 AS INT) AS dept_id,
+ CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_custkey % 30 END AS driver_id, CASE WHEN c_custkey % 9 = 8 THEN 100 + c_nationkey ELSE c_nationkey END AS enterprise_id, CAST(c_custkey % 5 AS INT) AS dept_id,
  CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE '1' END AS audit_state,
  CASE WHEN c_custkey % 11 = 0 THEN '0' ELSE '1' END AS manage_state
-FROM {customer} WHERE c_custkey % 10 <> 9""",
+FROM {customer}""",
     # Vehicle master with several versions of a row.
     "v_vehicle_history": """
 SELECT c_custkey % 100 AS vehicle_id, c_custkey AS version, c_name AS car_card_number, c_nationkey AS enterprise_id
@@ -60,12 +61,13 @@ FROM {customer}""",
 SELECT CAST(c_custkey % 5 AS INT) AS dept_id, c_custkey AS vehicle_id, CAST(CASE WHEN c_custkey % 6 = 0 THEN 1 ELSE 0 END AS INT) AS state FROM {customer}""",
     "v_driver": " UNION ALL ".join(
         f"SELECT CAST({d} AS INT) AS dept_id, n_nationkey AS driver_id, concat('D', CAST(n_nationkey AS STRING), '-{d}') AS driver_card_number,"
-        " concat('driver ', CAST(n_nationkey AS STRING)) AS driver_name FROM {nation} WHERE n_nationkey < 8"
+        " concat('driver ', CAST(n_nationkey AS STRING)) AS driver_name FROM {nation}"
         for d in DEPARTMENTS
     ),
     "v_enterprise": " UNION ALL ".join(
         f"SELECT CAST({d} AS INT) AS dept_id, n_nationkey AS enterprise_id, n_name AS enterprise_name,"
-        " CAST(n_regionkey AS STRING) AS province_id FROM {nation} WHERE n_nationkey < 20"
+        " CAST(n_regionkey AS STRING) AS province_id, concat('c', CAST(n_nationkey AS STRING)) AS city_id,"
+        " concat('a', CAST(n_nationkey % 7 AS STRING)) AS area_id FROM {nation}"
         for d in DEPARTMENTS
     ),
     "v_register_card": """
@@ -76,10 +78,11 @@ SELECT dept_id, vehicle_id, card_id, disposal_site_id, state, coords FROM (
 SELECT CAST(c_custkey % 5 AS INT) AS dept_id, c_custkey AS vehicle_id, CAST(c_custkey % 4 AS INT) AS state FROM {customer}""",
     "v_site": """
 SELECT s_suppkey AS site_id, s_name AS site_name, CAST(s_suppkey % 5 AS INT) AS dept_id, CAST(CASE WHEN (s_suppkey / 5) % 2 < 1 THEN 1 ELSE 2 END AS INT) AS site_flag,
- CAST(113.60 AS DOUBLE) + CAST((s_suppkey*31) % 40 AS DOUBLE) * CAST(0.002 AS DOUBLE) AS lng, CAST(34.70 AS DOUBLE) + CAST((s_suppkey*17) % 40 AS DOUBLE) * CAST(0.002 AS DOUBLE) AS lat, CAST(CASE WHEN s_suppkey % 17 = 16 THEN 1 ELSE 0 END AS INT) AS is_delete FROM {supplier}""",
+ CAST(113.60 AS DOUBLE) + CAST((s_suppkey*31) % 40 AS DOUBLE) * CAST(0.002 AS DOUBLE) AS lng, CAST(34.70 AS DOUBLE) + CAST((s_suppkey*17) % 40 AS DOUBLE) * CAST(0.002 AS DOUBLE) AS lat, CAST(CASE WHEN s_suppkey % 17 = 16 THEN 1 ELSE 0 END AS INT) AS is_delete,
+ CASE WHEN s_suppkey % 7 = 3 THEN '0' ELSE '1' END AS audit_state, CAST(s_nationkey % 5 AS STRING) AS province_id, concat('c', CAST(s_nationkey AS STRING)) AS city_id, concat('a', CAST(s_suppkey % 20 AS STRING)) AS area_id FROM {supplier}""",
     "v_area": """
 SELECT r_regionkey AS dept_id, r_regionkey*10 + k AS id, concat(r_name, '-', CAST(k AS STRING)) AS city_name, CAST(CASE WHEN r_regionkey = 4 AND k = 1 THEN 0 ELSE 1 END AS INT) AS state,
- CASE k WHEN 0 THEN '113.599,34.699;113.599,34.739;113.639,34.739;113.639,34.699' ELSE '113.621,34.721;113.621,34.785;113.685,34.753' END AS coords FROM (SELECT *, 0 AS k FROM {region} UNION ALL SELECT *, 1 AS k FROM {region}) z""",
+ CASE k WHEN 0 THEN '113.599,34.699;113.599,34.739;113.639,34.739;113.639,34.699;' ELSE '113.621,34.721;113.621,34.785;113.685,34.753' END AS coords FROM (SELECT *, 0 AS k FROM {region} UNION ALL SELECT *, 1 AS k FROM {region}) z""",
     "v_boundary": """
 SELECT n_nationkey AS id, concat('fence-', CAST(n_nationkey AS STRING)) AS name, concat('a', CAST(n_nationkey % 3 AS STRING)) AS area_id,
  CASE n_nationkey % 5 WHEN 0 THEN '[[113.599,34.699],[113.599,34.739],[113.639,34.739],[113.639,34.699]]' ELSE '[[113.621,34.721],[113.621,34.785],[113.685,34.753]]' END AS coords FROM {nation}""",
@@ -96,7 +99,7 @@ SELECT n_nationkey AS condition_id, n_nationkey % 5 AS dept_id, '2024-01-10 00:0
     "v_fence_rule": """
 SELECT condition_id, dept_id, fence_flag, CAST(CASE WHEN fence_flag = 1 THEN 20.0 END AS DOUBLE) AS speed,
  CASE fence_flag WHEN 3 THEN '06:00' WHEN 5 THEN '2024-01-10 00:00' END AS start_date, CASE fence_flag WHEN 3 THEN '22:30:00' WHEN 5 THEN '2024-01-20 12:00' END AS end_date,
- concat('fence-', CAST(condition_id AS STRING)) AS name,
+ concat('fence-', CAST(condition_id AS STRING)) AS name, concat('a', CAST(condition_id % 3 AS STRING)) AS area_id,
  CASE dept_id WHEN 0 THEN '[[113.599,34.699],[113.599,34.739],[113.639,34.739],[113.639,34.699]]' ELSE '[[113.621,34.721],[113.621,34.785],[113.685,34.753]]' END AS coords
 FROM (SELECT n_nationkey AS condition_id, n_nationkey % 5 AS dept_id, CAST(((n_nationkey - n_nationkey % 5) / 5) AS INT) + 1 AS fence_flag FROM {nation}) f""",
     "v_score": " UNION ALL ".join(
@@ -114,7 +117,7 @@ SELECT l_orderkey, l_linenumber, o_custkey AS vehicle_id, CAST(o_custkey % 5 AS
  l_partkey % 50 AS e_site_id, concat('disposal-', CAST(l_partkey % 50 AS STRING)) AS e_site_name, CAST(l_partkey % 5 AS STRING) AS e_site_province_id, concat('c', CAST(l_partkey % 25 AS STRING)) AS e_site_city_id, concat('a', CAST(l_partkey % 10 AS STRING)) AS e_site_area_id
 FROM {lineitem} l JOIN {orders} o ON l_orderkey = o_orderkey JOIN {supplier} s ON l_suppkey = s.s_suppkey JOIN {nation} n ON s.s_nationkey = n.n_nationkey""",
     "v_illegal": """
-SELECT o_custkey AS vehicle_id, c_name AS car_card_number, l_suppkey AS enterprise_id, s_name AS enterprise_name, CASE l_linenumber % 5 WHEN 0 THEN '0110' WHEN 1 THEN '0108' WHEN 2 THEN '0121' WHEN 3 THEN '0107' ELSE '0111' END AS illegal_id,
+SELECT o_custkey AS vehicle_id, c_name AS car_card_number, l_suppkey AS enterprise_id, s_name AS enterprise_name, CASE l_linenumber % 5 WHEN 0 THEN '0110' WHEN 1 THEN '0108' WHEN 2 THEN '0121' WHEN 3 THEN '0107' ELSE '0111' END AS illegal_id, CASE WHEN l_linenumber % 5 = 0 THEN NULL ELSE concat('violation ', CAST(l_linenumber % 5 AS STRING)) END AS illegal_type_short_desc,
  l_tax * 100 AS enterprise_final_score, l_discount * 100 AS vehicle_driver_final_score, CAST(n_regionkey AS STRING) AS province_id, CAST(n_nationkey AS STRING) AS city_id, CAST(o_custkey % 3 AS STRING) AS area_id, CAST(o_custkey % 5 AS INT) AS dept_id, o_orderdate AS create_time
 FROM {lineitem} l JOIN {orders} o ON l_orderkey = o_orderkey JOIN {customer} c ON o_custkey = c_custkey JOIN {supplier} s ON l_suppkey = s_suppkey JOIN {nation} n ON c_nationkey = n_nationkey""",
     # Yesterday's running totals: one row per supplier as if it were a site.

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from haulwatch.functions import timefn
+
 
 def read_topic(
     spark: SparkSession, servers: str, topic: str, *, starting: str = "latest",
@@ -41,6 +43,13 @@ def parse_json(df: DataFrame, schema: StructType, value: str | Column = "value")
     return df.select(F.from_json(column, schema).alias("_r")).select("_r.*")
 
 
+def parse_bus(df: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
+    """Messages of the data bus as the stateful jobs read them: ``t_sec`` from the text of the time, null
+    if that is no time, and ``event_id``, a digest of the message, which a replay gives again."""
+    parsed = df.select(F.from_json(value, schema).alias("_r"), F.xxhash64(value).alias("event_id")).select("_r.*", "event_id")
+    return parsed.withColumn("t_sec", timefn.epoch_seconds(timefn.parse_time(F.col("time"))))
+
+
 def to_json(df: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Rows as (key, value) messages; null fields are written. The key keeps the messages of
     one vehicle in one partition of the topic."""

@@ -21,22 +21,3 @@ BUS = POSITION + (
     "transport_card_state int, service_state int, region_id string, region_name string, at_work int, "
     "mileage double"
 )
-
-ALARM = BUS + (
-    ", fence_id string, fence_name string, fence_area_id string, fence_flag int, "
-    "alarm_start_time string, alarm_start_lng double, alarm_start_lat double, "
-    "alarm_start_address string, alarm_end_time string, alarm_end_lng double, alarm_end_lat double, "
-    "alarm_end_address string, illegal_type_code string, illegal_type_short_desc string, "
-    "illegal_type_desc string, enterprise_score double, vehicle_score double, driver_score double, "
-    "uuid string, scoring_year int, interval_time string, interval_distance double, "
-    "disposal_site_id string, disposal_site_name string, disposal_site_short_name string, "
-    "disposal_type string, disposal_province_id string, disposal_city_id string, "
-    "disposal_area_id string, disposal_address string, disposal_lng double, disposal_lat double, "
-    "month_id string, day_id string, hour_id string"
-)
-
-SITE_VISIT = BUS + (
-    ", site_id string, site_name string, site_address string, site_lng double, site_lat double, "
-    "site_radius int, site_province_id string, site_city_id string, site_area_id string, "
-    "site_flag int, work_state int, inter_time string, work_time string, leave_time string"
-)

@@ -7,6 +7,7 @@ compute the same rows without walking position by position.
 
 from __future__ import annotations
 
+import json
 import math
 import sys
 from dataclasses import dataclass
@@ -81,6 +82,9 @@ ALARM_OUTPUT = (
     "illegal_type_code string, start_sec long, start_event_id long, alarm_start_lng double, "
     "alarm_start_lat double, end_sec long, alarm_end_lng double, alarm_end_lat double"
 )
+FENCE_OUTPUT = ALARM_OUTPUT.replace(
+    ", end_sec", ", fence_flag int, fence_id long, fence_name string, fence_area_id string, end_sec"
+)
 
 
 @dataclass(frozen=True)
@@ -88,12 +92,14 @@ class EpisodeMachine:
     """Alarms that open at an offending position and close at the next one that does not offend.
 
     ``offends`` names a boolean column (null: the position says nothing); ``codes`` names a
-    column with the list of broken codes instead. ``jump_m`` asks for a distance between both."""
+    column with the list of broken codes instead, or, if ``details`` names some, of JSON records with the code
+    and these. ``jump_m`` asks for a distance between both."""
 
     code: str | None = None
     offends: str | None = None
     codes: str | None = None
     jump_m: float | None = None
+    details: tuple[str, ...] = ()
     minutes: int = 3
     output: str = ALARM_OUTPUT
 
@@ -104,6 +110,8 @@ class EpisodeMachine:
     def step(self, state: dict, row: Any) -> list[tuple]:
         if self.codes:
             broken = list(getattr(row, self.codes))
+            if self.details:
+                broken = [json.loads(text) for text in broken]
         else:
             flag = getattr(row, self.offends)
             if not _known(flag):
@@ -111,8 +119,9 @@ class EpisodeMachine:
             broken = [self.code] if flag else []
         here = (int(row.t_sec), int(row.event_id), float(row.lng), float(row.lat))
         opened = state.setdefault("open", {})
-        for code in broken:
-            opened.setdefault(code, here)
+        for found in broken:
+            code = found["illegal_type_code"] if self.details else found
+            opened.setdefault(code, (*here, *[found.get(name) for name in self.details]))
         if broken:
             return []
         out = []

@@ -18,6 +18,7 @@ def _gathered(df: DataFrame, by: list[str]) -> DataFrame:
 
 
 def append_partitioned(df: DataFrame, path: str, by: list[str] | None = None) -> None:
+    """Adds rows to a partitioned table, once: for batch jobs. Streams use :class:`BatchTable`."""
     by = by or PARTITION
     _gathered(df, by).write.mode("append").partitionBy(*by).parquet(path)
 
@@ -34,10 +35,11 @@ def overwrite_static(df: DataFrame, path: str, values: dict[str, str]) -> None:
     df.drop(*values).write.mode("overwrite").parquet(folder)
 
 
-def write_documents(df: DataFrame, path: str, key: str | None = None) -> None:
-    """JSON documents, one per line; with a key a document occurs once."""
+def write_documents(df: DataFrame, path: str, key: str | None = None, batch_id: int = 0) -> None:
+    """JSON documents, one per line; with a key a document occurs once in its batch. A batch owns a folder
+    that a replay replaces."""
     docs = df.dropDuplicates([key]) if key else df
-    docs.write.mode("append").option("ignoreNullFields", "false").json(path)
+    docs.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/batch={batch_id}")
 
 
 def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str, key: list[str]):
@@ -49,14 +51,16 @@ def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str, key: li
 
 
 class BatchTable:
-    """Append-only table of micro-batches. Each batch owns a folder that a replay replaces, so
-    a batch that is run twice leaves its rows once."""
+    """Append-only table of micro-batches, partitioned by ``by`` inside a batch. Each batch owns a
+    folder that a replay replaces, so a batch that is run twice leaves its rows once; readers prune by the
+    partition columns as in any table."""
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, by: list[str] | None = None):
+        self.path, self.by = path, by or []
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        rows = _gathered(df, self.by) if self.by else df
+        rows.write.mode("overwrite").partitionBy(*self.by).parquet(f"{self.path}/batch={batch_id}")
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path).drop("batch")

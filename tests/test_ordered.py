@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from haulwatch.operators import alarms, movement
 from haulwatch.operators.chains import ChainRule, greedy_chain
-from haulwatch.operators.ordered import episodes, with_neighbours
+from haulwatch.operators.ordered import episodes, untimed, with_neighbours
 from haulwatch.streaming import machines
 
 KEY = ["dept_id", "vehicle_id"]
@@ -58,7 +58,7 @@ def test_trips_across_chunks(spark, monkeypatch, seed, strict):
     monkeypatch.setattr(movement, "DAY", 100)  # chunks of 700 seconds
     rows = made_rows(seed)
     df = spark.createDataFrame(rows, SCHEMA)
-    got = movement.trips(df, strict).select(
+    got = movement.trips(df, strict, carry=()).select(
         "vehicle_id", "from_site_id", "from_site_flag", "from_site_inter_sec", "from_site_work_sec",
         "from_site_leave_sec", "to_site_id", "to_site_flag", "to_site_inter_sec",
     )
@@ -111,8 +111,8 @@ def test_stops_and_dwell_across_chunks(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == sorted(want) and want
 
     sites = spark.createDataFrame(
-        [(1, i, 2, 113.6 + i * 0.03, 34.7, 0) for i in range(2)],
-        "dept_id int, site_id long, site_flag int, lng double, lat double, is_delete int",
+        [(1, i, 2, 113.6 + i * 0.03, 34.7, 0, "1") for i in range(2)] + [(1, 9, 2, 113.6, 34.7, 0, "0")],
+        "dept_id int, site_id long, site_flag int, lng double, lat double, is_delete int, audit_state string",
     )
     near = [SimpleNamespace(**dict(zip(NAMES, r)), near=[i for i in range(2) if abs(r[7] - 113.6 - i * 0.03) < 1e-9]) for r in rows]
     expected = []
@@ -124,6 +124,24 @@ def test_stops_and_dwell_across_chunks(spark, monkeypatch):
     assert sorted(map(tuple, found.collect())) == sorted(expected) and expected
 
 
+def test_rows_without_a_time_change_nothing(spark):
+    """Of a vehicle of its own and of one with other rows; they are what `untimed` gives."""
+    rows = made_rows(5, n=300)
+    bad = [(1, v, None, 5000 + v, 1, 1, 0.0, 113.6, 34.7) for v in (0, 3, 77)]
+    df, more = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(rows + bad, SCHEMA)
+    assert sorted(r.event_id for r in untimed(more).collect()) == [5000, 5003, 5077]
+
+    def same(operator):
+        got, want = (sorted(map(tuple, operator(d).collect()), key=repr) for d in (more, df))
+        assert got == want and want
+
+    same(lambda d: movement.trips(d, carry=()))
+    same(lambda d: with_neighbours(d, KEY, ["event_id"], width=400))
+    same(lambda d: episodes(d, KEY, F.col("speed") == 0, F.col("speed") > 10, ["lng"], width=400))
+    same(lambda d: alarms.gps_incomplete_candidates(d))
+    same(lambda d: alarms.no_register_alarms(d.withColumn("register_card_state", F.lit(0))))
+
+
 def test_neighbours_across_chunks(spark):
     rows = made_rows(3, n=300)
     df = spark.createDataFrame(rows, SCHEMA)

@@ -39,6 +39,27 @@ def test_first_site_and_all_sites(spark):
     assert ids == {k: sorted(i for _, i in v) for k, v in near.items()}
 
 
+def test_poles_and_the_date_line(spark):
+    sites = [(1, 1, 1, 179.9995, 10.0, 0), (1, 2, 1, -179.9995, 10.0, 0), (1, 3, 1, 0.0, 89.9999, 0), (1, 4, 1, 30.0, 89.0, 0)]
+    points = [(1, 1, 179.9999, 10.0), (2, 1, -179.9999, 10.0), (3, 1, 180.0, 10.0), (4, 1, 170.0, 89.9998), (5, 1, -95.0, 89.9999),
+              (6, 1, 30.2, 89.0), (7, 1, 0.0, 10.0)]
+    s, p = spark.createDataFrame(sites, SITES), spark.createDataFrame(points, POINTS)
+    want = sorted((q[0], t[1]) for q in points for t in sites if metres(q[2:4], t[3:5]) < 500)
+    assert sorted((r.event_id, r.site_id) for r in proximity.near_sites(p, s).collect()) == want
+    first = {r.event_id: r.site_id for r in proximity.with_site(p, s).collect()}
+    assert first == {q[0]: min((i for e, i in want if e == q[0]), default=None) for q in points}
+
+
+def test_areas_with_odd_texts(spark):
+    areas = spark.createDataFrame(
+        [(1, 1, "plain", 1, "0,0;0,2;2,2;2,0"), (2, 2, "closed", 1, "0,0;0,2;2,2;2,0;"), (3, 3, "bad", 1, "0,0;0,x;2,2"),
+         (4, 4, "none", 1, None)], "dept_id int, id int, city_name string, state int, coords string")
+    points = spark.createDataFrame([(i, i, 1.0, 1.0) for i in (1, 2, 3, 4)] + [(5, 1, None, None)], POINTS)
+    got = {r.event_id: r.region_name for r in proximity.with_region(points, areas).collect()}
+    assert got == {1: "plain", 2: "closed", 3: None, 4: None, 5: None}
+    assert sorted(r.id for r in proximity.bad_areas(areas).collect()) == [3, 4]
+
+
 def test_a_site_that_covers_a_cell_ends_its_list(spark):
     sites, _ = made(9)
     size, live = proximity.FIRST_SITE_CELL_DEG, spark.createDataFrame(sites, SITES)
@@ -49,7 +70,7 @@ def test_a_site_that_covers_a_cell_ends_its_list(spark):
         kept.setdefault((r.dept_id, r._cx, r._cy), set()).add((r.site_flag, r.site_id))
     by_cell = {}
     for d, cx, cy, flag, site, lng, lat in pairs:
-        far = max(metres((lng, lat), ((cx + i) * size, (cy + j) * size)) for i in (0, 1) for j in (0, 1))
+        far = max(metres((lng, lat), ((cx + i) * size - 180.0, (cy + j) * size)) for i in (0, 1) for j in (0, 1))
         by_cell.setdefault((d, cx, cy), []).append(((flag, site), far <= 499.0))
     for cell, found in by_cell.items():
         stop = min((rank for rank, covers in found if covers), default=(99, 0))

@@ -5,10 +5,11 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from haulwatch.operators import alarms, clean, enrich, movement, proximity
 from haulwatch.plans import streams
-from haulwatch.sources import messages
+from haulwatch.sources import messages, schemas
 from haulwatch.sources.derived import view
 from haulwatch.streaming import sinks
 from haulwatch.streaming.dims import RefreshedDim, per_batch
@@ -90,9 +91,9 @@ def test_stream_equals_batch(spark, small, medium, tracks, in_order, tmp_path, n
     if name.startswith("trips"):
         strict = name == "trips_strict"
         got = streams.trips(live, sites, strict)
-        want, columns = movement.trips(proximity.with_site(batch, sites), strict), TRIP
+        want, columns = movement.trips(proximity.with_site(batch, sites), strict, carry=()), TRIP
     elif name == "fence":
-        got, want, columns = streams.fence_alarms(live, rules), alarms.fence_alarms(batch, rules), ALARM
+        got, want, columns = streams.fence_alarms(live, rules), alarms.fence_alarms(batch, rules), [*ALARM, *alarms.FENCE]
     elif name == "gps":
         got, want, columns = streams.gps_incomplete_alarms(live), alarms.gps_incomplete_alarms(batch), ALARM
     elif name == "route":
@@ -111,13 +112,41 @@ def test_stream_equals_batch(spark, small, medium, tracks, in_order, tmp_path, n
         got, want = streams.dwell(live, sites), movement.inout_dwell(batch, sites)
         columns = [*KEY, "site_id", "enter_sec", "exit_sec"]
     else:
-        got, want = streams.illegal_disposal(live, sites, cards), alarms.illegal_disposal(batch, sites, cards)
-        columns = ["event_id", "vehicle_id", "site_id"]
+        got, want = streams.illegal_disposal(live, sites, cards), alarms.illegal_disposal_points(batch, sites, cards)
+        columns = [*KEY, "start_sec", "start_event_id", "site_id"]
     done, last_batch = run(spark, got, tmp_path)
     assert last_batch >= 2, "needs several micro-batches"
     same(done, want, columns)
 
 
+def test_trip_table_from_the_bus(spark, small, medium, in_order, tracks, tmp_path):
+    """All columns of the trip table, from the stream and from the batch operator."""
+    sites, vehicles, firms = (view(spark, f, n) for f, n in (
+        (small, "v_site"), (medium, "v_vehicle"), (small, "v_enterprise")))
+    at = F.expr("TIMESTAMP_NTZ'2024-01-31 07:05:09'")
+    got = streams.trip_table(stream(spark, in_order, tracks.schema), sites, vehicles, firms, at)
+    known = vehicles.select(*KEY, "vehicle_model_id", "car_card_number", "enterprise_id")
+    sited = proximity.with_site(clean.admitted(tracks), sites).join(known, KEY, "left").join(
+        firms, ["dept_id", "enterprise_id"], "left")
+    want = clean.trip_table_row(clean.valid_trips(movement.trips(sited, strict=True)), at)
+    done, _ = run(spark, got, tmp_path)
+    same(done, want, want.columns)
+    assert done.where("province_id is not null and s_site_city_id is not null and load > 0").count()
+
+
+def test_bus_messages_feed_the_stateful_jobs(spark, tracks, tmp_path):
+    """JSON of the bus, with a time as text, some of it no time."""
+    text = F.when(F.col("event_id") % 50 == 0, "2024-13-45 00:00:00").otherwise(
+        F.date_format(F.timestamp_seconds("t_sec"), "yyyy-MM-dd HH:mm:ss"))
+    sent = messages.to_json(tracks.withColumn("time", text).drop("t_sec", "ts", "event_id")).dropDuplicates(["value"])
+    bus = messages.parse_bus(sent, StructType.fromDDL(schemas.BUS))
+    assert bus.where("t_sec is null").count() and bus.select("event_id").distinct().count() == sent.count()
+    sent.coalesce(1).write.parquet(f"{tmp_path}/in")
+    live = messages.parse_bus(stream(spark, f"{tmp_path}/in", sent.schema), StructType.fromDDL(schemas.BUS))
+    done, _ = run(spark, streams.gps_incomplete_alarms(live), tmp_path)
+    same(done, alarms.gps_incomplete_alarms(clean.admitted(bus)), ALARM)
+
+
 def test_checkpoint_restart_adds_nothing(spark, small, tracks, in_order, tmp_path):
     live = lambda: streams.gps_incomplete_alarms(stream(spark, in_order, tracks.schema))
     first = run(spark, live(), tmp_path)[0].count()
@@ -165,8 +194,15 @@ def test_current_state_upsert_survives_replay(spark, small, tracks, tmp_path):
     assert got == want and table.read(spark, 1).count() == known.count()
 
 
-def test_batch_table_replay(spark, tracks, tmp_path):
-    table = sinks.BatchTable(f"{tmp_path}/t")
+def test_documents_replay(spark, tracks, tmp_path):
+    for batch_id in (0, 1, 1):
+        sinks.write_documents(tracks.drop("ts").where(F.col("event_id") % 2 == batch_id), f"{tmp_path}/d", "event_id", batch_id)
+    assert spark.read.json(f"{tmp_path}/d").count() == tracks.count()
+
+
+@pytest.mark.parametrize("by", [[], ["dept_id", "manage_state"]])
+def test_batch_table_replay(spark, tracks, tmp_path, by):
+    table = sinks.BatchTable(f"{tmp_path}/t", by)
     for batch_id in (0, 1, 1):
         table.write(tracks.where(F.col("event_id") % 2 == batch_id), batch_id)
     assert table.read(spark).count() == tracks.count()
