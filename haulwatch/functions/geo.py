@@ -110,13 +110,14 @@ def polygon_edges(ring: Column) -> Column:
     return F.transform(ring, edge)
 
 
-def in_polygon(lng: Column, lat: Column, edges: Column) -> Column:
-    """Even-odd test against edges made by :func:`polygon_edges`."""
+def in_polygon(lng: Column, lat: Column, edges: Column, odd: Column | int = 0) -> Column:
+    """Even-odd test against edges made by :func:`polygon_edges`; ``odd`` is 1 if an odd number of edges
+    that are crossed anyhow was left out."""
     def crossed(e: Column) -> Column:
         cut = F.try_divide((e["py"] - e["y"]) * (lng - e["x"]), e["px"] - e["x"]) + e["y"]
         return ((e["x"] > lng) != (e["px"] > lng)) & (lat < cut)
 
-    return F.size(F.filter(edges, crossed)) % 2 == 1
+    return (F.size(F.filter(edges, crossed)) + odd) % 2 == 1
 
 
 def route_vertices(coords: Column) -> Column:

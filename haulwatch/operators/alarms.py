@@ -97,22 +97,23 @@ def gps_incomplete_alarms(tracks: DataFrame) -> DataFrame:
     return thin_alarms(gps_incomplete_candidates(tracks))
 
 
-def off_route_points(tracks: DataFrame, radius_m: float = 500.0) -> DataFrame:
+def off_route_points(tracks: DataFrame, radius_m: float = 500.0, vertices: str | None = None) -> DataFrame:
     """Positions of vehicles with a permit; ``off_route`` is false when a vertex of a permitted
-    route is near."""
+    route is near. ``vertices`` names the column with parsed routes, if they were parsed per vehicle; a
+    message of the bus has their text only."""
     permitted = tracks.where(F.col("register_card_state") == 1)
-    far = geo.off_route(F.col("lng"), F.col("lat"), geo.route_vertices(F.col("coords")), radius_m)
-    return permitted.withColumn("off_route", far)
+    routes = geo.route_vertices(F.col("coords")) if vertices is None else F.col(vertices)
+    return permitted.withColumn("off_route", geo.off_route(F.col("lng"), F.col("lat"), routes, radius_m))
 
 
-def off_route_candidates(tracks: DataFrame) -> DataFrame:
-    points = off_route_points(tracks).select(*KEY, "t_sec", "event_id", "lng", "lat", "off_route")
+def off_route_candidates(tracks: DataFrame, vertices: str | None = None) -> DataFrame:
+    points = off_route_points(tracks, vertices=vertices).select(*KEY, "t_sec", "event_id", "lng", "lat", "off_route")
     off = F.col("off_route")
     return _candidates(episodes(points, KEY, off, ~off, ["lng", "lat"]), F.lit(OFF_ROUTE))
 
 
-def off_route_alarms(tracks: DataFrame) -> DataFrame:
-    return thin_alarms(off_route_candidates(tracks))
+def off_route_alarms(tracks: DataFrame, vertices: str | None = None) -> DataFrame:
+    return thin_alarms(off_route_candidates(tracks, vertices))
 
 
 def no_register_alarms(tracks: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from haulwatch.functions import geo
 from haulwatch.sources.tables import latest_per_key
 
 VEHICLE_KEY = ["dept_id", "vehicle_id"]
@@ -63,9 +64,14 @@ def card_routes(cards: DataFrame) -> DataFrame:
     )
 
 
-def with_register_card(df: DataFrame, cards: DataFrame) -> DataFrame:
+def with_register_card(df: DataFrame, cards: DataFrame, vertices: bool = False) -> DataFrame:
+    """Adds the permit flag and the routes as text. With ``vertices`` the routes are parsed too, once per
+    vehicle, into ``route_vertices``."""
     base = df.drop("register_card_state", "coords")
-    return base.join(card_routes(cards), VEHICLE_KEY, "left").withColumn(
+    routes = card_routes(cards)
+    if vertices:
+        routes = routes.withColumn("route_vertices", geo.route_vertices(F.col("coords")))
+    return base.join(routes, VEHICLE_KEY, "left").withColumn(
         "register_card_state", F.coalesce("register_card_state", F.lit(0))
     )
 

@@ -119,13 +119,15 @@ def online_time_of_day(tracks: DataFrame) -> DataFrame:
 
 def vehicle_current_state(tracks: DataFrame, known: DataFrame) -> DataFrame:
     """Snapshot rows replaced by the newest position of their vehicle. Vehicles that are not in
-    the snapshot are not added; vehicles without a new position keep their row. One row per
-    vehicle after a map-side aggregate."""
-    state = ["t_sec", "event_id", "lng", "lat", "speed"]
-    newest = tracks.where(F.col("t_sec").isNotNull()).groupBy(*KEY).agg(F.max(F.struct(*state)).alias("_n"))
-    online = online_time_of_day(tracks)
-    last_day = online.groupBy(*KEY).agg(F.max(F.struct("day", "online_time")).alias("_o"))
-    fresh = newest.join(last_day, KEY).select(
+    the snapshot are not added; vehicles without a new position keep their row. Positions are read once and
+    summed per vehicle and day on the map side."""
+    state = F.struct("t_sec", "event_id", "lng", "lat", "speed")
+    day = timefn.day_number(F.col("t_sec")).alias("day")
+    days = tracks.where(F.col("t_sec").isNotNull()).groupBy(*KEY, day).agg(
+        F.max(state).alias("_n"), (F.max("t_sec") - F.min("t_sec")).alias("online_time")
+    )
+    last = days.groupBy(*KEY).agg(F.max(F.struct("day", "_n", "online_time")).alias("_o"))
+    fresh = last.select(*KEY, F.col("_o._n").alias("_n"), "_o").select(
         *KEY, "_n.t_sec", "_n.lng", "_n.lat", "_n.speed", F.col("_o.online_time").alias("online_time"),
         F.lit(0).alias("vehicle_status"), F.when(F.col("_n.speed") > 0, 1).otherwise(0).alias("online_status"),
     )

@@ -148,6 +148,37 @@ def with_near_ids(df: DataFrame, sites: DataFrame, radius_m: float = SITE_RADIUS
     return joined.select(*df.columns, F.transform(hits, lambda s: s["site_id"]).alias("near"))
 
 
+# Positions within this many degrees of a cell's rim count as inside it when edges are left out.
+RIM_DEG = 1e-9
+
+
+def _clipped_cells(dim: DataFrame, ring: str, size: float) -> DataFrame:
+    """Polygons in the cells they touch, with ``edges``, those that a position in the cell may have above it or
+    not, and ``odd``, whether an odd number of others is above every position of the cell. Cells outside
+    the polygon are left out, cells inside it have no edges."""
+    cells = _polygon_cells(dim, ring, size).withColumn("_edges", geo.polygon_edges(F.col(ring)))
+    west, south = F.col("_cx") * size - RIM_DEG, F.col("_cy") * size - RIM_DEG
+    east, north = west + (size + 2 * RIM_DEG), south + (size + 2 * RIM_DEG)
+
+    def height(e: Column, x: Column) -> Column:
+        return F.try_divide((e["py"] - e["y"]) * (x - e["x"]), e["px"] - e["x"]) + e["y"]
+
+    def spans(e: Column) -> Column:
+        return (F.least(e["x"], e["px"]) <= west) & (F.greatest(e["x"], e["px"]) >= east)
+
+    def above(e: Column) -> Column:
+        return F.coalesce(spans(e) & (F.least(height(e, west), height(e, east)) > north), F.lit(False))
+
+    def matters(e: Column) -> Column:
+        beside = (F.greatest(e["x"], e["px"]) < west) | (F.least(e["x"], e["px"]) > east)
+        below = (F.greatest(e["y"], e["py"]) < south) | F.coalesce(
+            spans(e) & (F.greatest(height(e, west), height(e, east)) < south), F.lit(False))
+        return ~beside & ~below & ~above(e)
+
+    cells = cells.withColumns({"edges": F.filter("_edges", matters), "odd": F.size(F.filter("_edges", above)) % 2})
+    return cells.where((F.size("edges") > 0) | (F.col("odd") == 1)).drop("_edges")
+
+
 def _polygon_cells(dim: DataFrame, ring: str, size: float) -> DataFrame:
     """Polygons repeated for every cell of their bounding box."""
     def axis(name: str) -> Column:
@@ -179,13 +210,13 @@ def with_region(df: DataFrame, areas: DataFrame, cell_deg: float = AREA_CELL_DEG
     dim = active.select(
         "dept_id", "_a.*", geo.polygon_from_text(F.col("coords")).alias("_ring")
     ).where(~_bad_ring("_ring"))
-    dim = _polygon_cells(dim, "_ring", cell_deg)
-    entry = F.struct("id", "city_name", geo.polygon_edges(F.col("_ring")).alias("edges"))
+    dim = _clipped_cells(dim, "_ring", cell_deg)
+    entry = F.struct("id", "city_name", "edges", "odd")
     cells = dim.select("dept_id", "_cx", "_cy", entry.alias("_e")).groupBy("dept_id", "_cx", "_cy").agg(
         F.array_sort(F.collect_list("_e")).alias("_areas")
     )
     joined = _point_cells(df, cell_deg).join(cells, ["dept_id", "_cx", "_cy"], "left")
-    hit = F.filter("_areas", lambda a: geo.in_polygon(F.col("lng"), F.col("lat"), a["edges"]))
+    hit = F.filter("_areas", lambda a: geo.in_polygon(F.col("lng"), F.col("lat"), a["edges"], a["odd"]))
     return joined.withColumn("_hit", F.get(hit, F.lit(0))).select(
         *df.columns, F.col("_hit.id").alias("region_id"), F.col("_hit.city_name").alias("region_name")
     )
@@ -222,11 +253,11 @@ def with_violations(df: DataFrame, rules: DataFrame, cell_deg: float = AREA_CELL
     the position and whose condition it breaks. Empty when there is none."""
     code = F.create_map(*[F.lit(v) for pair in FENCE_CODES.items() for v in pair])
     dim = rules.withColumn("_ring", geo.polygon_from_json(F.col("coords"))).where(F.size("_ring") > 2)
-    dim = _polygon_cells(dim, "_ring", cell_deg)
+    dim = _clipped_cells(dim, "_ring", cell_deg)
     entry = F.struct(
         "fence_flag", F.col("condition_id").alias("fence_id"), F.col("name").alias("fence_name"),
         F.col("area_id").alias("fence_area_id"), code[F.col("fence_flag")].alias("illegal_type_code"), "speed", "start_date", "end_date",
-        geo.polygon_edges(F.col("_ring")).alias("edges"),
+        "edges", "odd",
     )
     cells = dim.select("dept_id", "_cx", "_cy", entry.alias("_e")).groupBy("dept_id", "_cx", "_cy").agg(
         F.array_sort(F.collect_list("_e")).alias("_rules")
@@ -234,7 +265,7 @@ def with_violations(df: DataFrame, rules: DataFrame, cell_deg: float = AREA_CELL
     joined = _point_cells(df, cell_deg).join(cells, ["dept_id", "_cx", "_cy"], "left")
     broken = F.filter(
         F.col("_rules"),
-        lambda r: geo.in_polygon(F.col("lng"), F.col("lat"), r["edges"]) & F.coalesce(_violated(r), F.lit(False)),
+        lambda r: geo.in_polygon(F.col("lng"), F.col("lat"), r["edges"], r["odd"]) & F.coalesce(_violated(r), F.lit(False)),
     )
     slim = F.transform(
         broken,

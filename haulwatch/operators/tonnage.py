@@ -42,7 +42,22 @@ def disposal_stats(trips: DataFrame, flag_side: str = "start") -> DataFrame:
 
 
 def build_disposal_daily(trips: DataFrame) -> DataFrame:
-    return build_stats(trips).unionByName(disposal_stats(trips))
+    """Both figures in one pass: the start flag says whether a trip counts for its start or its end site."""
+    build, disposal = F.col("s_site_flag").isin(1, 3), F.col("s_site_flag").isin(2, 4)
+    parts = {"province_id": "area_id1", "city_id": "area_id2", "area_id": "area_id3", "id": "site_id", "name": "site_name"}
+    site = [
+        F.when(build, F.col(f"s_site_{part}").cast("string")).otherwise(F.col(f"e_site_{part}").cast("string")).alias(name)
+        for part, name in parts.items()
+    ]
+    stats = trips.where(build | disposal).groupBy(build.alias("_build"), *site, "dept_id").agg(
+        F.sum("load").alias("_sum"), F.count("load").alias("_count")
+    )
+    zero = {"sum": F.col("_sum") * 0, "count": F.lit(0).cast("long")}
+    measures = [
+        F.when(F.col("_build") == (own == "build"), F.col(f"_{of}")).otherwise(zero[of]).alias(f"{own}_{of}")
+        for own in ("build", "disposal") for of in ("sum", "count")
+    ]
+    return stats.select(*SITE_KEYS, *measures)
 
 
 def _sums() -> list:
@@ -67,7 +82,18 @@ def site_totals(daily: DataFrame) -> DataFrame:
 
 
 def cumulative_amount(daily: DataFrame, area_names: DataFrame, before: DataFrame) -> DataFrame:
-    """Yesterday's running totals plus the totals of the day, by (site, name, department)."""
+    """Yesterday's running totals plus the totals of the day, by (site, name, department). Sites and the three
+    levels of area are summed in one pass over the day."""
     columns = ["site_id", "site_name", "dept_id", *MEASURES]
-    today = area_rollup(daily, area_names).select(*columns).unionByName(site_totals(daily).select(*columns))
+    none = F.lit(None).cast("string")
+    levels = F.array(
+        F.struct(F.lit(True).alias("site"), F.col("site_id").alias("id"), F.col("site_name").alias("name")),
+        *[F.struct(F.lit(False).alias("site"), F.col(f"area_id{i}").alias("id"), none.alias("name")) for i in (1, 2, 3)],
+    )
+    long = daily.withColumn("_l", F.explode(levels)).where(F.col("_l.site") | (F.col("_l.id") != ""))
+    totals = long.groupBy("_l.site", "_l.id", "_l.name", "dept_id").agg(*_sums())
+    names = area_names.select(F.lit(False).alias("site"), "id", "area_name")
+    today = totals.join(names, ["site", "id"], "left").withColumns(
+        {"site_id": F.col("id"), "site_name": F.when(F.col("site"), F.col("name")).otherwise(F.col("area_name"))}
+    ).select(*columns)
     return today.unionByName(before.select(*columns)).groupBy("site_id", "site_name", "dept_id").agg(*_sums())

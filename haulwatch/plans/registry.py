@@ -59,7 +59,7 @@ def sited(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def routed(positions: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
-    return enrich.with_register_card(positions, view(spark, folder, "v_register_card"))
+    return enrich.with_register_card(positions, view(spark, folder, "v_register_card"), vertices=True)
 
 
 # ---- sources and sinks ------------------------------------------------------------------
@@ -457,7 +457,7 @@ def geo_distance(spark, folder):
 
 @register
 def off_route_points(spark, folder):
-    return alarms.off_route_points(routed(admitted(spark, folder), spark, folder)).select("event_id", "vehicle_id", "off_route")
+    return alarms.off_route_points(routed(admitted(spark, folder), spark, folder), vertices="route_vertices").select("event_id", "vehicle_id", "off_route")
 
 
 @register
@@ -507,7 +507,7 @@ def fence_alarms(spark, folder):
 
 @register
 def off_route_alarms(spark, folder):
-    return rounded(alarms.off_route_alarms(routed(cleaned(spark, folder), spark, folder)))
+    return rounded(alarms.off_route_alarms(routed(cleaned(spark, folder), spark, folder), vertices="route_vertices"))
 
 
 @register

@@ -39,6 +39,32 @@ def test_first_site_and_all_sites(spark):
     assert ids == {k: sorted(i for _, i in v) for k, v in near.items()}
 
 
+def test_clipped_polygons(spark):
+    """Cells of any size, many-cornered polygons, positions on corners and cell rims."""
+    rng = random.Random(3)
+    rings = [[(rng.uniform(0, 3), rng.uniform(0, 3)) for _ in range(rng.randrange(3, 40))] for _ in range(12)]
+    rings += [[(0, 0), (0, 2), (2, 2), (2, 0)], [(0.5, 0.5), (0.5, 2.5), (2.5, 0.5)]]
+    spots = [(rng.uniform(-0.2, 3.2), rng.uniform(-0.2, 3.2)) for _ in range(250)]
+    spots += [(x / 2, y / 2) for x in range(7) for y in range(7)]
+
+    def inside(x, y, ring):
+        odd = False
+        for (ax, ay), (bx, by) in zip(ring, [ring[-1], *ring[:-1]]):
+            if (ax > x) != (bx > x) and y < (by - ay) * (x - ax) / (bx - ax) + ay:
+                odd = not odd
+        return odd
+
+    areas = spark.createDataFrame(
+        [(d, d, f"a{d}", 1, ";".join(f"{x},{y}" for x, y in ring)) for d, ring in enumerate(rings)],
+        "dept_id int, id int, city_name string, state int, coords string")
+    points = spark.createDataFrame(
+        [(d * 1000 + i, d, x, y) for d in range(len(rings)) for i, (x, y) in enumerate(spots)], POINTS)
+    want = {d * 1000 + i for d, ring in enumerate(rings) for i, (x, y) in enumerate(spots) if inside(x, y, ring)}
+    for size in (0.05, 0.5, 10.0):
+        got = proximity.with_region(points, areas, size).where("region_id is not null")
+        assert {r.event_id for r in got.collect()} == want, size
+
+
 def test_poles_and_the_date_line(spark):
     sites = [(1, 1, 1, 179.9995, 10.0, 0), (1, 2, 1, -179.9995, 10.0, 0), (1, 3, 1, 0.0, 89.9999, 0), (1, 4, 1, 30.0, 89.0, 0)]
     points = [(1, 1, 179.9999, 10.0), (2, 1, -179.9999, 10.0), (3, 1, 180.0, 10.0), (4, 1, 170.0, 89.9998), (5, 1, -95.0, 89.9999),
