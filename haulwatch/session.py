@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -60,5 +62,23 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hands this package to the executors, as ``--py-files`` does, so that functions of its modules can be named
+    there whatever folder the workers were started in. Once per application; Spark serves the file itself."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="haulwatch-code-"), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def new_shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
