@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from haulwatch.llm import line_dedup, mixing, near_dedup, packing, quality_crf
 from haulwatch.llm.common import documents, labels, saved
+from haulwatch.session import ship
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,12 +44,21 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed(docs, packing.vocabulary())
 
 
+def _shipped(stage):
+    """The stage, for sessions whose executors may not have the package yet."""
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality classifier", quality),
-    ("line dedup", lines),
-    ("near copies", near_copies),
-    ("mixing", mix),
-    ("packing", pack),
+    ("quality classifier", _shipped(quality)),
+    ("line dedup", _shipped(lines)),
+    ("near copies", _shipped(near_copies)),
+    ("mixing", _shipped(mix)),
+    ("packing", _shipped(pack)),
 ]
 #: No SQL: the classifier is trained, the mix drawn, and the tokenizer's ids come from a vocabulary file.
 ORACLE_SQL = None

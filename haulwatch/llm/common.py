@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwatch.session import new_shared_path
+from haulwatch.session import new_shared_path, ship
 
 #: A word is a run of characters other than the ASCII blanks (space, tab, LF, VT, FF, CR).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -14,6 +14,7 @@ BLANKS = r"[\x20\x09-\x0D]+"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
