@@ -14,7 +14,8 @@ HEADLINE = [
     "build_disposal_daily", "cumulative_amount", "rank_by_type", "rank_grouping_sets", "tracks_bd09",
     "decode_frames", "data_bus", "join_site_500m", "join_region", "fence_violations", "trips",
     "gps_incomplete_alarms", "fence_alarms", "no_register_alarms", "vehicle_online_time",
-    "vehicle_current_state", "stop_episodes", "inout_dwell", "hourly_track_counts",
+    "vehicle_current_state", "stop_episodes", "inout_dwell", "hourly_track_counts", "off_route_alarms",
+    "illegal_disposal", "trips_table_row", "ranked_enterprises",
 ]
 
 
