@@ -62,8 +62,8 @@ def no_register_alarms(bus: DataFrame, idle_seconds: int | None = None) -> DataF
     return run_machine(missing, machines.DailyAlarmMachine(), KEY, idle_seconds)
 
 
-def online_time(bus: DataFrame) -> DataFrame:
-    return run_machine(clean.admitted(bus), machines.OnlineMachine(), KEY)
+def online_time(bus: DataFrame, report_late: bool = False) -> DataFrame:
+    return run_machine(clean.admitted(bus), machines.OnlineMachine(), KEY, report_late=report_late)
 
 
 def stops(bus: DataFrame, gap: int = 180) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Positions are grouped by vehicle, so the order of a vehicle's positions is decided in one place:
 inside a micro-batch they are sorted by (time, event id), and a position at or before the last
-one processed is late and ignored. A micro-batch bounds what one task holds of a vehicle; set
+one processed is late: it changes nothing, and is reported if asked for. A micro-batch bounds what one task holds of a vehicle; set
 ``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger`` at the source accordingly.
 """
 
@@ -15,15 +15,22 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STATE = "last_t long, last_id long, body string"
 
 
-def _advance(machine, names: list[str], idle_seconds: int | None):
+LATE = ("late_t_sec", "late_event_id")
+
+
+def _advance(machine, names: list[str], idle_seconds: int | None, report_late: bool):
+    blank = (None,) * len(StructType.fromDDL(machine.output))
+    tail = (None, None) if report_late else ()
+
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
@@ -34,9 +41,11 @@ def _advance(machine, names: list[str], idle_seconds: int | None):
         for row in rows.itertuples(index=False):
             at = (int(row.t_sec), int(row.event_id))
             if last is not None and at <= last:
+                if report_late:
+                    out.append((*key, *blank, *at))
                 continue
             last = at
-            out += [(*key, *emitted) for emitted in machine.step(body, row)]
+            out += [(*key, *emitted, *tail) for emitted in machine.step(body, row)]
         if last is not None:
             state.update((*last, json.dumps(body)))
             if idle_seconds is not None:
@@ -48,19 +57,28 @@ def _advance(machine, names: list[str], idle_seconds: int | None):
 
 
 def run_machine(
-    df: DataFrame, machine, keys: list[str], idle_seconds: int | None = None
+    df: DataFrame, machine, keys: list[str], idle_seconds: int | None = None, report_late: bool = False
 ) -> DataFrame:
     """Rows the machine emits for a stream of positions with ``t_sec`` and ``event_id``.
 
     The state of a vehicle is a few numbers, so by default it is kept. With ``idle_seconds`` the
     state of a vehicle that sent nothing for so long, by the clock, is dropped; such a query always
-    has a next micro-batch, so run it with a processing-time trigger, not with ``availableNow``."""
+    has a next micro-batch, so run it with a processing-time trigger, not with ``availableNow``.
+
+    With ``report_late`` every late position gives a row too, with the columns of :data:`LATE` and none of the
+    machine's; :func:`split_late` parts both in a micro-batch."""
     emitted = StructType.fromDDL(machine.output)
-    result = StructType([StructField(k, df.schema[k].dataType) for k in keys] + emitted.fields)
+    fields = [StructField(k, df.schema[k].dataType) for k in keys] + emitted.fields
+    result = StructType(fields + [StructField(c, LongType()) for c in LATE if report_late])
     rows = df.select(*keys, "t_sec", "event_id", *[c for c in machine.columns if c not in ("t_sec", "event_id")])
     timeout = GroupStateTimeout.NoTimeout if idle_seconds is None else GroupStateTimeout.ProcessingTimeTimeout
-    step = _advance(machine, result.names, idle_seconds)
+    step = _advance(machine, result.names, idle_seconds, report_late)
     return rows.dropna(subset=[*keys, "t_sec"]).groupBy(*keys).applyInPandasWithState(
         step, result, STATE, "append", timeout
     )
 
+
+def split_late(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Results of a machine that reports late positions, and these positions."""
+    late = F.col(LATE[0]).isNotNull()
+    return df.where(~late).drop(*LATE), df.where(late).select(*keys, *[F.col(c).alias(c[5:]) for c in LATE])

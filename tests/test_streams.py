@@ -13,6 +13,7 @@ from haulwatch.sources import messages, schemas
 from haulwatch.sources.derived import view
 from haulwatch.streaming import sinks
 from haulwatch.streaming.dims import RefreshedDim, per_batch
+from haulwatch.streaming.stateful import split_late
 
 N_FILES = 3
 
@@ -162,11 +163,13 @@ def test_late_rows_are_ignored(spark, tracks, tmp_path):
         part.coalesce(1).write.parquet(f"{path}/part{i}")
         for file in glob.glob(f"{path}/part{i}/*.parquet"):
             os.utime(file, (1_700_000_000 + i * 100, 1_700_000_000 + i * 100))
-    done, _ = run(spark, streams.online_time(stream(spark, path, tracks.schema)), tmp_path)
+    both, _ = run(spark, streams.online_time(stream(spark, path, tracks.schema), report_late=True), tmp_path)
+    done, late = split_late(both, KEY)
     newer = clean.admitted(parts[0])
     seen = newer.select(*KEY).distinct()
     older = clean.admitted(parts[1]).join(seen, KEY, "left_anti")
     same(done, movement.vehicle_online_time(newer.unionByName(older)), [*KEY, "event_id", "online_time"])
+    same(late, clean.admitted(parts[1]).join(seen, KEY), [*KEY, "t_sec", "event_id"])
 
 
 def test_hourly_counts_with_watermark(spark, tracks, in_order, tmp_path):
