@@ -23,8 +23,10 @@ BANDS = 50
 ROWS = 5
 #: Words whose hash a Python worker remembers.
 REMEMBERED = 500_000
-#: Shingles hashed at once.
+#: Shingles hashed or compared at once.
 STRETCH = 4096
+#: Sets on either side of a block that is compared in one task.
+BLOCK = 512
 
 _SEED = 1_592_653
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
@@ -121,33 +123,71 @@ def _linked(pct: int) -> Column:
     return 100 * F.col("both") >= pct * F.col("any")
 
 
-def _far(rows: DataFrame, similar: DataFrame) -> DataFrame:
-    """Members of buckets with their distance to the hub, 0 for the hub."""
-    found = similar.select(F.col("a").alias("hub"), F.col("b").alias("node"), (1 - F.col("both") / F.col("any")).alias("d"))
-    return rows.join(found, ["hub", "node"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
-
-
-def _others(members: DataFrame, similar: DataFrame, labels: DataFrame, pct: int) -> DataFrame:
-    """Pairs (a, b) of a bucket that may be linked although they are in different components so far.
-
-    One of them is then not in the component of its hub. Distances are metric, so links need distances to the hub
-    that differ by no more than a link's own; and sizes no further apart than the similarity allows.
-    Distances are laid on cells of that width, neighbouring cells meet by an equi-join."""
+def _buckets(classes: DataFrame) -> DataFrame:
+    """h, hub, node, n of the classes that share a band with another one. The hub of a bucket is the member that shares
+    bands with the most classes in all, so that a text with many altered copies is the hub of most of them."""
+    rows = classes.select("node", "n", F.explode("bands").alias("h"))
+    often = rows.groupBy("h").agg(F.count(F.lit(1)).alias("of")).where("of > 1")
+    rows = saved(rows.join(often, "h"), "buckets")
+    rows = rows.join(rows.groupBy("node").agg(F.sum("of").alias("met")), "node")
+    hubs = rows.groupBy("h").agg(F.max(F.struct("met", (-F.col("node")).alias("node"))).alias("best"))
+    return rows.join(hubs.select("h", (-F.col("best.node")).alias("hub")), "h").select("h", "hub", "node", "n")
+
+
+def _block_links(group: pd.DataFrame, pct: int) -> pd.DataFrame:
+    """Links between the two sides of a block, of different labels, by the exact intersections of their sets. Columns
+    of the tables are the shingles that both sides have, some at a time."""
+    one, two = (group[group["side"] == i] for i in (0, 1))
+    sets = [[np.asarray(x, np.int64) for x in part["shingles"]] for part in (one, two)]
+    if not len(one) or not len(two):
+        return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+    shared = np.intersect1d(np.concatenate(sets[0]), np.concatenate(sets[1]))
+    both = np.zeros((len(one), len(two)), np.float32)
+    places = []
+    for part in sets:
+        row = np.repeat(np.arange(len(part)), [len(x) for x in part])
+        values = np.concatenate(part)
+        at = np.minimum(np.searchsorted(shared, values), max(len(shared) - 1, 0))
+        hit = shared[at] == values if len(shared) else np.zeros(len(values), bool)
+        places.append((row[hit], at[hit]))
+    for first in range(0, len(shared), STRETCH):
+        tables = []
+        for (row, at), part in zip(places, sets):
+            here = (at >= first) & (at < first + STRETCH)
+            table = np.zeros((len(part), STRETCH), np.float32)
+            table[row[here], at[here] - first] = 1
+            tables.append(table)
+        both += tables[0] @ tables[1].T
+    n_one, n_two = (part["n"].to_numpy() for part in (one, two))
+    union = n_one[:, None] + n_two[None, :] - both
+    linked = (100 * both >= pct * union) & (one["label"].to_numpy()[:, None] != two["label"].to_numpy()[None, :])
+    x, y = np.nonzero(linked)
+    return pd.DataFrame({"a": one["node"].to_numpy()[x], "b": two["node"].to_numpy()[y]})
+
+
+def _other_links(members: DataFrame, sets: DataFrame, labels: DataFrame, pct: int) -> DataFrame:
+    """Links (a, b) between members of a bucket that are in different components so far. One of them is then not in
+    the component of its hub. These are compared with all members that share the hub, in blocks of some BLOCK sets a
+    side, so that a task holds two blocks whatever the size of the group, and only links come out of it."""
     label = labels.select("node", "label")
-    rows = _far(members, similar).join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rows = members.where("node <> hub").select("hub", "node").distinct().join(label, "node", "left")
+    rows = rows.withColumn("label", F.coalesce("label", "node"))
     hubs = label.select(F.col("node").alias("hub"), F.col("label").alias("hub_label"))
-    rows = rows.join(hubs, "hub", "left").withColumn("hub_label", F.coalesce("hub_label", "hub"))
-    width = 1 - pct / 100 + 1e-9
-    rows = rows.withColumn("cell", F.floor(F.col("d") / width))
-    mine = rows.where("label <> hub_label").select(
-        "h", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("d").alias("d_x"), F.col("label").alias("l_x"),
-        F.explode(F.array(*[F.col("cell") + i for i in (-1, 0, 1)])).alias("cell"))
-    theirs = rows.where("node <> hub").select("h", "cell", F.col("node").alias("y"), F.col("n").alias("n_y"),
-                                              F.col("d").alias("d_y"), F.col("label").alias("l_y"))
-    near = (F.abs(F.col("d_x") - F.col("d_y")) <= width) & (F.col("l_x") != F.col("l_y")) & (
-        100 * F.least("n_x", "n_y") >= pct * F.greatest("n_x", "n_y"))
-    pairs = mine.join(theirs, ["h", "cell"]).where(near)
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    rows = rows.join(hubs, "hub", "left").withColumn("out", F.col("label") != F.coalesce("hub_label", "hub"))
+    sizes = rows.groupBy("hub").agg(F.count_if("out").alias("outs"), F.count(F.lit(1)).alias("all")).where("outs > 0")
+    rows = saved(rows.join(sizes, "hub").select("hub", "node", "label", "out", *[
+        F.ceil(F.col(c) / BLOCK).alias(c) for c in ("outs", "all")]), "mixed-buckets")
+    spread = F.xxhash64("node", "hub")
+    one = rows.where("out").select(
+        "hub", "node", "label", F.lit(0).alias("side"), F.pmod(spread, F.col("outs")).alias("x"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("all") - 1)).alias("y"))
+    two = rows.select(
+        "hub", "node", "label", F.lit(1).alias("side"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("outs") - 1)).alias("x"),
+        F.pmod(spread, F.col("all")).alias("y"))
+    blocks = one.unionByName(two).join(sets, "node")
+    links = blocks.groupBy("hub", "x", "y").applyInPandas(lambda group: _block_links(group, pct), "a long, b long")
+    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, pct: int = LINKED_PCT) -> DataFrame:
@@ -156,9 +196,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, pct: int = LINKED_PCT) -> D
     Documents with the same set are one class, whatever their number; the rest works on one representative
     per class. Its signature is cut into bands; classes with an equal band share a bucket. In each bucket the
     full sets of all members are compared with that of one of them, the hub, so that a bucket costs as many
-    comparisons as members; links give components. Two members still in different components are compared
-    too, unless their distances to the hub rule a link out: no link that shares a band is lost, and no bucket gives
-    all its pairs. component_id is the smallest doc_id of the component, kept says that the row bears it.
+    comparisons as members; links give components. Members left outside the component of their hub are then
+    compared with the others in blocks: no link that shares a band is lost, and no bucket gives all its pairs. component_id is the smallest doc_id of the component, kept says that the row bears it.
 
     A text without words, also a null one, is linked with nothing and kept. A null doc_id is never the
     smallest unless there is no other; rows that repeat a doc_id and text share their result. Other columns are
@@ -169,9 +208,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, pct: int = LINKED_PCT) -> D
     classes = signed.where("n > 0").groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = saved(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    rows = classes.select("node", "n", F.explode("bands").alias("h"))
-    hubs = rows.groupBy("h").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("of")).where("of > 1")
-    members = saved(rows.join(hubs.drop("of"), "h"), "members")
+    members = saved(_buckets(classes), "members")
     stars = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     wanted = stars.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = wanted.join(classes.select("node", "rep", "key"), "node")
@@ -179,11 +216,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, pct: int = LINKED_PCT) -> D
     similar = saved(_similar(stars, sets), "similar")
     links = similar.where(_linked(pct)).select("a", "b")
     labels = saved(components(links), "labels")
-    others = saved(_others(members, similar, labels, pct), "others")
-    if not others.isEmpty():
-        more = saved(_similar(others, sets), "similar").where(_linked(pct)).select("a", "b")
-        if not more.isEmpty():
-            labels = saved(components(links.unionByName(more)), "labels")
+    more = saved(_other_links(members, sets, labels, pct), "other-links")
+    if not more.isEmpty():
+        labels = saved(components(links.unionByName(more)), "labels")
     found = classes.select("key", "rep", "node").join(labels, "node", "left")
     found = found.withColumn("label", F.coalesce("label", "node"))
     least = found.groupBy("label").agg(F.min("rep").alias("component_id"))

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 
 from fixtures import WORDS, table, texts
@@ -51,14 +52,29 @@ def test_against_all_pairs(spark, width):
     assert got == plain(list(enumerate(rows)), width)
 
 
-def test_members_that_the_hub_does_not_link(spark, monkeypatch):
-    """One band of one value: buckets hold documents that are not alike, and the rest is found inside them."""
-    rows = drifting(3, 80) + drifting(3, 80)[::-1]
+@pytest.mark.parametrize("block", [1, 7, 512])
+def test_members_that_the_hub_does_not_link(spark, monkeypatch, block):
+    """Chains of copies whose ends share bands with the hub but no link; the rest is found in blocks."""
+    monkeypatch.setattr(N, "BLOCK", block)
+    rows = drifting(3, 80) + drifting(3, 80)[::-1] + drifting(8, 50)
     docs = table(spark, rows)
     got = sorted(map(tuple, N.near_duplicates(docs, 2).collect()))
     assert got == plain(list(enumerate(rows)), 2)
 
 
+def test_block_links(monkeypatch):
+    rng = np.random.default_rng(0)
+    sets = [np.sort(rng.choice(14, rng.integers(10, 15), replace=False)) for _ in range(60)]
+    group = pd.DataFrame({"side": [i % 2 for i in range(60)], "node": range(60), "label": [i % 7 for i in range(60)],
+                          "n": [len(x) for x in sets], "shingles": sets})
+    want = {(i, j) for i in range(0, 60, 2) for j in range(1, 60, 2) if i % 7 != j % 7
+            and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+    for stretch in (3, 4096):
+        monkeypatch.setattr(N, "STRETCH", stretch)
+        assert set(map(tuple, N._block_links(group, 80).to_numpy().tolist())) == want and want
+    assert N._block_links(group[group.side == 0], 80).empty
+
+
 def test_signature_in_stretches(monkeypatch):
     x = N.shingles(" ".join(str(i) for i in range(5000)), 2)
     whole = N.signature(x)
