@@ -102,11 +102,14 @@ RIGHTS = r"^(copyright|c|all rights reserved)( |$)"
 OTHER = r"[^\p{L}\p{N}\n]+"
 
 
+def _known_rows() -> list[tuple[str, str]]:
+    notices = [(i, notice.format(name)) for i, names in NAMES.items() for name in names for notice in NOTICES]
+    return [*TEXTS, *notices]
+
+
 def known_licenses(spark: SparkSession) -> DataFrame:
     """license_id, text: a fixed list of some 300 rows, whole licences and the notices of NAMES."""
-    rows = list(TEXTS)
-    rows += [(license_id, notice.format(name)) for license_id, names in NAMES.items() for name in names
-             for notice in NOTICES]
+    rows = _known_rows()
     return small_table(spark, rows, "license_id string, text string")
 
 
@@ -165,7 +168,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def oracle() -> str:
     quote = lambda text: "'" + text.replace("'", "''") + "'"
-    rows = list(TEXTS) + [(i, notice.format(name)) for i, names in NAMES.items() for name in names for notice in NOTICES]
+    rows = _known_rows()
     known = ", ".join(f"({quote(i)}, {quote(text)})" for i, text in rows)
     flat = f"regexp_replace(lower(p), {quote(OTHER)}, ' ', 'g')"
     for other, usual in SPELLINGS:

@@ -150,7 +150,8 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     A null or empty text has no lines with a word and stays as it is. Rows with equal doc_id and text are
     one document and get the same result; different texts under one doc_id are ordered by their hash; rows
-    without a doc_id have no place in that order: they stay as they are and count as no copy. If docs has columns of the added names, they are replaced."""
+    without a doc_id have no place in that order: they stay as they are and count as no copy. Columns of docs
+    with the added names are replaced."""
     runs = repeated_runs(docs, min_words).groupBy(*DOC).agg(
         F.array_sort(F.collect_list(F.struct("first", "last"))).alias("runs"))
     runs = runs.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("runs").alias("_runs"))

@@ -224,8 +224,8 @@ def taken_words(docs: DataFrame) -> DataFrame:
     key = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_of")) & (F.col("_sid") == F.col("_s"))
     rows = rows.select("doc_id", "_size", "_sid").groupBy("doc_id", "_size", "_sid").agg(F.count(F.lit(1)).alias("_n"))
     rows = rows.join(taken, key, "left")
-    totals = small_table(
-        docs.sparkSession, [(s.sid, s.size, float(s.target)) for s in sources], "_sid int, source_size long, target double")
+    totals = [(s.sid, s.size, float(s.target)) for s in sources]
+    totals = small_table(docs.sparkSession, totals, "_sid int, source_size long, target double")
     each = F.transform(F.sequence(F.lit(1), F.col("_n")), lambda i: (
         F.floor(F.col("_taken") * i / F.col("_n")) - F.floor(F.col("_taken") * (i - 1) / F.col("_n"))))
     rows = rows.join(totals, "_sid").withColumn("_each", F.explode(each))

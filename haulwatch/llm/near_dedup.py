@@ -197,7 +197,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, pct: int = LINKED_PCT) -> D
     per class. Its signature is cut into bands; classes with an equal band share a bucket. In each bucket the
     full sets of all members are compared with that of one of them, the hub, so that a bucket costs as many
     comparisons as members; links give components. Members left outside the component of their hub are then
-    compared with the others in blocks: no link that shares a band is lost, and no bucket gives all its pairs. component_id is the smallest doc_id of the component, kept says that the row bears it.
+    compared with the others in blocks: no link that shares a band is lost, and no bucket gives all its pairs.
+    component_id is the smallest doc_id of the component, kept says that the row bears it.
 
     A text without words, also a null one, is linked with nothing and kept. A null doc_id is never the
     smallest unless there is no other; rows that repeat a doc_id and text share their result. Other columns are

@@ -87,7 +87,8 @@ def log_binomial_tail(n: Column, k: Column, risk: float) -> Column:
         return F.struct(term.alias("term"), (high + F.log1p(F.exp(low - high))).alias("total"))
 
     first = F.struct(none.alias("term"), none.alias("total"))
-    return F.when(k < 1, none).otherwise(F.aggregate(F.sequence(F.lit(1), k.cast("int")), first, add, lambda a: a["total"]))
+    total = F.aggregate(F.sequence(F.lit(1), k.cast("int")), first, add, lambda a: a["total"])
+    return F.when(k < 1, none).otherwise(total)
 
 
 def _value(rule: str) -> Column:
