@@ -51,17 +51,19 @@ def test_ids_are_those_of_the_whole_text():
 
     whole = Tokenizer.from_file(P.vocabulary())
     more = [" lead", "trail ", "a  b", "a \n b", "x  y", "it's we'll 's", "a <|endoftext|> b", "tab\t c", "1 2 3\n\n4", "  a b"]
-    for text in [t for t in texts() if t is not None] + more:
+    rows = [t for t in texts() if t is not None] + more
+    for text, got in zip(rows, P.token_ids(rows, P.vocabulary()), strict=True):
         want = np.asarray(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        assert P.token_ids(text, P.vocabulary()) == want, text[:50]
+        assert got == want, text[:50]
 
 
 def test_forgetting_changes_nothing(monkeypatch):
-    words = P._Words(P.vocabulary())
-    want = [words.ids(t) for t in texts() if t]
+    rows = [t for t in texts() if t]
+    want = list(P.token_ids(rows, P.vocabulary()))
     monkeypatch.setattr(P, "REMEMBERED", 5)
-    again = P._Words(P.vocabulary())
-    assert [again.ids(t) for t in texts() if t] == want
+    monkeypatch.setattr(P, "TOGETHER", 3)
+    monkeypatch.setattr(P, "_TOKENIZERS", {})
+    assert list(P.token_ids(rows, P.vocabulary())) == want
 
 
 def test_cut():
@@ -74,7 +76,7 @@ def test_places(spark, capacity):
     docs = table(spark, rows, extra=True)
     docs = docs.unionByName(docs.limit(5))
     out = P.packed(docs, P.vocabulary(), capacity).toPandas()
-    ids = {i: P.token_ids(t or "", P.vocabulary()) + b"\0\0\0\0" for i, t in enumerate(rows)}
+    ids = {i: one + b"\0\0\0\0" for i, one in enumerate(P.token_ids([t or "" for t in rows], P.vocabulary()))}
     assert all(out.ids_crc32 == [zlib.crc32(ids[i][4 * s:4 * (s + n)]) for i, s, n in zip(out.doc_id, out.start, out.length)])
     assert out.length.sum() == sum(len(ids[r["doc_id"]]) // 4 for r in docs.collect())
     assert all(n == capacity for n, piece in zip(out.length, out.piece) if piece)
