@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -51,13 +53,14 @@ def local_session(cores: str = "8", memory: str = "12g") -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can write to: the one the cluster names, or on a single machine,
-    where none is named, a new temporary one that is then kept for the session."""
+    where none is named, a new temporary one that goes when the program ends."""
     named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"{CHECKPOINT_KEY} must name a shared folder on a cluster")
     made = tempfile.mkdtemp(prefix="haulwatch-", dir=os.environ.get("TMPDIR", "/tmp"))
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.conf.set(CHECKPOINT_KEY, made)
     return made
 
