@@ -9,13 +9,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwatch.llm.common import body, documents, labels
+from haulwatch.llm.common import body, documents, labels, small_table
 
 #: A document is good from this score on.
 GOOD_FROM = 0.3
 #: Bounds of the training sample: labelled documents, and lines of all of them.
 SAMPLE_DOCS = 6_000
 SAMPLE_LINES = 200_000
+#: Characters whose features are computed at once.
+PORTION = 1 << 20
 #: Passes over the sample, their step, and the weight of the penalty.
 STEPS = 300
 STEP = 0.1
@@ -72,6 +74,19 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return np.stack(columns, axis=1), size, lines
 
 
+def portions(texts: list[str], most: int = PORTION) -> Iterator[list[str]]:
+    """The texts in lists of about `most` characters, or one longer text."""
+    held, size = [], 0
+    for text in texts:
+        if held and size + len(text) > most:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
+
+
 def with_neighbours(x: np.ndarray, lines: np.ndarray) -> np.ndarray:
     """Each line's features, those of the lines before and after in its text, and a constant."""
     first = np.concatenate(([0], np.cumsum(lines)[:-1]))
@@ -164,20 +179,32 @@ def fitted(x: np.ndarray, size: np.ndarray, lines: np.ndarray, good: np.ndarray)
 
 
 def training_sample(docs: DataFrame, marked: DataFrame) -> pd.DataFrame:
-    """body, quality of labelled documents outside the held-out fold: at most SAMPLE_DOCS with SAMPLE_LINES lines
-    in all, those with the smallest hashes of their texts. Equal texts are taken once; a document with labels of
-    both kinds is left out."""
+    """quality, lines, size and x (features, line by line) of labelled documents outside the held-out fold: at
+    most SAMPLE_DOCS with SAMPLE_LINES lines in all, those with the smallest hashes of their texts. Equal texts are
+    taken once, as bad if their labels differ; a document with labels of both kinds is left out. Tasks compute
+    the features."""
     quality = marked.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(
         F.min("quality").alias("_low"), F.max("quality").alias("_high")).where("_low = _high")
-    rows = docs.select("doc_id", body().alias("body")).where(F.col("doc_id").isNotNull() & ~held_out())
+    texts = docs.select("doc_id", body().alias("body")).withColumn("h", F.xxhash64("body"))
+    rows = texts.where(F.col("doc_id").isNotNull() & ~held_out())
+    # what is joined, sorted and collected are numbers; the texts of the sample are then picked out where they lie
+    rows = rows.select("doc_id", "h", (F.regexp_count("body", F.lit("\n")) + 1).alias("lines"))
     rows = rows.join(quality.withColumnRenamed("doc_id", "_marked"), F.col("doc_id") == F.col("_marked"))
-    rows = rows.select("body", F.col("_low").cast("int").alias("quality"), F.xxhash64("body").alias("h"),
-                       (F.regexp_count("body", F.lit("\n")) + 1).alias("lines"))
-    keys = rows.select("h", "lines").distinct().orderBy("h").limit(SAMPLE_DOCS).toPandas()
+    keys = rows.groupBy("h").agg(F.min("_low").alias("quality"), F.min("lines").alias("lines"))
+    keys = keys.orderBy("h").limit(SAMPLE_DOCS).toPandas()
     keys = keys[keys["lines"].cumsum() <= SAMPLE_LINES]
-    last = int(keys["h"].max()) if len(keys) else -(2**63)
-    return rows.where(F.col("h") <= F.lit(last)).groupBy("h").agg(
-        F.min("body").alias("body"), F.min("quality").alias("quality")).orderBy("h").toPandas()
+    picked = [(int(h), int(q)) for h, q in zip(keys["h"], keys["quality"])]
+    sample = texts.join(F.broadcast(small_table(docs.sparkSession, picked, "h long, quality int")), "h")
+    sample = sample.groupBy("h", "quality").agg(F.min("body").alias("body"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for (h, quality), text in zip(batch[["h", "quality"]].to_numpy().tolist(), batch["body"]):
+                x, size, lines = line_features([text])
+                yield pd.DataFrame({"h": [h], "quality": [quality], "lines": lines, "size": [size], "x": [x.ravel()]})
+
+    schema = "h long, quality int, lines long, size array<double>, x array<double>"
+    return sample.select("h", "quality", "body").mapInPandas(run, schema).toPandas().sort_values("h")
 
 
 def held_out():
@@ -190,7 +217,8 @@ def quality_model(docs: DataFrame, marked: DataFrame) -> tuple[Chain, np.ndarray
     sample = training_sample(docs, marked)
     if sample["quality"].nunique() < 2:
         return None
-    x, size, lines = line_features(sample["body"].tolist())
+    x = np.concatenate(sample["x"].to_list()).reshape(-1, FEATURES)
+    size, lines = np.concatenate(sample["size"].to_list()), sample["lines"].to_numpy()
     return fitted(x, size, lines, sample["quality"].to_numpy(float))
 
 
@@ -200,13 +228,16 @@ def scored(docs: DataFrame, model: tuple[Chain, np.ndarray] | None) -> DataFrame
     A null text is empty; an empty text is a single empty line. Without a model every score is 0.5."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            score = np.full(len(batch), 0.5)
-            if model and len(batch):
-                chain, scale = model
-                x, size, lines = line_features([text or "" for text in batch["text"]])
-                odds = document_odds(chain.marginals(chain.inputs(x, lines), lines)[0], size, lines)
-                score = 1 / (1 + np.exp(-np.clip(scale[0] * odds + scale[1], -50, 50)))
-            yield batch.assign(score=score)
+            found = [np.zeros(0)]
+            for texts in portions([text or "" for text in batch["text"]]):
+                if model:
+                    chain, scale = model
+                    x, size, lines = line_features(texts)
+                    odds = document_odds(chain.marginals(chain.inputs(x, lines), lines)[0], size, lines)
+                    found.append(1 / (1 + np.exp(-np.clip(scale[0] * odds + scale[1], -50, 50))))
+                else:
+                    found.append(np.full(len(texts), 0.5))
+            yield batch.assign(score=np.concatenate(found))
 
     rows = docs.drop("score")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
