@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from haulwatch.llm.common import body, documents, small_table
@@ -107,10 +108,11 @@ def _known_rows() -> list[tuple[str, str]]:
     return [*TEXTS, *notices]
 
 
-def known_licenses(spark: SparkSession) -> DataFrame:
-    """license_id, text: a fixed list of some 300 rows, whole licences and the notices of NAMES."""
-    rows = _known_rows()
-    return small_table(spark, rows, "license_id string, text string")
+def known_licenses(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """license_id, text: a fixed list of some 300 rows, five whole licences and the notices of NAMES, and the rows of
+    the Parquet table at path(license_id, text), if one is given."""
+    rows = small_table(spark, _known_rows(), "license_id string, text string")
+    return rows.unionByName(spark.read.parquet(path).select("license_id", "text")) if path else rows
 
 
 def canonical_lines(text: Column) -> Column:
@@ -123,30 +125,64 @@ def canonical_lines(text: Column) -> Column:
     return F.filter(lines, lambda line: (line != "") & ~line.rlike(RIGHTS))
 
 
-def units(rows: DataFrame, *keys: str) -> DataFrame:
-    """keys, unit, digest: of the whole text ('text'), of each paragraph and of each line."""
+def _paragraphs(rows: DataFrame, *keys: str) -> DataFrame:
+    """keys, lines, paragraphs: in canonical form, without empty ones."""
     lines = rows.select(*keys, F.split("body", r"\n[\x20\x09-\x0D]*\n").alias("paragraphs"))
     lines = lines.select(*keys, F.transform("paragraphs", canonical_lines).alias("paragraphs"))
-    lines = lines.select(*keys, "paragraphs", F.flatten("paragraphs").alias("lines"))
-    joined = F.transform("paragraphs", lambda p: F.struct(
-        F.lit("paragraph").alias("unit"), F.array_join(p, " ").alias("of")))
-    whole = F.array(F.struct(F.lit("text").alias("unit"), F.array_join("lines", " ").alias("of")))
-    each = F.transform("lines", lambda x: F.struct(F.lit("line").alias("unit"), x.alias("of")))
-    found = lines.select(*keys, F.explode(F.concat(whole, joined, each)).alias("u")).where(F.col("u.of") != "")
-    return found.select(*keys, F.col("u.unit").alias("unit"), F.unhex(F.md5("u.of")).alias("digest"))
+    joined = F.filter(F.transform("paragraphs", lambda p: F.array_join(p, " ")), lambda p: p != "")
+    return lines.select(*keys, F.flatten("paragraphs").alias("lines"), joined.alias("paragraphs"))
+
+
+def _runs(firsts: list[str], lengths: list[int]) -> Column:
+    """Runs of consecutive paragraphs, shorter than the text, that begin with one of the digests `firsts`."""
+    paragraphs, n = F.col("paragraphs"), F.size("paragraphs")
+    places = F.when(n > 1, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    starts = F.filter(places, lambda i: F.md5(F.element_at(paragraphs, i)).isin(firsts))
+    sizes = F.array(*[F.lit(k) for k in lengths])
+    return F.flatten(F.transform(starts, lambda i: F.transform(
+        F.filter(sizes, lambda k: (k < n) & (i + k <= n + 1)),
+        lambda k: _unit("run", F.array_join(F.slice(paragraphs, i, k), " "), i, k))))
+
+
+def _unit(kind: str, of: Column, at: Column | None = None, size: Column | None = None) -> Column:
+    place = lambda x: (F.lit(None) if x is None else x).cast("int")
+    return F.struct(F.lit(kind).alias("unit"), of.alias("of"), place(at).alias("at"), place(size).alias("size"))
+
+
+def units(rows: DataFrame, *keys: str, firsts: list[str] = (), lengths: list[int] = ()) -> DataFrame:
+    """keys, unit, digest, at, size: of the whole text ('text'), of each paragraph and of each line, and of each run
+    of as many paragraphs as one of lengths that begins with a paragraph of one of the digests firsts."""
+    lines = _paragraphs(rows, *keys)
+    whole = F.array(_unit("text", F.array_join("lines", " "), F.lit(1), F.size("paragraphs")))
+    joined = F.transform("paragraphs", lambda p: _unit("paragraph", p))
+    each = F.transform("lines", lambda x: _unit("line", x))
+    runs = [_runs(firsts, lengths)] if firsts else []
+    found = lines.select(*keys, F.explode(F.concat(whole, joined, each, *runs)).alias("u")).where(F.col("u.of") != "")
+    return found.select(*keys, "u.unit", F.unhex(F.md5("u.of")).alias("digest"), "u.at", "u.size")
 
 
 def licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
     """Every licence of known(license_id, text) that a text of docs(doc_id, text) is or holds as a whole
-    paragraph or line: doc_id, license_id, unit ('text', 'paragraph', 'line'), n (how often).
+    paragraph, line or run of paragraphs: doc_id, license_id, unit ('text', 'paragraph', 'line', 'run'), n (how often).
+    A run has as many paragraphs as the known text, at least two, and is not the whole text; of runs of the same
+    licence inside each other, or inside a text that is the licence, the longest counts. The first paragraphs of known, as digests, reach the driver.
 
     Both sides are normalised alike and meet by the digest of the entire unit. Null and empty texts, and
     null rows of known, match nothing; a licence known twice counts once; rows with the same doc_id add
     up; a null doc_id is kept as such. Other columns are ignored."""
     table = known.select("license_id", body().alias("body")).where("license_id IS NOT NULL")
+    shapes = _paragraphs(table).where(F.size("paragraphs") > 1).select(
+        F.md5(F.col("paragraphs")[0]).alias("first"), F.size("paragraphs").alias("length")).distinct().collect()
+    firsts, lengths = sorted({r["first"] for r in shapes}), sorted({r["length"] for r in shapes})
     table = units(table, "license_id").where("unit = 'text'").select("license_id", "digest").distinct()
-    rows = units(docs.select("doc_id", body().alias("body")), "doc_id")
-    return rows.join(table, "digest").groupBy("doc_id", "license_id", "unit").agg(F.count(F.lit(1)).alias("n"))
+    rows = docs.select("doc_id", body().alias("body")).withColumn("text_hash", F.xxhash64("body"))
+    rows = units(rows, "doc_id", "text_hash", firsts=firsts, lengths=lengths)
+    found = rows.join(table, "digest").groupBy("doc_id", "text_hash", "license_id", "unit", "at", "size").agg(
+        F.count(F.lit(1)).alias("n"))
+    before = W.partitionBy("doc_id", "text_hash", "license_id", F.col("at").isNull()).orderBy("at", F.desc("size")).rowsBetween(W.unboundedPreceding, -1)
+    found = found.withColumn("covered", F.max(F.col("at") + F.col("size")).over(before))
+    found = found.where(F.col("covered").isNull() | (F.col("covered") < F.col("at") + F.col("size")))
+    return found.groupBy("doc_id", "license_id", "unit").agg(F.sum("n").alias("n"))
 
 
 def license_report(docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -163,7 +199,8 @@ def license_report(docs: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_report(documents(spark, sf_dir), known_licenses(spark))
+    docs = documents(spark, sf_dir)
+    return license_report(docs, known_licenses(spark, spark.conf.get("spark.haulwatch.licenses", None)))
 
 
 def oracle() -> str:

@@ -25,3 +25,25 @@ def test_other_texts_and_empty(spark):
     known = L.known_licenses(spark)
     assert L.license_report(table(spark), known).count() == len(texts())
     assert L.license_report(table(spark, []), known).count() == 0
+
+
+def test_embedded_licences(spark):
+    bsd2, isc = dict(L.TEXTS)["BSD-2-Clause"], L.ISC_GRANT + L.ISC_CONDITION + "\n\n" + L.ISC_WARRANTY
+    rows = ["My tool\n\n" + L.MIT + "\n\nint main;", "code\n\nMIT License\n\n(c) 2020 A. Person\n\n" + L.MIT,
+            isc + "\n\nand\n\n" + bsd2, L.MIT, "x\n\n" + L.MIT.rsplit("\n\n", 1)[0] + "\n\ny", L.MIT + "\n\n" + L.MIT, "MIT License\n\n" + L.MIT]
+    rows.append(rows[0])
+    docs = spark.createDataFrame([(i % 7, t) for i, t in enumerate(rows)], "doc_id long, text string")
+    assert rows_of(L.licenses(docs, L.known_licenses(spark))) == sorted([
+        (0, "MIT", "run", 2), (1, "MIT", "run", 1), (2, "BSD-2-Clause", "run", 1), (2, "ISC", "run", 1),
+        (3, "MIT", "text", 1), (5, "MIT", "run", 2), (6, "MIT", "text", 1)], key=repr)
+    found = {tuple(r) for r in L.license_report(docs, L.known_licenses(spark)).collect()}
+    assert (0, 2, "MIT", False) in found and (4, 0, "", False) in found
+
+
+def test_known_from_table(spark, tmp_path):
+    text = "Own licence\n\nBe kind.\n\nStay kind."
+    spark.createDataFrame([("Own", text)], "license_id string, text string").write.parquet(f"{tmp_path}/known")
+    docs = table(spark, ["a\n\n" + text + "\n\nb", text, "Released under the MIT License"])
+    found = L.licenses(docs, L.known_licenses(spark, f"{tmp_path}/known"))
+    assert rows_of(found) == [(0, "Own", "run", 1), (1, "Own", "text", 1)] + [
+        (2, "MIT", unit, 1) for unit in ("line", "paragraph", "text")]
