@@ -16,6 +16,8 @@ GOOD_FROM = 0.3
 #: Bounds of the training sample: labelled documents, and lines of all of them.
 SAMPLE_DOCS = 6_000
 SAMPLE_LINES = 200_000
+#: No document gives more than one in so many of these lines, so that a long one does not end the sample.
+LONGEST_SHARE = 20
 #: Characters whose features are computed at once.
 PORTION = 1 << 20
 #: Passes over the sample, their step, and the weight of the penalty.
@@ -180,7 +182,8 @@ def fitted(x: np.ndarray, size: np.ndarray, lines: np.ndarray, good: np.ndarray)
 
 def training_sample(docs: DataFrame, marked: DataFrame) -> pd.DataFrame:
     """quality, lines, size and x (features, line by line) of labelled documents outside the held-out fold: at
-    most SAMPLE_DOCS with SAMPLE_LINES lines in all, those with the smallest hashes of their texts. Equal texts are
+    most SAMPLE_DOCS with SAMPLE_LINES lines in all, those with the smallest hashes of their texts; no document gives
+    more than one in LONGEST_SHARE of these lines. It is an error if the sample lacks one of two labels. Equal texts are
     taken once, as bad if their labels differ; a document with labels of both kinds is left out. Tasks compute
     the features."""
     quality = marked.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(
@@ -191,8 +194,12 @@ def training_sample(docs: DataFrame, marked: DataFrame) -> pd.DataFrame:
     rows = rows.select("doc_id", "h", (F.regexp_count("body", F.lit("\n")) + 1).alias("lines"))
     rows = rows.join(quality.withColumnRenamed("doc_id", "_marked"), F.col("doc_id") == F.col("_marked"))
     keys = rows.groupBy("h").agg(F.min("_low").alias("quality"), F.min("lines").alias("lines"))
-    keys = keys.orderBy("h").limit(SAMPLE_DOCS).toPandas()
-    keys = keys[keys["lines"].cumsum() <= SAMPLE_LINES]
+    few = keys.where(F.col("lines") <= SAMPLE_LINES // LONGEST_SHARE)
+    found = few.orderBy("h").limit(SAMPLE_DOCS).toPandas()
+    found = found[found["lines"].cumsum() <= SAMPLE_LINES]
+    if found["quality"].nunique() < 2 and keys.select("quality").distinct().count() == 2:
+        raise ValueError("the training sample lacks a label that documents have")
+    keys = found
     picked = [(int(h), int(q)) for h, q in zip(keys["h"], keys["quality"])]
     sample = texts.join(F.broadcast(small_table(docs.sparkSession, picked, "h long, quality int")), "h")
     sample = sample.groupBy("h", "quality").agg(F.min("body").alias("body"))

@@ -78,3 +78,14 @@ def test_edges(spark):
     assert {r["score"] for r in Q.scored(docs, None).collect()} == {0.5}
     assert Q.good_documents(table(spark, []), marks).count() == 0
     assert Q.good_documents(docs, marks).columns == docs.columns
+
+
+def test_long_documents_do_not_end_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(Q, "SAMPLE_LINES", 400)
+    rows = [f"text {i}\nsecond line" for i in range(30)] + [f"long {i}" + "\nline" * 500 for i in range(30)]
+    docs = table(spark, rows)
+    marked = lambda quality: spark.createDataFrame([(i, quality(i)) for i in range(60)], "doc_id long, quality int")
+    sample = Q.training_sample(docs, marked(lambda i: i % 2))
+    assert len(sample) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(30))
+    with pytest.raises(ValueError):
+        Q.quality_model(docs, marked(lambda i: int(i < 30)))
