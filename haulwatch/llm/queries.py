@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from haulwatch.llm import (
-    exact_dedup, license_scan, line_dedup, mixing, near_dedup, packing, quality_crf, quality_rules, secret_scan,
-    substring_dedup,
+    exact_dedup, license_scan, line_dedup, merkle, mixing, near_dedup, packing, quality_crf, quality_rules, rank_bpe,
+    secret_scan, spelling, substring_dedup,
 )
 
 QUERIES = {
@@ -18,9 +18,14 @@ QUERIES = {
     "op8_minmax_near_dedup": near_dedup.op8_minmax_near_dedup,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_license_scan": license_scan.op10_license_scan,
+    "op11_rank_bpe": rank_bpe.op11_rank_bpe,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 ORACLES = {
     "op3_line_dedup": line_dedup.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op10_license_scan": license_scan.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
+    "op13_spelling_variants": spelling.ORACLE,
 }

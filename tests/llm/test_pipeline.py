@@ -73,7 +73,9 @@ def test_query_columns(spark, small):
         "op2_": "doc_id piece start length ids_crc32 sequence_id offset", "op4_": "doc_id size source_size target taken",
         "op5_": "doc_id held_out score predicted", "op6_": "doc_id keep_id group_size kept text_sha256",
         "op7_": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
-        "op8_": "doc_id n_shingles component_id kept", "op9_": "doc_id n_bytes n_removed n_spans kept_sha256"}
+        "op8_": "doc_id n_shingles component_id kept", "op9_": "doc_id n_bytes n_removed n_spans kept_sha256",
+        "op11_": "doc_id n_tokens ids_sha256 decoded_sha256",
+        "op12_": "doc_id leaf subroot root proof_sha256 folded_root verified", "op13_": "word form root n n_near form_n"}
     for prefix, names in wanted.items():
         (query,) = [q for name, q in entry.TEXT_QUERIES.items() if name.startswith(prefix)]
         assert set(names.split()) <= set(query(spark, small).columns)
