@@ -532,3 +532,47 @@ DWELL = {
 }
 oracle("inout_dwell", "SELECT dept_id, vehicle_id, site_id, e_enter AS enter_sec, e_exit AS exit_sec FROM steps WHERE e_enter IS NOT NULL", DWELL, recursive=True)
 oracle("hourly_track_counts", "SELECT dept_id, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS hour_sec, count(*) AS positions, round(sum(speed), 4) AS speed_sum FROM v_track WHERE t_sec IS NOT NULL GROUP BY 1, 2")
+
+
+# ---- streams: which positions come before the watermark follows from the deliveries
+ARRIVED = {
+    "arr": ADMITTED.replace("v_track", "v_arrival"),
+    "marks": "SELECT arrival, (SELECT max(t_sec) FROM arr a WHERE a.arrival < b.arrival) - 900 AS mark FROM (SELECT DISTINCT arrival FROM arr) b",
+    "told": "SELECT a.*, coalesce(t_sec <= mark, false) AS late FROM arr a JOIN marks USING (arrival) WHERE t_sec IS NOT NULL",
+    "pts": "SELECT * FROM told WHERE NOT late AND t_sec <= (SELECT max(t_sec) FROM arr) - 900",
+}
+
+
+def _arrived(ctes: dict[str, str]) -> dict[str, str]:
+    return {**ARRIVED, **{name: text for name, text in ctes.items() if name not in ARRIVED}}
+
+
+oracle(
+    "late_rows",
+    f"SELECT {KEYS}, 'late' AS reason, t_sec, event_id FROM told WHERE late UNION ALL SELECT {KEYS}, 'untimed', t_sec, event_id FROM arr WHERE t_sec IS NULL",
+    {k: v for k, v in ARRIVED.items() if k != "pts"},
+)
+oracle("late_stops", _STOP, _arrived(_stops(3600)), recursive=True)
+oracle("late_alarms", _ALARM_ROW, _arrived(GPS), recursive=True)
+oracle(
+    "late_trips",
+    f"SELECT {KEYS}, from_site_id, from_site_flag, from_site_inter_sec, from_site_work_sec, from_site_leave_sec, to_site_id, to_site_flag, to_site_inter_sec, vehicle_empty FROM trip",
+    _arrived(_trip_walk(False)), recursive=True,
+)
+oracle("late_dwell", "SELECT dept_id, vehicle_id, site_id, e_enter AS enter_sec, e_exit AS exit_sec FROM steps WHERE e_enter IS NOT NULL", _arrived(DWELL), recursive=True)
+oracle(
+    "checkpoint_restart",
+    "SELECT o.event_id, o.vehicle_id, o.t_sec, s.shown AS online_time, CASE WHEN o.speed > 0 THEN 1 ELSE 0 END AS online_status FROM ordered o JOIN steps s ON s.dept_id = o.dept_id AND s.vehicle_id = o.vehicle_id AND s.rn = o.rn",
+    {**ARRIVED, **ONLINE, "a": "SELECT * FROM pts"}, recursive=True,
+)
+oracle(
+    "dim_refresh",
+    """SELECT event_id, vehicle_id, t_sec, CASE WHEN held THEN valid_from END AS valid_from, CASE WHEN held THEN car_card_number END AS car_card_number, CASE WHEN held THEN enterprise_id END AS enterprise_id
+ FROM (SELECT a.event_id, a.vehicle_id, a.t_sec, v.* EXCLUDE (vehicle_id), v.valid_to IS NULL OR a.t_sec < v.valid_to AS held FROM v_arrival a ASOF LEFT JOIN v_vehicle_versions v ON v.vehicle_id = a.vehicle_id AND v.valid_from <= a.t_sec) j""",
+)
+oracle(
+    "vehicle_state_log",
+    f"""SELECT v.dept_id, v.vehicle_id, v.car_card_number, l.t_sec, l.event_id, round(l.lng, 6) AS lng, round(l.lat, 6) AS lat, round(l.speed, 6) AS speed FROM v_vehicle v LEFT JOIN
+ (SELECT *, row_number() OVER (PARTITION BY {KEYS} ORDER BY t_sec DESC, event_id DESC) AS k FROM a) l ON l.k = 1 AND l.dept_id = v.dept_id AND l.vehicle_id = v.vehicle_id""",
+    {"a": ADMITTED.replace("v_track", "v_arrival") + f" AND {TIMED}"},
+)

@@ -40,6 +40,12 @@ SELECT event_id, user_id AS vehicle_id, CAST(user_id % 5 AS INT) AS dept_id, ts,
  CASE WHEN user_id % 13 = 0 THEN NULL ELSE '1' END AS audit_state,
  CAST(CASE WHEN user_id % 3 = 0 THEN 0 ELSE 1 END AS INT) AS register_card_state
 FROM {{events}}""",
+    # Positions in three arrivals of ten days each: up to 15 minutes late, some of them several days.
+    "v_arrival": f"""
+SELECT *, CASE WHEN t_sec IS NULL THEN CAST(event_id % 3 AS INT) ELSE CAST(least(2, greatest(0, floor((t_sec + delay - 1704067200) / 864000.0))) AS INT) END AS arrival FROM (
+ SELECT event_id, user_id AS vehicle_id, CAST(user_id % 5 AS INT) AS dept_id, CASE WHEN event_id % 89 = 5 THEN NULL ELSE {{SEC}} END AS t_sec,
+  CASE WHEN event_type='error' THEN 0.0 ELSE value/4 END AS speed, {_LAT} AS lat, {_LNG} AS lng, CASE WHEN user_id % 11 = 0 THEN '0' ELSE '1' END AS manage_state,
+  CASE WHEN user_id % 13 = 0 THEN NULL ELSE '1' END AS audit_state, CASE WHEN event_id % 41 = 7 THEN 200000 + (event_id % 5) * 150000 ELSE (event_id * 37) % 900 END AS delay FROM {{events}}) a""",
     # Positions before the vehicle is known: a device id and a plate only, for some of an unknown vehicle.
     "v_raw_track": f"""
 SELECT event_id, concat(CASE WHEN user_id % 10 = 9 THEN 'U' ELSE 'T' END, CAST(user_id AS STRING)) AS devid,
@@ -57,6 +63,11 @@ FROM {customer}""",
     "v_vehicle_history": """
 SELECT c_custkey % 100 AS vehicle_id, c_custkey AS version, c_name AS car_card_number, c_nationkey AS enterprise_id
 FROM {customer}""",
+    # Versions of a vehicle by the time they hold: most vehicles have two, some a gap or a late beginning.
+    "v_vehicle_versions": """
+SELECT c_custkey AS vehicle_id, CAST(CASE WHEN c_custkey % 9 = 4 THEN 1704067200 + 864000 ELSE 0 END AS BIGINT) AS valid_from,
+ CASE WHEN c_custkey % 7 = 2 THEN 1704067200 + 86400 * 16 END AS valid_to, c_name AS car_card_number, c_nationkey AS enterprise_id FROM {customer}
+UNION ALL SELECT c_custkey, 1704067200 + 86400 * 16 + (c_custkey * 7919) % 864000, NULL, concat(c_name, '-2'), (c_nationkey + 7) % 25 FROM {customer} WHERE c_custkey % 4 <> 3""",
     "v_service_fee": """
 SELECT CAST(c_custkey % 5 AS INT) AS dept_id, c_custkey AS vehicle_id, CAST(CASE WHEN c_custkey % 6 = 0 THEN 1 ELSE 0 END AS INT) AS state FROM {customer}""",
     "v_driver": " UNION ALL ".join(

@@ -1,8 +1,9 @@
 """Keyed state machines: one position at a time, for streams.
 
 ``step`` changes the state of a vehicle in place and returns the rows it emits. A state is a
-plain dict that survives a round trip through JSON. The batch operators of the same names
-compute the same rows without walking position by position.
+plain dict that survives a round trip through JSON. ``idle`` says after how many seconds without a position the
+state makes no difference to what follows (null: it always may). The batch operators of the same names compute the
+same rows without walking position by position.
 """
 
 from __future__ import annotations
@@ -44,6 +45,9 @@ class TripMachine:
         "from_site_leave_sec long, to_site_id long, to_site_flag int, to_site_inter_sec long"
     )
 
+    def idle(self, state: dict) -> int | None:
+        return 0 if state.get("stay") is None else None
+
     def step(self, state: dict, row: Any) -> list[tuple]:
         site = int(row.site_id) if _known(row.site_id) else None
         stay, t = state.get("stay"), int(row.t_sec)
@@ -107,6 +111,11 @@ class EpisodeMachine:
     def columns(self) -> tuple[str, ...]:
         return ("lng", "lat", self.offends or self.codes)
 
+    def idle(self, state: dict) -> int | None:
+        if state.get("open"):
+            return None
+        return DAY if state.get("kept") else 0
+
     def step(self, state: dict, row: Any) -> list[tuple]:
         if self.codes:
             broken = list(getattr(row, self.codes))
@@ -148,12 +157,35 @@ class DailyAlarmMachine:
     def columns(self) -> tuple[str, ...]:
         return ("lng", "lat", self.offends)
 
+    def idle(self, state: dict) -> int | None:
+        return DAY
+
     def step(self, state: dict, row: Any) -> list[tuple]:
         if not getattr(row, self.offends) or not keep_alarm(state, self.code, int(row.t_sec), (self.code,)):
             return []
         return [(self.code, int(row.t_sec), int(row.event_id), float(row.lng), float(row.lat))]
 
 
+@dataclass(frozen=True)
+class PointAlarmMachine:
+    """Alarms of single positions, thinned. All positions offend; ``site_id`` says where."""
+
+    code: str
+    columns: tuple[str, ...] = ("lng", "lat", "site_id")
+    output: str = (
+        "illegal_type_code string, start_sec long, start_event_id long, alarm_start_lng double, alarm_start_lat double, "
+        "site_id long"
+    )
+
+    def idle(self, state: dict) -> int | None:
+        return DAY
+
+    def step(self, state: dict, row: Any) -> list[tuple]:
+        if not keep_alarm(state, self.code, int(row.t_sec)):
+            return []
+        return [(self.code, int(row.t_sec), int(row.event_id), float(row.lng), float(row.lat), int(row.site_id))]
+
+
 @dataclass(frozen=True)
 class OnlineMachine:
     """Seconds online today, one row per position."""
@@ -164,6 +196,9 @@ class OnlineMachine:
         "vehicle_status int, online_status int"
     )
 
+    def idle(self, state: dict) -> int | None:
+        return DAY
+
     def step(self, state: dict, row: Any) -> list[tuple]:
         t, shown = int(row.t_sec), 0
         if "t" not in state:
@@ -187,6 +222,9 @@ class StopMachine:
         "stop_sec long, stop_lng double, stop_lat double, start_sec long, start_lng double, start_lat double"
     )
 
+    def idle(self, state: dict) -> int | None:
+        return self.gap if state.get("stop") is not None else 0
+
     def step(self, state: dict, row: Any) -> list[tuple]:
         stop, t = state.get("stop"), int(row.t_sec)
         if row.speed > 0:
@@ -214,6 +252,9 @@ class DwellMachine:
     def columns(self) -> tuple[str, ...]:
         return (self.near,)
 
+    def idle(self, state: dict) -> int | None:
+        return None if state.get("visits") else 0
+
     def step(self, state: dict, row: Any) -> list[tuple]:
         visits, t, out = state.setdefault("visits", {}), int(row.t_sec), []
         inside = {str(int(s)) for s in getattr(row, self.near)}

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulwatch.operators.movement import replace_known
+from haulwatch.session import remove_path
 from haulwatch.sources.messages import to_json
+from haulwatch.sources.tables import latest_per_key
 
 PARTITION = ["month_id", "day_id", "hour_id"]
 
@@ -67,33 +69,65 @@ class BatchTable:
 
 
 class StateTable:
-    """Current state per key, kept as one version per batch. A batch reads the version before it
-    and writes its own, so a replay gives the same result."""
+    """Current state per key: a snapshot, and a log of the keys that changed since.
 
-    def __init__(self, path: str, keys: list[str], order: list[str]):
-        self.path, self.keys, self.order = path, keys, order
+    A batch appends its newest row of each key to the log, in a folder of its own that a replay replaces; it neither
+    reads nor rewrites the snapshot. Every ``compact_every`` batches, before its own rows, a batch folds the log into the
+    next snapshot. What a snapshot is made of stays until the batch after it, which Spark starts only once the former is
+    committed, and is removed then; so a replay finds all it needs, and names follow from the batch's number alone.
 
-    def _version(self, batch_id: int) -> str:
-        return f"{self.path}/v{batch_id + 1}"
+    Snapshot and log are dealt to ``buckets`` by a hash of the key, so a reader of some keys opens their buckets only.
+    Keys that the first snapshot lacks are never added. ``schema`` names the columns of logged rows, with the keys."""
+
+    def __init__(
+        self, path: str, keys: list[str], order: list[str], schema: str, buckets: int = 64, compact_every: int = 20
+    ):
+        self.path, self.keys, self.order, self.schema = path, keys, order, schema
+        self.buckets, self.compact_every = buckets, compact_every
+
+    def _snapshot(self, batch_id: int) -> str:
+        return f"{self.path}/snapshot/before={batch_id}"
+
+    def _log(self, batch_id: int) -> str:
+        return f"{self.path}/log/batch={batch_id}"
+
+    def _since(self, batch_id: int) -> int:
+        """The batch before which the snapshot was made that holds for the rows of a batch."""
+        return max(batch_id, 0) // self.compact_every * self.compact_every
+
+    def _write(self, df: DataFrame, path: str) -> None:
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        rows = df.withColumn("bucket", bucket)
+        _gathered(rows, ["bucket"]).write.mode("overwrite").partitionBy("bucket").parquet(path)
 
     def create(self, known: DataFrame) -> None:
-        known.write.mode("overwrite").parquet(self._version(-1))
+        self._write(known, self._snapshot(0))
 
     def update(self, df: DataFrame, batch_id: int) -> None:
-        """Puts the newest row of each key over the snapshot; unknown keys are not added."""
-        rest = [c for c in df.columns if c not in self.keys]
-        newest = df.groupBy(*self.keys).agg(
-            F.max_by(F.struct(*rest), F.struct(*self.order)).alias("_r")
-        ).select(*self.keys, "_r.*")
-        known = df.sparkSession.read.parquet(self._version(batch_id - 1))
-        if self.order[0] in known.columns:
-            old = known.select(*self.keys, *[F.col(c).alias(f"_o_{c}") for c in self.order])
-            newest = newest.join(old, self.keys, "left")
-            later: Column = F.struct(*self.order) > F.struct(*[F.col(f"_o_{c}") for c in self.order])
-            newest = newest.where(F.col(f"_o_{self.order[0]}").isNull() | later).drop(
-                *[f"_o_{c}" for c in self.order]
-            )
-        replace_known(known, newest, self.keys).write.mode("overwrite").parquet(self._version(batch_id))
+        """Logs the newest row of each key of a batch."""
+        if batch_id and batch_id % self.compact_every == 0:
+            self._write(self.read(df.sparkSession, batch_id - 1), self._snapshot(batch_id))
+        self._write(latest_per_key(df, self.keys, self.order), self._log(batch_id))
+        if batch_id > 1 and batch_id % self.compact_every == 1 % self.compact_every:
+            made = self._since(batch_id - 1)
+            for old in range(made - self.compact_every, made):
+                remove_path(df.sparkSession, self._log(old))
+            remove_path(df.sparkSession, self._snapshot(made - self.compact_every))
 
     def read(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        return spark.read.parquet(self._version(batch_id))
+        """The state after a batch (-1: the first snapshot). Of a key's rows in snapshot and log the one that comes
+        last in the order holds."""
+        since = self._since(batch_id)
+        known = spark.read.parquet(self._snapshot(since))
+        logs = [self._log(b) for b in range(since, batch_id + 1)]
+        if not logs:
+            return known.drop("bucket")
+        fresh = spark.read.schema(f"{self.schema}, batch int, bucket int").option("basePath", f"{self.path}/log")
+        fresh = fresh.parquet(*logs).drop("batch")
+        fresh = latest_per_key(fresh, [*self.keys, "bucket"], self.order)
+        if self.order[0] in known.columns:
+            old = known.select(*self.keys, "bucket", F.struct(*self.order).alias("_old"))
+            fresh = fresh.join(old, [*self.keys, "bucket"])
+            newer: Column = F.col(f"_old.{self.order[0]}").isNull() | (F.struct(*self.order) > F.col("_old"))
+            fresh = fresh.where(newer).drop("_old")
+        return replace_known(known, fresh, [*self.keys, "bucket"]).drop("bucket")

@@ -1,9 +1,13 @@
-"""Machines over streams.
+"""Machines over streams, in event time.
 
-Positions are grouped by vehicle, so the order of a vehicle's positions is decided in one place:
-inside a micro-batch they are sorted by (time, event id), and a position at or before the last
-one processed is late: it changes nothing, and is reported if asked for. A micro-batch bounds what one task holds of a vehicle; set
-``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger`` at the source accordingly.
+Positions are grouped by vehicle and wait in the vehicle's state until the watermark, which stays ``allowance`` behind the
+newest position of the stream, has passed them; then they go through the machine in the order of (time, event id). A
+position that comes while the watermark is still before it takes its place, however the stream was cut into
+micro-batches; a later one changes nothing and can be reported. Timers of the watermark release what waits and drop the
+state of a vehicle that has nothing more to say, so neither depends on the clock, and a replay gives the same rows.
+
+A task holds what a vehicle sent in the allowance and in one micro-batch; set ``maxOffsetsPerTrigger`` or
+``maxFilesPerTrigger`` at the source accordingly.
 """
 
 from __future__ import annotations
@@ -13,43 +17,84 @@ import sys
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-STATE = "last_t long, last_id long, body string"
+#: The last position processed, the machine's state as JSON, and the positions that wait as an Arrow stream.
+STATE = "last_t long, last_id long, body string, waiting binary"
+#: How far positions may come out of order.
+ALLOWANCE = "10 minutes"
+#: Columns of a position that went into no machine: why, its time and id.
+LATE = ("late_reason", "late_t_sec", "late_event_id")
+LATE_REASON, REPEATED_REASON, UNTIMED_REASON = "late", "repeated", "untimed"
+#: A time that no watermark reaches.
+NEVER = "2200-01-01 00:00:00"
+
+
+def _stored(rows: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(rows, preserve_index=False).combine_chunks()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
 
 
-LATE = ("late_t_sec", "late_event_id")
+def _loaded(stored: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(stored).read_pandas()
 
 
-def _advance(machine, names: list[str], idle_seconds: int | None, report_late: bool):
+def _advance(machine, names: list[str], report_late: bool):
     blank = (None,) * len(StructType.fromDDL(machine.output))
-    tail = (None, None) if report_late else ()
+    tail = (None,) * len(LATE) if report_late else ()
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last, body = (None, {}) if not state.exists else (tuple(state.get)[:2], json.loads(state.get[2]))
-        rows = pd.concat(list(frames)).sort_values(["t_sec", "event_id"], kind="stable")
-        out = []
-        for row in rows.itertuples(index=False):
-            at = (int(row.t_sec), int(row.event_id))
-            if last is not None and at <= last:
-                if report_late:
-                    out.append((*key, *blank, *at))
-                continue
-            last = at
-            out += [(*key, *emitted, *tail) for emitted in machine.step(body, row)]
-        if last is not None:
-            state.update((*last, json.dumps(body)))
-            if idle_seconds is not None:
-                state.setTimeoutDuration(idle_seconds * 1000)
+        passed = state.getCurrentWatermarkMs()
+        last, body, parts, out = None, {}, [], []
+        if state.exists:
+            last_t, last_id, text, waiting = state.get
+            last, body = None if last_t is None else (last_t, last_id), json.loads(text)
+            parts = [_loaded(bytes(waiting))] if waiting else []
+        for frame in frames:
+            behind = frame["t_sec"] * 1000 <= passed
+            if report_late and behind.any():
+                places = frame.loc[behind, ["t_sec", "event_id"]]
+                out += [(*key, *blank, LATE_REASON, int(t), int(i)) for t, i in zip(places["t_sec"], places["event_id"])]
+            if not behind.all():
+                parts.append(frame[~behind])
+        rows = pd.concat(parts, ignore_index=True) if parts else None
+        if rows is not None:
+            rows = rows.sort_values(["t_sec", "event_id"], kind="stable", ignore_index=True)
+            due = int((rows["t_sec"] * 1000 <= passed).sum())
+            for row in rows.iloc[:due].itertuples(index=False):
+                at = (int(row.t_sec), int(row.event_id))
+                if last is not None and at <= last:
+                    out += [(*key, *blank, REPEATED_REASON, *at)] if report_late else []
+                    continue
+                last = at
+                out += [(*key, *emitted, *tail) for emitted in machine.step(body, row)]
+            rows = rows.iloc[due:]
+        waits = rows is not None and len(rows) > 0
+        idle = machine.idle(body)
+        # a timer runs off once the watermark is past it: a millisecond before the time that is waited for
+        if waits:
+            wake = int(rows["t_sec"].iloc[0]) * 1000 - 1
+        elif idle is not None and last is not None:
+            wake = (last[0] + idle) * 1000 - 1
+        else:
+            wake = None
+        if not waits and (last is None or (wake is not None and wake < passed)):
+            if state.exists:
+                state.remove()
+        else:
+            state.update((*(last or (None, None)), json.dumps(body), _stored(rows) if waits else None))
+            if wake is not None:
+                state.setTimeoutTimestamp(max(wake, passed))
         if out:
             yield pd.DataFrame(out, columns=names)
 
@@ -57,28 +102,42 @@ def _advance(machine, names: list[str], idle_seconds: int | None, report_late: b
 
 
 def run_machine(
-    df: DataFrame, machine, keys: list[str], idle_seconds: int | None = None, report_late: bool = False
+    df: DataFrame, machine, keys: list[str], allowance: str = ALLOWANCE, report_late: bool = False
 ) -> DataFrame:
-    """Rows the machine emits for a stream of positions with ``t_sec`` and ``event_id``.
+    """Rows the machine emits for a stream of positions with ``t_sec`` and ``event_id``, each of these once.
 
-    The state of a vehicle is a few numbers, so by default it is kept. With ``idle_seconds`` the
-    state of a vehicle that sent nothing for so long, by the clock, is dropped; such a query always
-    has a next micro-batch, so run it with a processing-time trigger, not with ``availableNow``.
+    A position is processed when the newest one of the stream is ``allowance`` ahead of it; one that comes after that
+    is late. The state of a vehicle goes when the watermark has passed the time after which, as ``machine.idle`` says, it
+    makes no difference.
 
-    With ``report_late`` every late position gives a row too, with the columns of :data:`LATE` and none of the
-    machine's; :func:`split_late` parts both in a micro-batch."""
+    With ``report_late`` every position that went into no machine gives a row too, with the columns of :data:`LATE` and
+    none of the machine's: late and repeated ones, and those without a key or a time. :func:`split_late` parts both
+    in a micro-batch."""
     emitted = StructType.fromDDL(machine.output)
     fields = [StructField(k, df.schema[k].dataType) for k in keys] + emitted.fields
-    result = StructType(fields + [StructField(c, LongType()) for c in LATE if report_late])
+    reasons = [StructField(c, StringType() if c == LATE[0] else LongType()) for c in LATE if report_late]
+    result = StructType(fields + reasons)
     rows = df.select(*keys, "t_sec", "event_id", *[c for c in machine.columns if c not in ("t_sec", "event_id")])
-    timeout = GroupStateTimeout.NoTimeout if idle_seconds is None else GroupStateTimeout.ProcessingTimeTimeout
-    step = _advance(machine, result.names, idle_seconds, report_late)
-    return rows.dropna(subset=[*keys, "t_sec"]).groupBy(*keys).applyInPandasWithState(
-        step, result, STATE, "append", timeout
-    )
+    placed = [*keys, "t_sec", "event_id"]
+    timed = rows.dropna(subset=placed).withColumn("_at", F.timestamp_seconds("t_sec")).withWatermark("_at", allowance)
+    # Spark leaves out rows behind the watermark before a function sees them. They are to be reported, so the mark of
+    # the event time goes to a column that is never behind; the watermark itself follows _at.
+    mark = timed.schema["_at"].metadata
+    timed = timed.withColumn("_never", F.lit(NEVER).cast("timestamp")).drop("_at").withMetadata("_never", mark)
+    out = timed.groupBy(*keys).applyInPandasWithState(
+        _advance(machine, result.names, report_late), result, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    if not report_late:
+        return out
+    missing = F.lit(False)
+    for column in placed:
+        missing = missing | F.col(column).isNull()
+    untimed = rows.where(missing).select(
+        *keys, *[F.lit(None).cast(f.dataType).alias(f.name) for f in emitted.fields],
+        F.lit(UNTIMED_REASON).alias(LATE[0]), F.col("t_sec").alias(LATE[1]), F.col("event_id").alias(LATE[2]))
+    return out.unionByName(untimed)
 
 
 def split_late(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Results of a machine that reports late positions, and these positions."""
+    """Results of a machine that reports late positions, and these positions: keys, reason, t_sec, event_id."""
     late = F.col(LATE[0]).isNotNull()
     return df.where(~late).drop(*LATE), df.where(late).select(*keys, *[F.col(c).alias(c[5:]) for c in LATE])
