@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from haulwatch.operators.ranking import with_place
+
 REGION = ["dept_id", "province_id", "city_id", "area_id"]
 ENTERPRISE = ["transport_enterprise_id", "enterprise_name"]
 VEHICLE = ["vehicle_id", "car_card_number"]
@@ -100,59 +102,46 @@ def vehicle_type_base(df: DataFrame) -> DataFrame:
     )
 
 
-#: Bands of score in which the enterprises of a department are ranked.
-RANK_BANDS = 1000
-
-# name -> keys beyond the region
-RANK_LEVELS = {
-    "type": TYPE, "enterprise": ENTERPRISE, "enterprise_type": [*ENTERPRISE, *TYPE],
-    "vehicle": VEHICLE, "vehicle_type": [*VEHICLE, *TYPE], "total": [],
-}
-
-
 def rank_grouping_sets(df: DataFrame) -> DataFrame:
-    """All six rank tables in one plan; ``level`` names the table a row belongs to. The
-    grouping sets run over the reduced detail, which is as small as the finest level."""
+    """All six rank tables in one plan; ``level`` names the table a row belongs to.
+
+    Each level is summed from the next finer one, by way of one row per (level, vehicle), whose number is the number of
+    distinct vehicles; so the detail is read and shuffled once, and every step is smaller than the one before."""
+    base = vehicle_type_base(df)
+    sums = [F.sum(c).alias(c) for c in ("n", "vehicle_score", "enterprise_score")]
+    vehicles = F.count("vehicle_id").alias("illegal_vehicle_count")
+    one = F.when(F.col("vehicle_id").isNotNull(), 1).otherwise(0).cast("long").alias("illegal_vehicle_count")
+
+    def per_vehicle(finer: DataFrame, extra: list[str]) -> DataFrame:
+        return finer.groupBy(*REGION, *extra, "vehicle_id").agg(*sums)
+
+    vehicle_type = base.groupBy(*REGION, *VEHICLE, *TYPE).agg(*sums)
+    vehicle = vehicle_type.groupBy(*REGION, *VEHICLE).agg(*sums)
+    enterprise_type = per_vehicle(base, [*ENTERPRISE, *TYPE])
+    tables = {
+        "vehicle_type": vehicle_type.select("*", one), "vehicle": vehicle.select("*", one),
+        "type": per_vehicle(vehicle_type, TYPE).groupBy(*REGION, *TYPE).agg(*sums, vehicles),
+        "total": per_vehicle(vehicle, []).groupBy(*REGION).agg(*sums, vehicles),
+        "enterprise_type": enterprise_type.groupBy(*REGION, *ENTERPRISE, *TYPE).agg(*sums, vehicles),
+        "enterprise": per_vehicle(enterprise_type, ENTERPRISE).groupBy(*REGION, *ENTERPRISE).agg(*sums, vehicles),
+    }
     columns = [*REGION, *ENTERPRISE, *VEHICLE, *TYPE]
-    base = vehicle_type_base(df).withColumns(
-        {"_vehicle": F.col("vehicle_id"), **{f"_k_{c}": F.col(c) for c in columns}}
-    )
-    sets = [[F.col(f"_k_{c}") for c in [*REGION, *extra]] for extra in RANK_LEVELS.values()]
-    grouped = base.groupingSets(sets, *[F.col(f"_k_{c}") for c in columns]).agg(
-        F.grouping_id().alias("_g"), F.count_distinct("_vehicle").alias("illegal_vehicle_count"),
-        F.sum("n").alias("illegal_count"), F.sum("vehicle_score").alias("vehicle_sum"),
-        F.sum("enterprise_score").alias("enterprise_sum"),
-    )
-    level = None
-    for name, extra in RANK_LEVELS.items():
-        kept = {*REGION, *extra}
-        gid = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in kept)
-        level = (F if level is None else level).when(F.col("_g") == gid, name)
-    by_enterprise = level.isin("enterprise", "enterprise_type")
-    return grouped.select(
-        level.alias("level"), *[F.col(f"_k_{c}").alias(c) for c in columns],
-        "illegal_vehicle_count", "illegal_count",
-        F.when(by_enterprise, F.col("enterprise_sum")).otherwise(F.col("vehicle_sum")).alias("illegal_sum"),
-    )
+    out = None
+    for name, table in tables.items():
+        score = "enterprise_score" if name.startswith("enterprise") else "vehicle_score"
+        rows = table.select(
+            F.lit(name).alias("level"),
+            *[F.col(c) if c in table.columns else F.lit(None).cast(df.schema[c].dataType).alias(c) for c in columns],
+            "illegal_vehicle_count", F.col("n").alias("illegal_count"), F.col(score).alias("illegal_sum"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def ranked_enterprises(df: DataFrame) -> DataFrame:
-    """Enterprises of a department by summed score, highest first; scores are summed as decimals, so that
-    equal ones tie exactly.
-
-    A department is cut into bands of equal width below its highest score. Ranks are taken inside a band and
-    moved by the number of rows in the bands above it, so that no task sorts a whole department."""
+    """Enterprises of a department by summed score, highest first, without a score last; scores are summed as decimals,
+    so that equal ones tie exactly."""
     exact = df.withColumn("enterprise_final_score", F.col("enterprise_final_score").cast("decimal(18,4)"))
-    totals = rank_by_enterprise(exact)
-    highest = totals.groupBy("dept_id").agg(F.max("illegal_sum").alias("_top"))
-    share = F.try_divide(F.col("illegal_sum").cast("double"), F.col("_top").cast("double"))
-    rows = totals.join(highest, "dept_id").withColumn(
-        "_band", F.least(F.floor(F.coalesce(share, F.lit(0.0)) * RANK_BANDS), F.lit(RANK_BANDS).cast("long")))
-    above = Window.partitionBy("dept_id").orderBy(F.col("_band").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    bands = rows.groupBy("dept_id", "_band").agg(F.count(F.lit(1)).alias("_n"))
-    bands = bands.select("dept_id", "_band", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
-    inside = Window.partitionBy("dept_id", "_band").orderBy(F.col("illegal_sum").desc_nulls_last())
-    ranked = rows.withColumn("_place", F.rank().over(inside)).join(bands, ["dept_id", "_band"])
+    ranked = with_place(rank_by_enterprise(exact), ["dept_id"], "illegal_sum")
     return ranked.select(
         *REGION, *ENTERPRISE, "illegal_vehicle_count", "illegal_count",
-        F.col("illegal_sum").cast("double").alias("illegal_sum"), (F.col("_above") + F.col("_place")).cast("int").alias("place"))
+        F.col("illegal_sum").cast("double").alias("illegal_sum"), "place")

@@ -66,8 +66,8 @@ oracle(
 )
 oracle(
     "frame_header",
-    """SELECT event_id, 512 AS msg_id, CAST(length(body) // 2 AS INT) AS body_length, 0 AS encryption, false AS has_sub_package, 0 AS reserved,
- lpad(CAST(user_id AS VARCHAR), 11, '0') AS terminal_phone, CAST(event_id % 65536 AS INT) AS flow_id, CAST(NULL AS INT) AS sub_package_total, CAST(NULL AS INT) AS sub_package_seq FROM v_frame_body WHERE event_id % 40 NOT IN (1, 2, 4, 5)""",
+    """SELECT event_id, 512 AS msg_id, CAST(length(body) // 2 AS INT) AS body_length, 0 AS encryption, event_id % 40 = 6 AS has_sub_package, 0 AS reserved,
+ lpad(CAST(user_id AS VARCHAR), 11, '0') AS terminal_phone, CAST(event_id % 65536 AS INT) AS flow_id, CASE WHEN event_id % 40 = 6 THEN 3 END AS sub_package_total, CASE WHEN event_id % 40 = 6 THEN CAST(event_id % 3 + 1 AS INT) END AS sub_package_seq FROM v_frame_body WHERE event_id % 40 NOT IN (1, 2, 4, 5)""",
 )
 oracle(
     "frame_checksum",
@@ -320,7 +320,7 @@ def _level(name: str, keys: str, score: str) -> str:
 oracle("rank_grouping_sets", " UNION ALL ".join(_level(n, *a) for n, a in _LEVELS.items()), DETAIL)
 oracle(
     "ranked_enterprises",
-    f"SELECT * REPLACE (CAST(illegal_sum AS DOUBLE) AS illegal_sum), CAST(rank() OVER (PARTITION BY dept_id ORDER BY illegal_sum DESC) AS INT) AS place FROM (SELECT {_REG}, {_ENT}, {_DV}, count(*) AS illegal_count, sum(CAST({ES} AS DECIMAL(18, 4))) AS illegal_sum FROM d GROUP BY {_REG}, {_ENT}) r",
+    f"SELECT * REPLACE (CAST(illegal_sum AS DOUBLE) AS illegal_sum), CAST(rank() OVER (PARTITION BY dept_id ORDER BY illegal_sum DESC NULLS LAST) AS INT) AS place FROM (SELECT {_REG}, {_ENT}, {_DV}, count(*) AS illegal_count, sum(CAST({ES} AS DECIMAL(18, 4))) AS illegal_sum FROM d GROUP BY {_REG}, {_ENT}) r",
     DETAIL,
 )
 

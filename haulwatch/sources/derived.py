@@ -83,7 +83,7 @@ SELECT CAST(c_custkey % 5 AS INT) AS dept_id, c_custkey AS vehicle_id, CAST(CASE
     ),
     "v_register_card": """
 SELECT dept_id, vehicle_id, card_id, disposal_site_id, state, coords FROM (
- SELECT CAST(c_custkey % 5 AS INT) AS dept_id, c_custkey AS vehicle_id, c_custkey*2 AS card_id, (c_custkey % 5) + 5 * (c_custkey % 2) AS disposal_site_id, CAST(CASE WHEN c_custkey % 8 = 0 THEN 1 ELSE 0 END AS INT) AS state, '[[[113.60,34.70],[113.62,34.72]]]' AS coords FROM {customer} WHERE c_custkey % 3 <> 0
+ SELECT CAST(c_custkey % 5 AS INT) AS dept_id, CASE WHEN c_custkey % 3 = 0 THEN 1000000000 + c_custkey ELSE c_custkey END AS vehicle_id, c_custkey*2 AS card_id, (c_custkey % 5) + 5 * (c_custkey % 2) AS disposal_site_id, CAST(CASE WHEN c_custkey % 8 = 0 THEN 1 ELSE 0 END AS INT) AS state, '[[[113.60,34.70],[113.62,34.72]]]' AS coords FROM {customer}
  UNION ALL SELECT CAST(c_custkey % 5 AS INT), c_custkey, c_custkey*2+1, c_custkey % 5, 0, '[[[113.64,34.74],[113.66,34.76]],[[113.67,34.77]]]' FROM {customer} WHERE c_custkey % 6 = 1) c""",
     "v_transport_card": """
 SELECT CAST(c_custkey % 5 AS INT) AS dept_id, c_custkey AS vehicle_id, CAST(c_custkey % 4 AS INT) AS state FROM {customer}""",
@@ -114,9 +114,9 @@ SELECT condition_id, dept_id, fence_flag, CAST(CASE WHEN fence_flag = 1 THEN 20.
  CASE dept_id WHEN 0 THEN '[[113.599,34.699],[113.599,34.739],[113.639,34.739],[113.639,34.699]]' ELSE '[[113.621,34.721],[113.621,34.785],[113.685,34.753]]' END AS coords
 FROM (SELECT n_nationkey AS condition_id, n_nationkey % 5 AS dept_id, CAST(((n_nationkey - n_nationkey % 5) / 5) AS INT) + 1 AS fence_flag FROM {nation}) f""",
     "v_score": " UNION ALL ".join(
-        f"SELECT CAST(r_regionkey AS INT) AS dept_id, '{code}' AS illegal_type_code, 'type {code}' AS illegal_type_short_desc,"
+        f"SELECT CAST(CASE WHEN r_regionkey = 4 THEN 104 ELSE r_regionkey END AS INT) AS dept_id, '{code}' AS illegal_type_code, 'type {code}' AS illegal_type_short_desc,"
         f" CAST({w} AS DOUBLE) AS enterprise_score, CAST({w * 2} AS DOUBLE) AS vehicle_score, CAST({w} + r_regionkey AS DOUBLE) AS driver_score"
-        " FROM {region} WHERE r_regionkey < 4"
+        " FROM {region}"
         for code, w in (("0118", 3), ("0110", 2), ("0115", 5), ("0112", 1))
     ),
     "v_area_name": """
@@ -129,7 +129,7 @@ SELECT l_orderkey, l_linenumber, o_custkey AS vehicle_id, CAST(o_custkey % 5 AS
 FROM {lineitem} l JOIN {orders} o ON l_orderkey = o_orderkey JOIN {supplier} s ON l_suppkey = s.s_suppkey JOIN {nation} n ON s.s_nationkey = n.n_nationkey""",
     "v_illegal": """
 SELECT o_custkey AS vehicle_id, c_name AS car_card_number, l_suppkey AS enterprise_id, s_name AS enterprise_name, CASE l_linenumber % 5 WHEN 0 THEN '0110' WHEN 1 THEN '0108' WHEN 2 THEN '0121' WHEN 3 THEN '0107' ELSE '0111' END AS illegal_id, CASE WHEN l_linenumber % 5 = 0 THEN NULL ELSE concat('violation ', CAST(l_linenumber % 5 AS STRING)) END AS illegal_type_short_desc,
- l_tax * 100 AS enterprise_final_score, l_discount * 100 AS vehicle_driver_final_score, CAST(n_regionkey AS STRING) AS province_id, CAST(n_nationkey AS STRING) AS city_id, CAST(o_custkey % 3 AS STRING) AS area_id, CAST(o_custkey % 5 AS INT) AS dept_id, o_orderdate AS create_time
+ CASE WHEN l_suppkey % 11 = 3 THEN NULL WHEN l_suppkey % 11 = 5 THEN l_tax * -100 ELSE l_tax * 100 END AS enterprise_final_score, l_discount * 100 AS vehicle_driver_final_score, CAST(n_regionkey AS STRING) AS province_id, CAST(n_nationkey AS STRING) AS city_id, CAST(o_custkey % 3 AS STRING) AS area_id, CAST(o_custkey % 5 AS INT) AS dept_id, o_orderdate AS create_time
 FROM {lineitem} l JOIN {orders} o ON l_orderkey = o_orderkey JOIN {customer} c ON o_custkey = c_custkey JOIN {supplier} s ON l_suppkey = s_suppkey JOIN {nation} n ON c_nationkey = n_nationkey""",
     # Yesterday's running totals: one row per supplier as if it were a site.
     "v_amount": """
@@ -149,17 +149,21 @@ SELECT event_id, {SEC} AS t_sec, user_id, CAST(floor(value * 10) AS BIGINT) AS s
 FROM {events}""",
 }
 
-# Whole frames on top of v_frame_body: {XOR} is the XOR of the bytes of column ``bytes``.
+# Whole frames on top of v_frame_body, some of them the part of a message of three: {XOR} is the XOR of the bytes of
+# column ``bytes``.
 VIEWS["v_frame"] = f"""
 SELECT event_id, CASE event_id % 40 WHEN 1 THEN substr(whole, 1, length(whole) - 1) WHEN 2 THEN concat('zz', whole) WHEN 3 THEN substr(whole, 1, 60) WHEN 4 THEN '' WHEN 5 THEN NULL ELSE whole END AS frame
 FROM (SELECT event_id, concat(bytes, CASE WHEN event_id % 23 = 0 THEN '5a' ELSE lpad(lower({{HEX}}(CAST({{XOR}} AS BIGINT))), 2, '0') END) AS whole
- FROM (SELECT event_id, concat('0200', lpad(lower({{HEX}}(CAST(length(body) / 2 AS BIGINT))), 4, '0'), lpad(CAST(user_id AS STRING), 12, '0'), lpad(lower({{HEX}}(CAST(event_id % 65536 AS BIGINT))), 4, '0'), body) AS bytes FROM ({VIEWS["v_frame_body"]}) b) f) g"""
+ FROM (SELECT event_id, concat('0200', lpad(lower({{HEX}}(CAST(length(body) / 2 + CASE WHEN event_id % 40 = 6 THEN 8192 ELSE 0 END AS BIGINT))), 4, '0'), lpad(CAST(user_id AS STRING), 12, '0'), lpad(lower({{HEX}}(CAST(event_id % 65536 AS BIGINT))), 4, '0'),
+ CASE WHEN event_id % 40 = 6 THEN concat('0003', lpad(CAST(event_id % 3 + 1 AS STRING), 4, '0')) ELSE '' END, body) AS bytes FROM ({VIEWS["v_frame_body"]}) b) f) g"""
 
 _SPARK = {
     "SEC": SPARK_SEC,
     "HEX": "hex",
     "BCDTIME": "date_format(ts, 'yyMMddHHmmss')",
-    "XOR": "transform(array(bytes), b -> aggregate(sequence(0, length(b) DIV 2 - 1), 0, (a, i) -> a ^ CAST(conv(substring(b, 2 * i + 1, 2), 16, 10) AS INT)))[0]",
+    # seven bytes at a time, and the seven bytes of the outcome with each other
+    "XOR": "transform(array(rpad(bytes, CAST(ceil(length(bytes) / 14) * 14 AS INT), '0')), b -> transform(array(aggregate(sequence(0, length(b) DIV 14 - 1), 0L, "
+    "(a, i) -> a ^ CAST(conv(substring(b, 14 * i + 1, 14), 16, 10) AS BIGINT))), x -> (x ^ " + " ^ ".join(f"shiftright(x, {n})" for n in range(8, 56, 8)) + ") & 255)[0])[0]",
 }
 _DUCKDB = {
     "SEC": DUCKDB_SEC,

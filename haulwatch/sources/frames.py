@@ -128,34 +128,38 @@ def _walk_items(body: Column) -> Column:
     return F.aggregate(walk, start, step)["items"]
 
 
-def _reject_reason(frame_col: str) -> Column:
-    """Why a frame cannot be decoded, from its text and lengths alone: the filter on it is pushed
-    below everything else, so it must not drag the other columns along."""
-    frame = F.col(frame_col)
-
-    def check(hexa: Column) -> Column:
-        size = F.length(hexa) / 2
-        props = _word(hexa, 2, 2)
-        start = F.when(props.bitwiseAND(0x2000) > 0, 16).otherwise(12)
-        body = props.bitwiseAND(0x3FF)
-        return (
-            F.when(hexa.isNull(), "not_hex")
-            .when(size < 12, "short_header")
-            .when(start + body > size, "short_frame")
-            .when(body < BODY_FIXED_BYTES, "short_body")
-        )
+def _hex_once(df: DataFrame, frame_col: str) -> DataFrame:
+    """Adds ``_f``: the frame as lower-case hex (null if it is none), and whether it is empty.
 
+    The column comes out of a generator, which filters on what is read from it are not pushed through: whatever the frame
+    is computed from is evaluated once, and everything below reads a stored value."""
+    frame = F.col(frame_col)
     raw = F.lower(frame)
     hexa = F.when((F.length(raw) % 2 == 0) & raw.rlike("^[0-9a-f]+$"), raw)
-    return F.when(frame.isNull() | (frame == ""), "empty").otherwise(_let(hexa, check))
+    empty = frame.isNull() | (frame == "")
+    return df.select("*", F.explode(F.array(F.struct(hexa.alias("hex"), empty.alias("empty")))).alias("_f"))
+
+
+def _reject_reason(hexa: Column, empty: Column) -> Column:
+    """Why a frame cannot be decoded, from its lengths alone."""
+    size = F.length(hexa) / 2
+    props = _word(hexa, 2, 2)
+    start = F.when(props.bitwiseAND(0x2000) > 0, 16).otherwise(12)
+    body = props.bitwiseAND(0x3FF)
+    return (
+        F.when(empty, "empty")
+        .when(hexa.isNull(), "not_hex")
+        .when(size < 12, "short_header")
+        .when(start + body > size, "short_frame")
+        .when(body < BODY_FIXED_BYTES, "short_body")
+    )
 
 
 def parse_frames(df: DataFrame, frame_col: str = "frame") -> DataFrame:
     """Adds ``header``, ``body`` (hex), ``checksum``, ``checksum_ok`` and ``reject_reason``
     (null for a frame that decodes). The checksum is reported, not enforced."""
-    raw = F.lower(F.col(frame_col))
-    df = df.withColumn("_hex", F.when((F.length(raw) % 2 == 0) & raw.rlike("^[0-9a-f]+$"), raw))
-    hexa = F.col("_hex")
+    df = _hex_once(df, frame_col)
+    hexa = F.col("_f.hex")
     long_enough = F.length(hexa) >= 24
     df = df.withColumn("_props", F.when(long_enough, _word(hexa, 2, 2)))
     props = F.col("_props")
@@ -191,8 +195,11 @@ def parse_frames(df: DataFrame, frame_col: str = "frame") -> DataFrame:
         }
     )
     return df.withColumns(
-        {"checksum_ok": F.col("checksum") == F.col("_sum"), "reject_reason": _reject_reason(frame_col)}
-    ).drop("_hex", "_props", "_sum")
+        {
+            "checksum_ok": F.col("checksum") == F.col("_sum"),
+            "reject_reason": _reject_reason(hexa, F.col("_f.empty")),
+        }
+    ).drop("_f", "_props", "_sum")
 
 
 def state_bits(word: Column) -> dict[str, Column]:
