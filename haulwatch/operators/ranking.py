@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulwatch.session import new_shared_path
+from haulwatch.session import stored
 
 
 def with_place(rows: DataFrame, keys: list[str], score: str, place: str = "place") -> DataFrame:
@@ -18,10 +18,7 @@ def with_place(rows: DataFrame, keys: list[str], score: str, place: str = "place
     values = rows.groupBy(*keys, score).agg(F.count(F.lit(1)).alias("_n"))
     highest_first = F.col(score).desc_nulls_last()
     dealt = values.repartitionByRange(*[F.col(k) for k in keys], highest_first)
-    path = new_shared_path(rows.sparkSession, "ranges")
-    dealt.withColumn("_range", F.spark_partition_id()).write.parquet(path)
-    spark = rows.sparkSession
-    dealt = spark.read.schema(values.withColumn("_range", F.lit(0)).schema).parquet(path)
+    dealt = stored(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
     ranges = dealt.groupBy(*keys, "_range").agg(F.sum("_n").alias("_rows"))
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.select(

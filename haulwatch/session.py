@@ -10,7 +10,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -87,6 +87,13 @@ def new_shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read again: computed once, however many branches read them."""
+    path = new_shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Deletes a folder of the shared file system; nothing if it is not there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

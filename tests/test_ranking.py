@@ -44,11 +44,6 @@ def plan_of(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_levels_share_the_detail(spark, small):
-    plan = plan_of(violations.rank_grouping_sets(violations.scoring_detail(view(spark, small, "v_illegal"))))
-    assert "Expand" not in plan
-
-
 def test_frames_are_built_once(spark, small):
     """What a frame is computed from stands in the plan once, whatever is read from the frame."""
     for name in ("decode_frames", "decode_rejects", "frame_header", "frame_state_bits"):
