@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from haulwatch.functions import geo, timefn
 from haulwatch.operators import enrich
 from haulwatch.operators.chains import ChainRule, greedy_chain
+from haulwatch.operators.enrich import card_routes
 from haulwatch.operators.ordered import DAY, episodes, timed
-from haulwatch.operators.proximity import audited_disposal, with_near_ids, with_violations
+from haulwatch.operators.proximity import audited_disposal, off_route, with_near_ids, with_violations
 
 KEY = ["dept_id", "vehicle_id"]
 
@@ -97,23 +98,25 @@ def gps_incomplete_alarms(tracks: DataFrame) -> DataFrame:
     return thin_alarms(gps_incomplete_candidates(tracks))
 
 
-def off_route_points(tracks: DataFrame, radius_m: float = 500.0, vertices: str | None = None) -> DataFrame:
-    """Positions of vehicles with a permit; ``off_route`` is false when a vertex of a permitted
-    route is near. ``vertices`` names the column with parsed routes, if they were parsed per vehicle; a
-    message of the bus has their text only."""
+def off_route_points(tracks: DataFrame, cards: DataFrame | None = None, radius_m: float = 500.0) -> DataFrame:
+    """Positions of vehicles with a permit; ``off_route`` is false when a vertex of a permitted route is near. Routes come
+    from the permits ``cards``, laid out once; without these from ``coords``, the text that a message of the bus bears,
+    parsed for each position."""
+    if cards is not None:
+        return off_route(tracks.join(card_routes(cards).select(*KEY), KEY, "left_semi"), card_routes(cards), radius_m)
     permitted = tracks.where(F.col("register_card_state") == 1)
-    routes = geo.route_vertices(F.col("coords")) if vertices is None else F.col(vertices)
+    routes = geo.route_vertices(F.col("coords"))
     return permitted.withColumn("off_route", geo.off_route(F.col("lng"), F.col("lat"), routes, radius_m))
 
 
-def off_route_candidates(tracks: DataFrame, vertices: str | None = None) -> DataFrame:
-    points = off_route_points(tracks, vertices=vertices).select(*KEY, "t_sec", "event_id", "lng", "lat", "off_route")
+def off_route_candidates(tracks: DataFrame, cards: DataFrame | None = None) -> DataFrame:
+    points = off_route_points(tracks, cards).select(*KEY, "t_sec", "event_id", "lng", "lat", "off_route")
     off = F.col("off_route")
     return _candidates(episodes(points, KEY, off, ~off, ["lng", "lat"]), F.lit(OFF_ROUTE))
 
 
-def off_route_alarms(tracks: DataFrame, vertices: str | None = None) -> DataFrame:
-    return thin_alarms(off_route_candidates(tracks, vertices))
+def off_route_alarms(tracks: DataFrame, cards: DataFrame | None = None) -> DataFrame:
+    return thin_alarms(off_route_candidates(tracks, cards))
 
 
 def no_register_alarms(tracks: DataFrame) -> DataFrame:

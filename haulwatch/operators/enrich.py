@@ -64,14 +64,10 @@ def card_routes(cards: DataFrame) -> DataFrame:
     )
 
 
-def with_register_card(df: DataFrame, cards: DataFrame, vertices: bool = False) -> DataFrame:
-    """Adds the permit flag and the routes as text. With ``vertices`` the routes are parsed too, once per
-    vehicle, into ``route_vertices``."""
+def with_register_card(df: DataFrame, cards: DataFrame) -> DataFrame:
+    """Adds the permit flag and the routes as text."""
     base = df.drop("register_card_state", "coords")
-    routes = card_routes(cards)
-    if vertices:
-        routes = routes.withColumn("route_vertices", geo.route_vertices(F.col("coords")))
-    return base.join(routes, VEHICLE_KEY, "left").withColumn(
+    return base.join(card_routes(cards), VEHICLE_KEY, "left").withColumn(
         "register_card_state", F.coalesce("register_card_state", F.lit(0))
     )
 

@@ -150,44 +150,117 @@ def with_near_ids(df: DataFrame, sites: DataFrame, radius_m: float = SITE_RADIUS
 
 # Positions within this many degrees of a cell's rim count as inside it when edges are left out.
 RIM_DEG = 1e-9
+# Cells that lie in a polygon as a whole are kept in blocks of 2^4 by 2^4.
+BLOCK_LEVEL = 4
+# Polygons begin with cells of at most 2^12 by 2^12.
+TOP_LEVEL = 12
 
 
-def _clipped_cells(dim: DataFrame, ring: str, size: float) -> DataFrame:
-    """Polygons in the cells they touch, with ``edges``, those that a position in the cell may have above it or
-    not, and ``odd``, whether an odd number of others is above every position of the cell. Cells outside
-    the polygon are left out, cells inside it have no edges."""
-    cells = _polygon_cells(dim, ring, size).withColumn("_edges", geo.polygon_edges(F.col(ring)))
-    west, south = F.col("_cx") * size - RIM_DEG, F.col("_cy") * size - RIM_DEG
-    east, north = west + (size + 2 * RIM_DEG), south + (size + 2 * RIM_DEG)
+def _half(cell: Column, times: Column) -> Column:
+    """The cell of the level so many times up."""
+    return F.call_function("shiftright", cell, times)
 
-    def height(e: Column, x: Column) -> Column:
-        return F.try_divide((e["py"] - e["y"]) * (x - e["x"]), e["px"] - e["x"]) + e["y"]
 
-    def spans(e: Column) -> Column:
-        return (F.least(e["x"], e["px"]) <= west) & (F.greatest(e["x"], e["px"]) >= east)
+def _width(level: Column) -> Column:
+    """Cells of level 0 along the side of one."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), level)
+
 
-    def above(e: Column) -> Column:
-        return F.coalesce(spans(e) & (F.least(height(e, west), height(e, east)) > north), F.lit(False))
+def _covering_cells(dim: DataFrame, ring: str, size: float) -> DataFrame:
+    """Polygons in the cells that cover them, as a quadtree finds them: a cell that edges pass through is split into
+    four, down to cells of ``size``, and hands its edges down to those of the four that they can matter to; a cell
+    without edges is inside or outside as a whole. So the work follows the number of edges times the depth, and not
+    the number of cells times the number of edges.
 
-    def matters(e: Column) -> Column:
-        beside = (F.greatest(e["x"], e["px"]) < west) | (F.least(e["x"], e["px"]) > east)
-        below = (F.greatest(e["y"], e["py"]) < south) | F.coalesce(
-            spans(e) & (F.greatest(height(e, west), height(e, east)) < south), F.lit(False))
-        return ~beside & ~below & ~above(e)
+    Columns: ``level``, 0 for a cell of ``size`` with the ``edges`` that a position in it can have above it or not, and
+    ``odd``, whether an odd number of others is above every position of it; or BLOCK_LEVEL for a block of cells that lie
+    in the polygon. ``_cx``, ``_cy`` count cells of that level."""
+    def extent(name: str) -> tuple[Column, Column]:
+        values = F.transform(F.col(ring), lambda p: p[name])
+        return geo.cell(F.array_min(values), size), geo.cell(F.array_max(values), size)
 
-    cells = cells.withColumns({"edges": F.filter("_edges", matters), "odd": F.size(F.filter("_edges", above)) % 2})
-    return cells.where((F.size("edges") > 0) | (F.col("odd") == 1)).drop("_edges")
+    (west, east), (south, north) = extent("x"), extent("y")
+    dim = dim.withColumns({"_w": west, "_e": east, "_s": south, "_n": north, "_edges": geo.polygon_edges(F.col(ring))})
+    span = F.greatest(F.col("_e") - F.col("_w"), F.col("_n") - F.col("_s")) + 1
+    dim = dim.withColumn("_top", F.least(F.ceil(F.log2(span)), F.lit(TOP_LEVEL)).cast("int"))
 
+    def sides(cx: Column, cy: Column, level: Column) -> tuple[Column, Column, Column, Column]:
+        wide = _width(level) * size
+        left, low = cx * wide - RIM_DEG, cy * wide - RIM_DEG
+        return left, left + (wide + 2 * RIM_DEG), low, low + (wide + 2 * RIM_DEG)
 
-def _polygon_cells(dim: DataFrame, ring: str, size: float) -> DataFrame:
-    """Polygons repeated for every cell of their bounding box."""
-    def axis(name: str) -> Column:
-        values = F.transform(F.col(ring), lambda p: p[name])
-        return F.explode(
-            F.sequence(geo.cell(F.array_min(values), size), geo.cell(F.array_max(values), size))
-        )
+    def height(e: Column, x: Column) -> Column:
+        return F.try_divide((e["py"] - e["y"]) * (x - e["x"]), e["px"] - e["x"]) + e["y"]
 
-    return dim.withColumn("_cx", axis("x")).withColumn("_cy", axis("y"))
+    def clipped(cx: Column, cy: Column, level: Column, edges: Column, odd: Column) -> Column:
+        left, right, low, high = sides(cx, cy, level)
+
+        def spans(e: Column) -> Column:
+            return (F.least(e["x"], e["px"]) <= left) & (F.greatest(e["x"], e["px"]) >= right)
+
+        def above(e: Column) -> Column:
+            return F.coalesce(spans(e) & (F.least(height(e, left), height(e, right)) > high), F.lit(False))
+
+        def matters(e: Column) -> Column:
+            beside = (F.greatest(e["x"], e["px"]) < left) | (F.least(e["x"], e["px"]) > right)
+            below = (F.greatest(e["y"], e["py"]) < low) | F.coalesce(
+                spans(e) & (F.greatest(height(e, left), height(e, right)) < low), F.lit(False))
+            return ~beside & ~below & ~above(e)
+
+        # Without an edge in the cell an odd number of edges is above all of it or above none of it, so that one place
+        # tells; with one, what is above may begin or end where that edge leaves the cell.
+        middle = left + (right - left) / 2
+
+        def cell(near: Column) -> Column:
+            touched = F.exists(near, lambda e: F.least(e["y"], e["py"]) <= high)
+            over = F.size(F.filter(near, lambda e: (e["x"] > middle) != (e["px"] > middle)))
+            return F.struct(
+                level.alias("level"), cx.alias("cx"), cy.alias("cy"),
+                F.when(touched, near).otherwise(F.filter(near, lambda e: F.lit(False))).alias("edges"),
+                ((odd + F.size(F.filter(edges, above)) + F.when(touched, 0).otherwise(over)) % 2).cast("int").alias("odd"))
+
+        return F.transform(F.array(F.filter(edges, matters)), cell)[0]
+
+    def kept(cells: Column) -> Column:
+        return F.filter(cells, lambda c: (F.size(c["edges"]) > 0) | (c["odd"] == 1))
+
+    def split(cells: Column) -> Column:
+        def parts(c: Column) -> Column:
+            quarter = F.transform(F.array(*[F.lit(q).cast("long") for q in range(4)]), lambda q: clipped(
+                c["cx"] * 2 + q % 2, c["cy"] * 2 + F.shiftright(q, 1), c["level"] - 1, c["edges"], c["odd"]))
+            return F.when((c["level"] > 0) & (F.size(c["edges"]) > 0), kept(quarter)).otherwise(F.array(c))
+
+        return F.flatten(F.transform(cells, parts))
+
+    top = F.col("_top")
+    whole = F.flatten(F.transform(
+        F.sequence(_half(F.col("_w"), top), _half(F.col("_e"), top)), lambda cx: F.transform(
+            F.sequence(_half(F.col("_s"), top), _half(F.col("_n"), top)),
+            lambda cy: clipped(cx, cy, top, F.col("_edges"), F.lit(0)))))
+    steps = F.when(top > 0, F.sequence(F.lit(1), top)).otherwise(F.array().cast("array<int>"))
+    cells = dim.withColumn("_cell", F.explode(F.aggregate(steps, kept(whole), lambda found, _: split(found))))
+    # a cell without edges becomes blocks, or, where it is smaller than one, cells
+    level = F.when(F.col("_cell.level") >= BLOCK_LEVEL, BLOCK_LEVEL).otherwise(0)
+    cells = cells.withColumns({"level": level, "edges": F.col("_cell.edges"), "odd": F.col("_cell.odd")})
+    times = _width(F.col("_cell.level") - F.col("level"))
+    for axis in ("cx", "cy"):
+        first = F.col(f"_cell.{axis}") * times
+        cells = cells.withColumn(f"_{axis}", F.explode(F.sequence(first, first + times - 1)))
+    return cells.drop("_cell", "_w", "_e", "_s", "_n", "_top", "_edges")
+
+
+def _with_polygons(df: DataFrame, cells: DataFrame, entry: Column, size: float, found: str) -> DataFrame:
+    """Adds ``found``: the entries of the polygons whose cell or block a position is in, or null."""
+    out = _point_cells(df, size)
+    listed = cells.select("dept_id", "level", "_cx", "_cy", entry.alias("_x"))
+    for level, name in ((0, "_near"), (BLOCK_LEVEL, "_amid")):
+        own = listed.where(F.col("level") == level).groupBy("dept_id", "_cx", "_cy").agg(
+            F.array_sort(F.collect_list("_x")).alias(name))
+        if level:
+            out = out.withColumns({c: F.shiftright(c, level) for c in ("_cx", "_cy")})
+        out = out.join(own, ["dept_id", "_cx", "_cy"], "left")
+    both = F.when(F.col("_amid").isNull(), F.col("_near")).when(F.col("_near").isNull(), F.col("_amid"))
+    return out.withColumn(found, both.otherwise(F.array_sort(F.concat("_near", "_amid")))).drop("_near", "_amid")
 
 
 def _bad_ring(ring: str) -> Column:
@@ -210,12 +283,8 @@ def with_region(df: DataFrame, areas: DataFrame, cell_deg: float = AREA_CELL_DEG
     dim = active.select(
         "dept_id", "_a.*", geo.polygon_from_text(F.col("coords")).alias("_ring")
     ).where(~_bad_ring("_ring"))
-    dim = _clipped_cells(dim, "_ring", cell_deg)
     entry = F.struct("id", "city_name", "edges", "odd")
-    cells = dim.select("dept_id", "_cx", "_cy", entry.alias("_e")).groupBy("dept_id", "_cx", "_cy").agg(
-        F.array_sort(F.collect_list("_e")).alias("_areas")
-    )
-    joined = _point_cells(df, cell_deg).join(cells, ["dept_id", "_cx", "_cy"], "left")
+    joined = _with_polygons(df, _covering_cells(dim, "_ring", cell_deg), entry, cell_deg, "_areas")
     hit = F.filter("_areas", lambda a: geo.in_polygon(F.col("lng"), F.col("lat"), a["edges"], a["odd"]))
     return joined.withColumn("_hit", F.get(hit, F.lit(0))).select(
         *df.columns, F.col("_hit.id").alias("region_id"), F.col("_hit.city_name").alias("region_name")
@@ -253,16 +322,12 @@ def with_violations(df: DataFrame, rules: DataFrame, cell_deg: float = AREA_CELL
     the position and whose condition it breaks. Empty when there is none."""
     code = F.create_map(*[F.lit(v) for pair in FENCE_CODES.items() for v in pair])
     dim = rules.withColumn("_ring", geo.polygon_from_json(F.col("coords"))).where(F.size("_ring") > 2)
-    dim = _clipped_cells(dim, "_ring", cell_deg)
     entry = F.struct(
         "fence_flag", F.col("condition_id").alias("fence_id"), F.col("name").alias("fence_name"),
         F.col("area_id").alias("fence_area_id"), code[F.col("fence_flag")].alias("illegal_type_code"), "speed", "start_date", "end_date",
         "edges", "odd",
     )
-    cells = dim.select("dept_id", "_cx", "_cy", entry.alias("_e")).groupBy("dept_id", "_cx", "_cy").agg(
-        F.array_sort(F.collect_list("_e")).alias("_rules")
-    )
-    joined = _point_cells(df, cell_deg).join(cells, ["dept_id", "_cx", "_cy"], "left")
+    joined = _with_polygons(df, _covering_cells(dim, "_ring", cell_deg), entry, cell_deg, "_rules")
     broken = F.filter(
         F.col("_rules"),
         lambda r: geo.in_polygon(F.col("lng"), F.col("lat"), r["edges"], r["odd"]) & F.coalesce(_violated(r), F.lit(False)),
@@ -286,3 +351,20 @@ def fence_violations(df: DataFrame, rules: DataFrame) -> DataFrame:
     marked = with_violations(df, rules).withColumn("_v", F.explode_outer("violations"))
     return marked.select(*df.columns, "_v.*")
 
+
+
+def off_route(df: DataFrame, routes: DataFrame, radius_m: float = SITE_RADIUS_M) -> DataFrame:
+    """Adds ``off_route``: no vertex of a route of the vehicle's permits is within the radius. A vertex that is no place
+    is near nothing, and nothing is near a position without a place. ``routes`` has ``coords`` per vehicle, routes of
+    several permits with '|' between them.
+
+    Vertices are laid out on grid cells, per vehicle; a position meets the one row of its (vehicle, cell), which lists
+    the vertices that can be near. Positions carry no routes and are not multiplied."""
+    key = ["dept_id", "vehicle_id"]
+    places = routes.select(*key, F.explode(geo.route_vertices(F.col("coords"))).alias("_v")).select(
+        *key, F.col("_v.x").alias("lng"), F.col("_v.y").alias("lat")).dropna().distinct()
+    cell_key = [*key, "_cx", "_cy"]
+    cells = _near_cells(places, radius_m).groupBy(*cell_key).agg(F.collect_list(F.struct("lng", "lat")).alias("_near"))
+    out = _site_cells(df, SITE_CELL_DEG).join(cells, cell_key, "left")
+    near = F.coalesce(F.exists("_near", lambda v: _close_to(v, radius_m, False)), F.lit(False))
+    return out.withColumn("off_route", ~near).select(*df.columns, "off_route")

@@ -58,10 +58,6 @@ def sited(spark: SparkSession, folder: str) -> DataFrame:
     return known.join(view(spark, folder, "v_enterprise"), ["dept_id", "enterprise_id"], "left")
 
 
-def routed(positions: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
-    return enrich.with_register_card(positions, view(spark, folder, "v_register_card"), vertices=True)
-
-
 # ---- sources and sinks ------------------------------------------------------------------
 
 
@@ -457,7 +453,8 @@ def geo_distance(spark, folder):
 
 @register
 def off_route_points(spark, folder):
-    return alarms.off_route_points(routed(admitted(spark, folder), spark, folder), vertices="route_vertices").select("event_id", "vehicle_id", "off_route")
+    out = alarms.off_route_points(admitted(spark, folder), view(spark, folder, "v_register_card"))
+    return out.select("event_id", "vehicle_id", "off_route")
 
 
 @register
@@ -507,7 +504,7 @@ def fence_alarms(spark, folder):
 
 @register
 def off_route_alarms(spark, folder):
-    return rounded(alarms.off_route_alarms(routed(cleaned(spark, folder), spark, folder), vertices="route_vertices"))
+    return rounded(alarms.off_route_alarms(cleaned(spark, folder), view(spark, folder, "v_register_card")))
 
 
 @register

@@ -54,8 +54,8 @@ def gps_incomplete_alarms(bus: DataFrame, **timing) -> DataFrame:
     return run_machine(clean.admitted(bus).withColumn("standing", standing), machine, KEY, **timing)
 
 
-def off_route_alarms(bus: DataFrame, **timing) -> DataFrame:
-    points = alarms.off_route_points(clean.admitted(bus))
+def off_route_alarms(bus: DataFrame, cards: DataFrame | None = None, **timing) -> DataFrame:
+    points = alarms.off_route_points(clean.admitted(bus), cards)
     return run_machine(points, machines.EpisodeMachine(code=alarms.OFF_ROUTE, offends="off_route"), KEY, **timing)
 
 

@@ -3,7 +3,10 @@
 import math
 import random
 
-from haulwatch.operators import proximity
+from pyspark.sql import functions as F
+
+from haulwatch.functions import geo
+from haulwatch.operators import alarms, enrich, proximity
 
 
 def metres(a, b):
@@ -65,6 +68,66 @@ def test_clipped_polygons(spark):
         assert {r.event_id for r in got.collect()} == want, size
 
 
+def test_a_country(spark):
+    """A ring of 20,000 vertices that spans 40 by 25 degrees, with a district inside: cells where edges pass, blocks
+    of cells within, and nothing for the rest of the box."""
+    rng = random.Random(11)
+    n = 20_000
+    ring = []
+    for i in range(n):
+        turn = 2 * math.pi * i / n
+        reach = 1 + 0.2 * math.sin(7 * turn) + 0.05 * math.sin(90 * turn)
+        ring.append((100 + 16 * reach * math.cos(turn), 35 + 10 * reach * math.sin(turn)))
+    small = [(100.01, 35.01), (100.01, 35.09), (100.08, 35.05)]
+    areas = spark.createDataFrame(
+        [(1, 1, "country", 1, ";".join(f"{x},{y}" for x, y in ring)),
+         (1, 0, "district", 1, ";".join(f"{x},{y}" for x, y in small))],
+        "dept_id int, id int, city_name string, state int, coords string")
+
+    def inside(x, y, ring):
+        odd = False
+        for (ax, ay), (bx, by) in zip(ring, [ring[-1], *ring[:-1]]):
+            if (ax > x) != (bx > x) and y < (by - ay) * (x - ax) / (bx - ax) + ay:
+                odd = not odd
+        return odd
+
+    spots = [(rng.uniform(78, 122), rng.uniform(20, 50)) for _ in range(150)]
+    spots += [(x + rng.uniform(-0.1, 0.1), y + rng.uniform(-0.1, 0.1)) for x, y in rng.sample(ring, 100)]
+    spots += [(rng.uniform(100, 100.1), rng.uniform(35, 35.1)) for _ in range(50)]
+    points = spark.createDataFrame([(i, 1, x, y) for i, (x, y) in enumerate(spots)], POINTS)
+    want = {i: "district" if inside(x, y, small) else "country" if inside(x, y, ring) else None for i, (x, y) in enumerate(spots)}
+    got = {r.event_id: r.region_name for r in proximity.with_region(points, areas).collect()}
+    assert got == want and set(want.values()) == {"district", "country", None}
+    dim = areas.withColumn("_ring", geo.polygon_from_text(F.col("coords"))).drop("coords")
+    cells = proximity._covering_cells(dim, "_ring", 0.05).select("level", F.size("edges").alias("n")).toPandas()
+    box = (max(x for x, _ in ring) - min(x for x, _ in ring)) / 0.05 * (max(y for _, y in ring) - min(y for _, y in ring)) / 0.05
+    assert len(cells) < box / 8 and cells["n"].sum() < 30 * n and (cells["level"] > 0).sum() > 100
+
+
+def test_off_route_by_cells_and_by_text(spark):
+    """The grid of vertices gives what the text of the routes gives, position by position."""
+    rng = random.Random(8)
+
+    def route(n):
+        return "[" + ",".join("[[%f,%f],[%f,%f]]" % tuple(v for _ in range(2) for v in (
+            113.6 + rng.random() * 0.1, 34.7 + rng.random() * 0.1)) for _ in range(n)) + "]"
+
+    cards = spark.createDataFrame(
+        [(1, v, v * 10 + i, 0, coords) for v in range(6) for i, coords in enumerate(
+            [route(4), route(2)] if v < 3 else [["[]", None, "[[[113.6],[113.65,34.75]]]"][v - 3]])] + [(1, 7, 1, 1, route(1))],
+        "dept_id int, vehicle_id long, card_id long, state int, coords string")
+    tracks = spark.createDataFrame(
+        [(i, 1, i % 9, 113.6 + rng.random() * 0.1, 34.7 + rng.random() * 0.1) for i in range(900)] + [(901, 1, 1, None, None)],
+        "event_id long, dept_id int, vehicle_id long, lng double, lat double")
+    by_text = alarms.off_route_points(enrich.with_register_card(tracks, cards))
+    by_cell = alarms.off_route_points(tracks, cards)
+    rows = lambda df: sorted((r.event_id, r.off_route) for r in df.collect())
+    got, want = rows(by_cell), rows(by_text)
+    assert got == want and {True, False} == {off for _, off in want}
+    plan = by_cell._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("route_vertices") == 0 and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 def test_poles_and_the_date_line(spark):
     sites = [(1, 1, 1, 179.9995, 10.0, 0), (1, 2, 1, -179.9995, 10.0, 0), (1, 3, 1, 0.0, 89.9999, 0), (1, 4, 1, 30.0, 89.0, 0)]
     points = [(1, 1, 179.9999, 10.0), (2, 1, -179.9999, 10.0), (3, 1, 180.0, 10.0), (4, 1, 170.0, 89.9998), (5, 1, -95.0, 89.9999),

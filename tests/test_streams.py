@@ -103,7 +103,7 @@ def test_stream_equals_batch(spark, small, medium, tracks, in_order, tmp_path, n
         got, want = streams.gps_incomplete_alarms(live, **IN_ORDER), alarms.gps_incomplete_alarms(batch)
         columns = ALARM
     elif name == "route":
-        got = streams.off_route_alarms(routed(live, cards), **IN_ORDER)
+        got = streams.off_route_alarms(live, cards, **IN_ORDER)
         want = alarms.off_route_alarms(routed(batch, cards))
         columns = ALARM
     elif name == "permit":
