@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from haulwatch.functions import timefn
 from haulwatch.operators.chains import ChainRule, greedy_chain
 from haulwatch.operators.clean import empty_flag, load_by_model
-from haulwatch.operators.ordered import DAY, episodes, with_chunk, with_neighbours
-from haulwatch.operators.proximity import audited_disposal, near_sites
+from haulwatch.operators.ordered import DAY, episodes, timed, with_chunk, with_neighbours
+from haulwatch.operators.proximity import audited_disposal, with_near_ids
 
 KEY = ["dept_id", "vehicle_id"]
 
@@ -179,48 +179,66 @@ def stop_episodes(tracks: DataFrame, gap: int = STOP_GAP_SECONDS, width: int = D
     )
 
 
-def inout_dwell(tracks: DataFrame, sites: DataFrame, seconds: int = DWELL_SECONDS) -> DataFrame:
+def inout_dwell(tracks: DataFrame, sites: DataFrame, seconds: int = DWELL_SECONDS, width: int = DAY) -> DataFrame:
     """Visits of disposal sites: (enter, exit) per vehicle and site.
 
     A visit is confirmed by a position inside more than ``seconds`` after the enter, and ends at
     the first position outside once the vehicle has stayed outside for more than ``seconds``.
 
-    Only positions inside a site are paired with it. How long the vehicle was outside afterwards
-    follows from its next position and the one before it came back. Long absences cut the
-    positions inside into segments. A segment longer than ``seconds`` confirms and ends a visit;
-    a shorter one leaves the visit pending, and the next segment then ends it."""
+    Positions are first compressed to runs near the same places, chunk by chunk; sites at one place share a run. Only
+    the runs inside a place go on. How long the vehicle was outside afterwards follows from the run after it and the
+    one before it came back. Long absences cut the runs of a place into segments. A segment longer than ``seconds``
+    confirms and ends a visit; a shorter one leaves the visit pending, and the next segment then ends it."""
     disposal = audited_disposal(sites)
-    rows = tracks.where(F.col("t_sec").isNotNull()).select(*KEY, "t_sec", "event_id", "lng", "lat")
-    last = rows.groupBy(*KEY).agg(F.max(F.struct("t_sec", "event_id")).alias("_last"))
-    around = with_neighbours(rows, KEY, ["t_sec", "event_id"])
-    inside = near_sites(around, disposal).select(
-        *KEY, "site_id", "t_sec", "event_id", F.col("prev").alias("_p"), F.col("next").alias("_n")
-    )
-    pair = [*KEY, "site_id"]
-    inside = with_neighbours(inside, pair, ["t_sec", "event_id", "_p"]).join(last, KEY)
-    out_until = F.when(F.col("next").isNotNull(), F.col("next._p.t_sec")).otherwise(F.col("_last.t_sec"))
-    went_out = F.col("_n").isNotNull() & (
-        F.col("next").isNull() | (F.col("_n.event_id") != F.col("next.event_id"))
-    )
-    cut = F.coalesce(went_out & (out_until - F.col("_n.t_sec") > seconds), F.lit(False))
-    marked = inside.select(*pair, "t_sec", "event_id", F.col("_n.t_sec").alias("exit_sec"), cut.alias("_cut"))
-    segments = episodes(marked, pair, F.lit(True), F.col("_cut"), ["exit_sec"]).select(
-        *pair, F.col("opened.t_sec").alias("first_sec"), F.col("closed.t_sec").alias("last_sec"),
-        F.col("closed.exit_sec").alias("exit_sec"),
-    )
-    # Segments of a pair are more than ``seconds`` apart, so this window holds a number of rows
-    # that is bounded by the time span, not by the number of positions.
-    w = Window.partitionBy(*pair).orderBy("first_sec")
+    if "is_delete" in disposal.columns:
+        disposal = disposal.where(F.col("is_delete") == 0)
+    places = disposal.groupBy("dept_id", "lng", "lat").agg(
+        F.min("site_id").alias("site_id"), F.collect_set("site_id").alias("_sites"))
+    rows = with_chunk(timed(tracks).select(*KEY, "t_sec", "event_id", "lng", "lat"), width)
+    chunk = [*KEY, "_chunk"]
+    # what a chunk has to know of the others: one row per chunk
+    span = rows.groupBy(*chunk).agg(F.min("t_sec").alias("_from"), F.max("t_sec").alias("_to"))
+    across = Window.partitionBy(*KEY).orderBy("_chunk")
+    whole = Window.partitionBy(*KEY).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    span = span.select(
+        *chunk, F.lag("_to").over(across).alias("_before"), F.lead("_from").over(across).alias("_after"),
+        F.last("_to").over(whole).alias("_last"))
+    near = with_near_ids(rows, places).select(*chunk, "t_sec", "event_id", F.array_sort("near").alias("near"))
+    inside = Window.partitionBy(*chunk).orderBy("t_sec", "event_id")
+    changed = ~F.coalesce(F.lag("near").over(inside) == F.col("near"), F.lit(False))
+    run = F.sum(changed.cast("int")).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    near = near.withColumn("_run", run)
+    runs = near.groupBy(*chunk, "_run").agg(
+        F.first("near").alias("near"), F.min("t_sec").alias("from"), F.max("t_sec").alias("to"))
+    beside = Window.partitionBy(*chunk).orderBy("_run")
+    runs = runs.withColumns({"came": F.lag("to").over(beside), "left": F.lead("from").over(beside)})
+    runs = runs.where(F.size("near") > 0).join(span, chunk).select(
+        *chunk, "_run", F.explode("near").alias("place"), "from", "to", F.coalesce("came", "_before").alias("came"),
+        F.coalesce("left", "_after").alias("left"), F.col("_last"))
+    pair = [*KEY, "place"]
+    order = ["from", "_chunk", "_run"]
+    visits = Window.partitionBy(*pair).orderBy(*order)
+    back = F.lead(F.struct("from", "came")).over(visits)
+    runs = runs.withColumn("_back", back)
+    away = F.coalesce(F.col("_back.came"), F.col("_last")) - F.col("left")
+    went_out = F.col("_back").isNull() | (F.col("left") != F.col("_back.from"))
+    runs = runs.withColumn("_cut", F.coalesce(went_out & (away > seconds), F.lit(False)))
+    so_far = visits.rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("_segment", F.coalesce(F.sum(F.col("_cut").cast("int")).over(so_far), F.lit(0)))
+    segments = runs.groupBy(*pair, "_segment").agg(
+        F.min("from").alias("first_sec"), F.max("to").alias("last_sec"), F.max("_cut").alias("_closed"),
+        F.max_by("left", F.struct(*order)).alias("exit_sec")).where("_closed")
+    w = Window.partitionBy(*pair).orderBy("_segment")
     long = F.col("last_sec") - F.col("first_sec") > seconds
-    ranked = segments.withColumns({"_n": F.row_number().over(w), "_long": long})
-    so_far = w.rowsBetween(Window.unboundedPreceding, -1)
-    last_long = F.coalesce(F.max(F.when(F.col("_long"), F.col("_n"))).over(so_far), F.lit(0))
-    shorts = F.col("_n") - 1 - last_long
-    ranked = ranked.withColumns({"_pending": shorts % 2 == 1, "_before": F.lag("first_sec").over(w)})
+    ranked = segments.withColumns({"_n": F.row_number().over(w), "_long": long, "_before": F.lag("first_sec").over(w)})
+    last_long = F.max(F.when(F.col("_long"), F.col("_n"))).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    pending = (F.col("_n") - 1 - F.coalesce(last_long, F.lit(0))) % 2 == 1
+    ranked = ranked.withColumn("_pending", pending)
     enter = F.when(F.col("_pending"), F.col("_before")).otherwise(F.col("first_sec"))
-    return ranked.where(F.col("_long") | F.col("_pending")).select(
-        *pair, enter.alias("enter_sec"), "exit_sec"
-    )
+    found = ranked.where(F.col("_long") | F.col("_pending")).select(*pair, enter.alias("enter_sec"), "exit_sec")
+    sites_of = places.select("dept_id", F.col("site_id").alias("place"), "_sites")
+    return found.join(sites_of, ["dept_id", "place"]).select(
+        *KEY, F.explode("_sites").alias("site_id"), "enter_sec", "exit_sec")
 
 
 def hourly_track_counts(tracks: DataFrame, late: str | None = None) -> DataFrame:
