@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from haulwatch.operators.ordered import DAY, with_chunk
 
 NONE = -1
+NO_TIME = np.iinfo(np.int64).min
 
 # Executors get the functions of this module themselves, not a reference to an installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -85,18 +86,19 @@ class _Block:
         closing = np.minimum(due, self._next(self._resets, index + 1))
         closing = np.where(closing < end, closing, NONE)
         # What happens after closing at a row, for every row; and where each row's chain closes.
-        self.reopen = self._reopen(index).tolist()
-        self.closing = closing.tolist()
-        self.following = [NONE if j == NONE else self.reopen[j] for j in self.closing]
+        self.reopen = self._reopen(index)
+        self.closing = closing
+        self.following = np.where(closing == NONE, NONE, self.reopen[closing])
         # Per group: first reset, first row that is none, first row that is due for any state,
         # first row after that with another label.
         starts, groups = self.starts, np.arange(len(self.starts))
-        self.stop = self._next(self._resets, starts).tolist()
-        self.plain = self._next(self._plain, starts).tolist()
+        self.stop = self._next(self._resets, starts)
+        self.plain = self._next(self._plain, starts)
         late = self._at(groups, self.t[starts] + rule.gap)
         other = self._skip_label(late, self.label[np.minimum(late, n - 1)])
-        self.late, self.other = late.tolist(), other.tolist()
-        self.from_, self.to = starts.tolist(), self.ends.tolist()
+        self.late, self.other = late, other
+        # A group's first row that is no reset, if it has one.
+        self.first_plain = np.where(self.plain < self.ends, self.plain, NONE)
 
     def _next(self, where: np.ndarray, index: np.ndarray) -> np.ndarray:
         pos = np.searchsorted(where, index)
@@ -120,52 +122,77 @@ class _Block:
         opener = np.where(self.reset[closing], closing, after)
         return np.where(opener < self.ends[self.group[closing]], opener, NONE)
 
-    def last_openers(self) -> list[int]:
-        """For a chain that opens at i: where its last link of the chunk opens."""
-        out = list(range(self.n))
-        nxt, closing = self.following, self.closing
-        for i in range(self.n - 1, -1, -1):
-            if closing[i] != NONE:
-                out[i] = out[nxt[i]] if nxt[i] != NONE else NONE
-        return out
-
-    def first_plain(self, g: int) -> int:
-        return self.plain[g] if self.plain[g] < self.to[g] else NONE
-
-    def entry_closings(self, in_t: np.ndarray, in_label: list) -> list[int]:
+    def last_openers(self) -> np.ndarray:
+        """For a chain that opens at i: where its last link of the chunk opens, or NONE. Pointers to the next opener
+        are doubled until they stay: a chain of k links takes log k rounds over whole arrays."""
+        index = np.arange(self.n + 1)
+        jump = np.append(np.where(self.closing == NONE, index[:-1], np.where(self.following == NONE, self.n, self.following)), self.n)
+        while True:
+            further = jump[jump]
+            if np.array_equal(further, jump):
+                return np.where(jump[:-1] == self.n, NONE, jump[:-1])
+            jump = further
+
+    def openers(self, first: np.ndarray) -> np.ndarray:
+        """All rows at which the chains that open at ``first`` open a link, in order; doubled pointers reach 2, 4, 8
+        links in as many rounds."""
+        reached = np.zeros(self.n + 1, dtype=bool)
+        reached[first] = True
+        jump = np.append(np.where(self.following == NONE, self.n, self.following), self.n)
+        at = np.unique(first)
+        while True:
+            new = np.unique(jump[at])
+            new = new[(new < self.n) & ~reached[new]]
+            if not len(new):
+                return np.flatnonzero(reached[:-1])
+            reached[new] = True
+            at = np.flatnonzero(reached[:-1])
+            jump = jump[jump]
+
+    def entry_closings(self, in_t: np.ndarray, in_label: list) -> np.ndarray:
         """Per group, where a state that was open before the chunk closes."""
         groups = np.arange(len(self.starts))
         codes = {v: c for v, c in zip(self.label_text, self.label)}
         code = np.array([-1 if v is None else codes.get(v, -2) for v in in_label])
         due = np.maximum(self._at(groups, in_t + self.rule.gap), self.starts)
         due = np.minimum(self._skip_label(due, code), self._next(self._resets, self.starts))
-        return np.where(due < self.ends, due, NONE).tolist()
-
-    def listed(self, g: int) -> list[int]:
-        """The only rows of group g at which an earlier state can close."""
-        end, stop, late = self.to[g], self.stop[g], self.late[g]
-        rows = list(range(self.from_[g], min(late, end)))
-        if late < end:
-            rows.append(late)
-            if self.rule.other_label and self.other[g] < end:
-                rows.append(self.other[g])
-        rows = [r for r in rows if r <= stop]
-        if stop < end and stop not in rows:
-            rows.append(stop)
-        return rows
-
-    def worked_until(self, i: int) -> int | None:
-        """Time of the last row with the opener's label less than ``gap`` after it."""
+        return np.where(due < self.ends, due, NONE)
+
+    def listed(self) -> tuple[np.ndarray, np.ndarray]:
+        """Group, row of the only rows at which an earlier state can close: those before the first one that is due
+        for any state, this one, the first one after it with another label, and the first reset; none behind it."""
+        full = np.flatnonzero(self.starts < self.ends)
+        upto = np.minimum(self.late, self.ends)
+        count = np.maximum(upto - self.starts, 0)
+        group = np.repeat(full, count[full])
+        offset = np.arange(len(group)) - np.repeat(np.cumsum(count[full]) - count[full], count[full])
+        parts = [(group, self.starts[group] + offset)]
+        due = full[self.late[full] < self.ends[full]]
+        parts.append((due, self.late[due]))
+        if self.rule.other_label:
+            other = due[self.other[due] < self.ends[due]]
+            parts.append((other, self.other[other]))
+        groups, rows = (np.concatenate(x) for x in zip(*parts))
+        before = rows <= self.stop[groups]
+        groups, rows = groups[before], rows[before]
+        reset = full[self.stop[full] < self.ends[full]]
+        groups, rows = np.concatenate((groups, reset)), np.concatenate((rows, self.stop[reset]))
+        rows, first = np.unique(rows, return_index=True)
+        return groups[first], rows
+
+    def worked_until(self, index: np.ndarray) -> np.ndarray:
+        """Times of the last rows with the opener's label less than ``gap`` after it and before any reset; NO_TIME if
+        there is none."""
         if not self.rule.other_label:
-            return None
-        limit, end = self.t[i] + self.rule.gap, self.all_ends[self.group[i]]
-        last = None
-        j = i + 1
-        while j < end and self.t[j] < limit and not self.reset[j]:
-            if self.label[j] == self.label[i]:
-                last = int(self.t[j])
-            j += 1
-        return last
+            return np.full(len(index), NO_TIME)
+        group = self.group[index]
+        end = np.minimum(self._at(group, self.t[index] + self.rule.gap), self.all_ends[group])
+        end = np.minimum(end, self._next(self._resets, index + 1))
+        order = np.lexsort((np.arange(self.n), self.label))
+        places = self.label[order].astype(np.int64) * (self.n + 1) + order
+        at = np.searchsorted(places, self.label[index].astype(np.int64) * (self.n + 1) + end) - 1
+        last = order[np.maximum(at, 0)]
+        return np.where((at >= 0) & (self.label[last] == self.label[index]) & (last > index), self.t[last], NO_TIME)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -198,20 +225,27 @@ class _Leaving:
         known = np.flatnonzero(raw.notna().to_numpy() & ~block.halo)
         at = np.append(known, block.n)[np.searchsorted(known, np.arange(block.n))]
         self.at = np.where(at < block.ends[block.group], at, block.n)
-        self.times = raw.to_numpy()
+        self.times = np.append(raw.fillna(NO_TIME).to_numpy().astype(np.int64), NO_TIME)
         self.n = block.n
 
-    def after(self, i: int, before: int | None = None) -> int | None:
-        j = int(self.at[i])
-        if j >= self.n or (before is not None and j >= before):
-            return None
-        return int(self.times[j])
+    def after(self, index: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
+        found = self.at[index]
+        if before is not None:
+            found = np.where(found < before, found, self.n)
+        return self.times[found]
+
+
+def _states(block: _Block, index: np.ndarray, leaving: _Leaving) -> list[pa.Array]:
+    """State after opening at each row (NONE: none is open): whether one is, its time, seq, label and leave time."""
+    has = index != NONE
+    at = np.where(has, index, 0)
+    return [
+        pa.array(has), pa.array(block.t[at], mask=~has), pa.array(block.seq[at].astype(np.int64), mask=~has),
+        pa.array(block.label_text[at], pa.string(), mask=~has), _times(np.where(has, leaving.after(at), NO_TIME))]
 
 
-def _state(block: _Block, i: int, leaving: _Leaving) -> tuple:
-    if i == NONE:
-        return (False, None, None, None, None)
-    return (True, int(block.t[i]), int(block.seq[i]), block.label_text[i], leaving.after(i))
+def _times(values: np.ndarray) -> pa.Array:
+    return pa.array(values, pa.int64(), mask=values == NO_TIME)
 
 
 LONG, TEXT, FLAG, INT = (
@@ -230,10 +264,10 @@ def _spark_type(fields: list[T.StructField], extra: dict) -> T.StructType:
     return T.StructType(fields + [T.StructField(n, t[0]) for n, t in extra.items()])
 
 
-def _emit(head: pa.Table, rows: list[tuple], extra: dict) -> list[pa.RecordBatch]:
-    """``head``'s columns next to the tuples in ``rows``, as record batches."""
+def _emit(head: pa.Table, columns: list, extra: dict) -> list[pa.RecordBatch]:
+    """``head``'s columns next to these, as record batches."""
     arrays = [head.column(c).combine_chunks() for c in head.column_names]
-    arrays += [pa.array(c, type=t[1]) for c, t in zip(zip(*rows), extra.values())]
+    arrays += [c.cast(t[1]) if isinstance(c, pa.Array) else pa.array(c, type=t[1]) for c, t in zip(columns, extra.values())]
     return pa.Table.from_arrays(arrays, names=[*head.column_names, *extra]).to_batches()
 
 
@@ -243,23 +277,23 @@ def _summarise(keys: list[str], rule: ChainRule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _blocks(batches, group_cols):
             block = _Block(table, keys, rule)
-            last, leaving = block.last_openers(), _Leaving(block)
-            rows, source = [], []
-            for g, s in enumerate(block.starts.tolist()):
-                if s >= block.ends[g]:
-                    continue
-                # Row -1: the way of a chain that comes without a state, and the first out time.
-                start = block.first_plain(g)
-                fresh = _state(block, last[start] if start != NONE else NONE, leaving)
-                rows.append((-1, leaving.after(s), None, False, *fresh))
-                source.append(s)
-                for k, j in enumerate(block.listed(g)):
-                    nxt = block.reopen[j]
-                    state = _state(block, last[nxt] if nxt != NONE else NONE, leaving)
-                    rows.append((k, int(block.t[j]), block.label_text[j], bool(block.reset[j]), *state))
-                    source.append(s)
-            if rows:
-                yield from _emit(table.select(group_cols).take(pa.array(source)), rows, SUMMARY)
+            last, leaving = np.append(block.last_openers(), NONE), _Leaving(block)
+            full = np.flatnonzero(block.starts < block.ends)
+            if not len(full):
+                continue
+            # Row -1: the way of a chain that comes without a state, and the first out time.
+            fresh = last[block.first_plain[full]]
+            groups, rows = block.listed()
+            after = last[block.reopen[rows]]
+            none = np.zeros(len(full), bool)
+            number = np.arange(len(rows)) - np.searchsorted(groups, groups)
+            source = block.starts[np.concatenate((full, groups))]
+            columns = [
+                np.concatenate((np.full(len(full), -1), number)),
+                _times(np.concatenate((leaving.after(block.starts[full]), block.t[rows]))),
+                pa.array(np.concatenate((np.full(len(full), None, object), block.label_text[rows])), pa.string()),
+                np.concatenate((none, block.reset[rows])), *_states(block, np.concatenate((fresh, after)), leaving)]
+            yield from _emit(table.select(group_cols).take(pa.array(source)), columns, SUMMARY)
 
     return run
 
@@ -297,7 +331,7 @@ def _fold(keys: list[str], rule: ChainRule):
                         state, closed = after, True
             if found:
                 head = pa.Table.from_batches([batch]).select([*keys, "_chunk"])
-                yield from _emit(head.take(pa.array(source)), found, ENTRY)
+                yield from _emit(head.take(pa.array(source)), [list(c) for c in zip(*found)], ENTRY)
 
     return run
 
@@ -317,39 +351,33 @@ def _walk(keys: list[str], rule: ChainRule, payload: list[str]):
             block = _Block(table, keys, rule)
             leaving = _Leaving(block)
             heads = table.select(list(ENTRY)).take(pa.array(block.starts)).to_pydict()
+            came = np.array([v is not None for v in heads["in_t"]], dtype=bool)
             entered = np.array([0 if v is None else v for v in heads["in_t"]], dtype=np.int64)
+            in_seq = np.array([0 if v is None else v for v in heads["in_seq"]], dtype=np.int64)
+            in_leave = np.array([NO_TIME if v is None else v for v in heads["in_leave"]], dtype=np.int64)
             closings = block.entry_closings(entered, heads["in_label"])
-            rows, picked = [], []
-            for g, s in enumerate(block.starts.tolist()):
-                if s >= block.ends[g]:
-                    continue
-                t0 = heads["in_t"][g]
-                if t0 is None:
-                    i = block.first_plain(g)
-                else:
-                    j = closings[g]
-                    if j == NONE:
-                        continue
-                    if not block.reset[j]:
-                        leave = heads["in_leave"][g]
-                        if leave is None:
-                            leave = leaving.after(s, before=j)
-                        rows.append(("close", t0, heads["in_seq"][g], None, leave))
-                        picked.append(j)
-                    i = block.reopen[j]
-                while i != NONE:
-                    link = (int(block.t[i]), int(block.seq[i]))
-                    rows.append(("open", *link, block.worked_until(i), None))
-                    picked.append(i)
-                    j = block.closing[i]
-                    if j == NONE:
-                        break
-                    if not block.reset[j]:
-                        rows.append(("close", *link, None, leaving.after(i, before=j)))
-                        picked.append(j)
-                    i = block.following[i]
-            if rows:
-                yield from _emit(table.select([*keys, *payload]).take(pa.array(picked)), rows, LINK)
+            full = block.starts < block.ends
+            # A state that came in closes at a row, and what opens then; a chain without one opens at the first row.
+            closed = np.flatnonzero(full & came & (closings != NONE))
+            first = np.concatenate((block.first_plain[full & ~came], block.reopen[closings[closed]]))
+            ended = closed[~block.reset[closings[closed]]]
+            at = closings[ended]
+            leave = np.where(in_leave[ended] != NO_TIME, in_leave[ended], leaving.after(block.starts[ended], at))
+            opened = block.openers(first[first != NONE])
+            done = opened[block.closing[opened] != NONE]
+            done = done[~block.reset[block.closing[done]]]
+            ends = block.closing[done]
+            picked = np.concatenate((at, opened, ends))
+            if not len(picked):
+                continue
+            none = lambda n: np.full(n, NO_TIME)
+            links = [
+                ["close"] * len(at) + ["open"] * len(opened) + ["close"] * len(done),
+                np.concatenate((entered[ended], block.t[opened], block.t[done])),
+                np.concatenate((in_seq[ended], block.seq[opened].astype(np.int64), block.seq[done].astype(np.int64))),
+                _times(np.concatenate((none(len(at)), block.worked_until(opened), none(len(done))))),
+                _times(np.concatenate((leave, none(len(opened)), leaving.after(done, ends))))]
+            yield from _emit(table.select([*keys, *payload]).take(pa.array(picked)), links, LINK)
 
     return run
 

@@ -96,3 +96,37 @@ def test_overwrite_dynamic(spark, tmp_path):
     sinks.overwrite_partitions(df, f"{tmp_path}/t", ["p"])
     sinks.overwrite_partitions(spark.createDataFrame([("a", 5)], "p string, v int"), f"{tmp_path}/t", ["p"])
     assert rows(spark.read.parquet(f"{tmp_path}/t"), "p", "v") == [("a", 5), ("b", 2)]
+
+
+class Recorder:
+    """Stands in for a session's reader and notes what is set."""
+
+    def __init__(self):
+        self.seen = {}
+
+    @property
+    def read(self):
+        return self
+
+    def format(self, name):
+        self.seen["format"] = name
+        return self
+
+    def option(self, key, value):
+        self.seen[key] = value
+        return self
+
+    def load(self):
+        return self.seen
+
+
+def test_options_of_the_database_scan():
+    scan = lambda **more: tables.read_jdbc(Recorder(), "jdbc:x://h/db", "vehicle", **more)
+    plain = {"format": "jdbc", "url": "jdbc:x://h/db", "dbtable": "vehicle", "fetchsize": 10000}
+    assert scan() == plain
+    assert scan(user="u", password="p", driver="d", fetch_rows=7) == plain | {
+        "user": "u", "password": "p", "driver": "d", "fetchsize": 7}
+    assert scan(partition_column="id", bounds=(1, 900), partitions=8) == plain | {
+        "partitionColumn": "id", "lowerBound": 1, "upperBound": 900, "numPartitions": 8}
+    # a parallel scan needs its bounds
+    assert scan(partition_column="id", partitions=8) == plain

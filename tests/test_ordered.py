@@ -111,17 +111,20 @@ def test_stops_and_dwell_across_chunks(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == sorted(want) and want
 
     sites = spark.createDataFrame(
-        [(1, i, 2, 113.6 + i * 0.03, 34.7, 0, "1") for i in range(2)] + [(1, 9, 2, 113.6, 34.7, 0, "0")],
+        [(1, i, 2, 113.6 + i * 0.03, 34.7, 0, "1") for i in range(2)]
+        + [(1, 9, 2, 113.6, 34.7, 0, "0"), (1, 5, 2, 113.6, 34.7, 0, "1"), (1, 6, 2, 113.6, 34.7, 1, "1")],
         "dept_id int, site_id long, site_flag int, lng double, lat double, is_delete int, audit_state string",
     )
-    near = [SimpleNamespace(**dict(zip(NAMES, r)), near=[i for i in range(2) if abs(r[7] - 113.6 - i * 0.03) < 1e-9]) for r in rows]
+    near = [SimpleNamespace(**dict(zip(NAMES, r)), near=[i for i in (0, 1, 5) if abs(r[7] - 113.6 - i % 5 * 0.03) < 1e-9]) for r in rows]
     expected = []
     for vehicle in {r.vehicle_id for r in near}:
         state = {}
         for p in sorted((r for r in near if r.vehicle_id == vehicle), key=lambda r: (r.t_sec, r.event_id)):
             expected += [(vehicle, *e) for e in machines.DwellMachine().step(state, p)]
-    found = movement.inout_dwell(df, sites).select("vehicle_id", "site_id", "enter_sec", "exit_sec")
-    assert sorted(map(tuple, found.collect())) == sorted(expected) and expected
+    for width in (60, 900, 86_400):  # two sites at one place, a third one deleted
+        found = movement.inout_dwell(df, sites, width=width).select("vehicle_id", "site_id", "enter_sec", "exit_sec")
+        assert sorted(map(tuple, found.collect())) == sorted(expected) and expected, width
+    assert {site for _, site, *_ in expected} == {0, 1, 5}
 
 
 def test_rows_without_a_time_change_nothing(spark):
