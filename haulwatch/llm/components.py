@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulwatch.llm.common import saved
+from haulwatch.llm.common import replaced, saved_at
 
 
 def _stars(links: DataFrame, large: bool) -> DataFrame:
@@ -29,7 +29,7 @@ def components(links: DataFrame) -> DataFrame:
     node, and a node with many links is summed on the map side. Loops and repeated links do no harm, nulls are left
     out, and a table without links gives no rows."""
     links = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links, before = saved(links, "links"), None
+    (links, path), before = saved_at(links, "links"), None
     while True:
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
@@ -37,6 +37,6 @@ def components(links: DataFrame) -> DataFrame:
         before = now
         for large in (True, False):
             links = _stars(links, large).where("a <> b").distinct()
-        links = saved(links, "links")
+        links, path = replaced(links, "links", path)
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(roots)

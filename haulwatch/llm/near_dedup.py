@@ -8,11 +8,12 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwatch.llm.common import body, documents, saved
+from haulwatch.llm.common import body, documents, hold, in_slices, saved
 from haulwatch.llm.components import components
 
 #: Links need this similarity (intersection by union), in percent.
@@ -22,11 +23,12 @@ LINKED_PCT = 80
 BANDS = 50
 ROWS = 5
 #: Words whose hash a Python worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 #: Shingles hashed or compared at once.
 STRETCH = 4096
-#: Sets on either side of a block that is compared in one task.
+#: Sets on either side of a block that is compared in one task, and their shingles.
 BLOCK = 512
+BLOCK_SHINGLES = 500_000
 
 _SEED = 1_592_653
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
@@ -81,17 +83,18 @@ def signature(x: np.ndarray) -> np.ndarray:
 
 def _signed(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n (shingles), key (128 bits of the set), bands of each row."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [shingles(text, width) for text in batch["body"]]
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"].to_numpy(), "n": [len(x) for x in sets],
-                "key": [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets],
-                "bands": [signature(x) if len(x) else [] for x in sets]})
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hold("near_dedup", _WORDS.clear)
+        sets = [shingles(text, width) for text in batch.column("body").to_pylist()]
+        keys = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets]
+        bands = [signature(x) if len(x) else [] for x in sets]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(keys, pa.binary()),
+             pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n", "key", "bands"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", body().alias("body"))
-    return rows.mapInPandas(run, f"doc_id {kind}, n long, key binary, bands array<long>")
+    return in_slices(rows, run, f"doc_id {kind}, n long, key binary, bands array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -167,16 +170,21 @@ def _block_links(group: pd.DataFrame, pct: int) -> pd.DataFrame:
 
 def _other_links(members: DataFrame, sets: DataFrame, labels: DataFrame, pct: int) -> DataFrame:
     """Links (a, b) between members of a bucket that are in different components so far. One of them is then not in
-    the component of its hub. These are compared with all members that share the hub, in blocks of some BLOCK sets a
-    side, so that a task holds two blocks whatever the size of the group, and only links come out of it."""
+    the component of its hub. These are compared with all members that share the hub, in blocks of some BLOCK sets and
+    BLOCK_SHINGLES shingles a side, so that a task holds two blocks whatever the size of the group, and only links come
+    out of it."""
     label = labels.select("node", "label")
-    rows = members.where("node <> hub").select("hub", "node").distinct().join(label, "node", "left")
+    rows = members.where("node <> hub").select("hub", "node", "n").distinct().join(label, "node", "left")
     rows = rows.withColumn("label", F.coalesce("label", "node"))
     hubs = label.select(F.col("node").alias("hub"), F.col("label").alias("hub_label"))
     rows = rows.join(hubs, "hub", "left").withColumn("out", F.col("label") != F.coalesce("hub_label", "hub"))
-    sizes = rows.groupBy("hub").agg(F.count_if("out").alias("outs"), F.count(F.lit(1)).alias("all")).where("outs > 0")
+    sizes = rows.groupBy("hub").agg(
+        F.count_if("out").alias("outs"), F.count(F.lit(1)).alias("all"),
+        F.coalesce(F.sum(F.when(F.col("out"), F.col("n"))), F.lit(0)).alias("outs_n"), F.sum("n").alias("all_n"),
+    ).where("outs > 0")
     rows = saved(rows.join(sizes, "hub").select("hub", "node", "label", "out", *[
-        F.ceil(F.col(c) / BLOCK).alias(c) for c in ("outs", "all")]), "mixed-buckets")
+        F.ceil(F.greatest(F.col(c) / BLOCK, F.col(f"{c}_n") / BLOCK_SHINGLES)).alias(c) for c in ("outs", "all")]),
+        "mixed-buckets")
     spread = F.xxhash64("node", "hub")
     one = rows.where("out").select(
         "hub", "node", "label", F.lit(0).alias("side"), F.pmod(spread, F.col("outs")).alias("x"),

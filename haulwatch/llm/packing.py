@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from haulwatch.llm.common import body, documents, saved
+from haulwatch.llm.common import body, documents, hold, in_slices, saved
 
 #: Tokens of a sequence.
 CAPACITY = 2048
 #: Id that ends each document.
 END = 0
 #: Words whose ids a Python worker remembers; beyond that it forgets all and begins anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Texts whose new words are learned at once.
 TOGETHER = 128
 # How byte-level vocabularies write bytes (printable ones as they are, the others in order from 256 on),
@@ -50,24 +52,30 @@ class _Words:
 
     New words are tokenized by the library of the vocabulary file. Words in Latin letters, of which there are most,
     go through the same merges in tiktoken, which is several times faster: ids of this vocabulary are in the
-    order of its merges, and both libraries class these characters alike."""
+    order of its merges, and both libraries class these characters alike. The library of the vocabulary file, the larger
+    one in memory, is loaded with the first text that needs it."""
 
     def __init__(self, file: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(file)
-        words = self.tokenizer.get_vocab(with_added_tokens=False).items()
-        special = {token.content for token in self.tokenizer.get_added_tokens_decoder().values()}
-        ranks = {bytes(map(_BYTE_OF.__getitem__, word)): i for word, i in words if word not in special}
+        with open(file, encoding="utf-8") as source:
+            content = json.load(source)
+        words = content["model"]["vocab"]
+        special = {token["content"]: token["id"] for token in content["added_tokens"]}
+        ranks = {bytes(map(_BYTE_OF.__getitem__, word)): i for word, i in words.items() if word not in special}
         self.merges = tiktoken.Encoding("words", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
-        blank = {i for word, i in words if word[0] == SPACE}
-        self.begins = np.isin(np.arange(self.tokenizer.get_vocab_size()), list(blank))
+        self.begins = np.zeros(max([*words.values(), *special.values()]) + 1, bool)
+        self.begins[[i for word, i in words.items() if word[0] == SPACE]] = True
+        self.file, self.tokenizer = file, None
         self.first: dict[str, bytes | None] = {}  # words at the beginning of a text
         self.later: dict[str, bytes | None] = {}  # None: no place to cut
 
     def _encode(self, texts: list[str]) -> list[bytes]:
+        if self.tokenizer is None:
+            from tokenizers import Tokenizer
+
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            self.tokenizer = Tokenizer.from_file(self.file)
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(one.ids, "<u4").tobytes() for one in found]
 
@@ -93,9 +101,14 @@ class _Words:
         if word not in self.first:
             if len(self.first) >= REMEMBERED:
                 self.first.clear()
-            self.first[word] = self._encode([word])[0] if _cuttable(word) else None
+            self.first[word] = self._alone(word) if _cuttable(word) else None
         return self.first[word]
 
+    def _alone(self, word: str) -> bytes:
+        if word.isascii() or max(word) < LATIN_END:
+            return self.merges.encode_to_numpy(word, disallowed_special=()).astype("<u4").tobytes()
+        return self._encode([word])[0]
+
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         words = [text.split(" ") for text in texts]
@@ -114,6 +127,7 @@ class _Words:
 
 def token_ids(texts: list[str], file: str) -> Iterator[bytes]:
     """The ids of each text, TOGETHER texts at a time."""
+    hold("packing", _TOKENIZERS.clear)
     if file not in _TOKENIZERS:
         _TOKENIZERS[file] = _Words(file)
     for at in range(0, len(texts), TOGETHER):
@@ -129,20 +143,19 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def pieces(docs: DataFrame, file: str, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every document's pieces. A null text is empty: its only id is END."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         end = np.asarray([END], "<u4").tobytes()
-        for batch in batches:
-            rows = []
-            for row, ids in enumerate(token_ids(batch["body"].tolist(), file)):
-                ids += end
-                for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                    rows.append((row, piece, start, length, zlib.crc32(ids[4 * start:4 * (start + length)])))
-            found = pd.DataFrame(rows, columns=["row", "piece", "start", "length", "ids_crc32"])
-            found.insert(0, "doc_id", batch["doc_id"].to_numpy()[found["row"].to_numpy(dtype=int)])
-            yield found.drop(columns="row")
+        rows = []
+        for row, ids in enumerate(token_ids(batch.column("body").to_pylist(), file)):
+            ids += end
+            for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
+                rows.append((row, piece, start, length, zlib.crc32(ids[4 * start:4 * (start + length)])))
+        found = np.asarray(rows, np.int64).reshape(-1, 5)
+        columns = [batch.column("doc_id").take(pa.array(found[:, 0])), *[pa.array(found[:, i]) for i in range(1, 5)]]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     rows = docs.select("doc_id", body().alias("body"))
-    return rows.mapInPandas(run, PIECES.format(id_type=docs.schema["doc_id"].dataType.simpleString()))
+    return in_slices(rows, run, PIECES.format(id_type=docs.schema["doc_id"].dataType.simpleString()))
 
 
 class Capacities:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwatch.llm.common import body, documents, labels, small_table
+from haulwatch.llm.common import body, documents, hold, labels, small_table
 
 #: A document is good from this score on.
 GOOD_FROM = 0.3
@@ -18,8 +19,9 @@ SAMPLE_DOCS = 6_000
 SAMPLE_LINES = 200_000
 #: No document gives more than one in so many of these lines, so that a long one does not end the sample.
 LONGEST_SHARE = 20
-#: Characters whose features are computed at once.
-PORTION = 1 << 20
+#: Characters, and lines, whose features are computed at once. A text of more lines is computed in stretches of so many.
+PORTION = 1 << 18
+PORTION_LINES = 1 << 13
 #: Passes over the sample, their step, and the weight of the penalty.
 STEPS = 300
 STEP = 0.1
@@ -41,8 +43,11 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 FEATURES = 13
 
 
-def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features of every line of the texts (FEATURES columns), bytes of the lines, lines per text."""
+def line_features(
+    texts: list[str], earlier: set[int] | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of every line of the texts (FEATURES columns), bytes of the lines, lines per text. `earlier` holds the
+    numbers of lines of the same text that came before, and gets those of the lines that are not blank."""
     raw = [text.encode() for text in texts]
     lines = np.asarray([one.count(b"\n") + 1 for one in raw], np.int64)
     data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
@@ -69,6 +74,10 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     whole = (sums[ends] - sums[starts]) * back[starts]
     text = np.repeat(np.arange(len(raw)), lines)
     seen = pd.DataFrame({"t": text, "h": whole}).duplicated().to_numpy() & (n > 0)
+    if earlier is not None:
+        own = whole.tolist()
+        seen |= np.fromiter((h in earlier for h in own), bool, len(own)) & (n > 0)
+        earlier.update(h for h, filled in zip(own, n > 0) if filled)
     chars, word = np.maximum(counts[0], 1), np.maximum(n, 1)
     shares = [counts[k] / chars for k in range(1, len(_KINDS))]
     columns = [np.log1p(size), np.log1p(n), counts[0] / word, *shares, repeated / word, seen,
@@ -76,19 +85,35 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return np.stack(columns, axis=1), size, lines
 
 
-def portions(texts: list[str], most: int = PORTION) -> Iterator[list[str]]:
-    """The texts in lists of about `most` characters, or one longer text."""
-    held, size = [], 0
+def portions(texts: list[str], most: int = PORTION, lines: int = PORTION_LINES) -> Iterator[list[str]]:
+    """The texts in lists of about `most` characters and `lines` lines, or one longer text."""
+    held, size, count = [], 0, 0
     for text in texts:
-        if held and size + len(text) > most:
+        own = text.count("\n") + 1
+        if held and (size + len(text) > most or count + own > lines):
             yield held
-            held, size = [], 0
+            held, size, count = [], 0, 0
         held.append(text)
         size += len(text)
+        count += own
     if held:
         yield held
 
 
+def stretches(text: str, lines: int = PORTION_LINES) -> Iterator[str]:
+    """A text in parts of so many lines, without the line feeds between the parts."""
+    at = 0
+    while at <= len(text):
+        end = at - 1
+        for _ in range(lines):
+            end = text.find("\n", end + 1)
+            if end < 0:
+                end = len(text)
+                break
+        yield text[at:end]
+        at = end + 1
+
+
 def with_neighbours(x: np.ndarray, lines: np.ndarray) -> np.ndarray:
     """Each line's features, those of the lines before and after in its text, and a constant."""
     first = np.concatenate(([0], np.cumsum(lines)[:-1]))
@@ -135,6 +160,48 @@ class Chain:
         return np.exp(both[:, 1] - total), np.exp(pair).sum(axis=0)
 
 
+    def long_odds(self, text: str) -> float:
+        """What document_odds gives for a text of many lines: features are computed stretch by stretch, each with the line
+        before and after it, and the messages go from line to line, so that a line costs a few numbers."""
+        earlier: set[int] = set()
+        scores, sizes, before, waiting = [], [], np.zeros(FEATURES), None
+
+        def emitted(x: np.ndarray, after: np.ndarray) -> np.ndarray:
+            inputs = np.hstack([x, np.vstack([before, x[:-1]]), np.vstack([x[1:], after]), np.ones((len(x), 1))])
+            return np.clip(inputs @ self.weights, -50, 50)
+
+        for part in stretches(text):
+            x, size, _ = line_features([part], earlier)
+            x = (x - self.mean) / self.spread
+            if waiting is not None:
+                scores.append(emitted(waiting, x[0]))
+                before = waiting[-1]
+            waiting = x
+            sizes.append(size)
+        scores.append(emitted(waiting, np.zeros(FEATURES)))
+        emit, weight = np.concatenate(scores), np.concatenate(sizes) + 1
+        (bb, bg), (gb, gg) = self.moves.tolist()
+        # log odds are all that matters: of good against bad, so far and from here on
+        forth, odds = np.empty(len(emit)), 0.0
+        for t, score in enumerate(emit.tolist()):
+            if t:
+                odds = _log_sum(bg, odds + gg) - _log_sum(bb, odds + gb)
+            odds += score
+            forth[t] = odds
+        total, behind = 0.0, 0.0
+        for t in range(len(emit) - 1, -1, -1):
+            total += weight[t] / (1 + math.exp(-max(-700.0, min(700.0, forth[t] + behind))))
+            ahead = emit[t] + behind
+            behind = _log_sum(gb, gg + ahead) - _log_sum(bb, bg + ahead)
+        mean = min(max(total / weight.sum(), 1e-6), 1 - 1e-6)
+        return math.log(mean) - math.log1p(-mean)
+
+
+def _log_sum(a: float, b: float) -> float:
+    high, low = (a, b) if a > b else (b, a)
+    return high + math.log1p(math.exp(max(low - high, -700.0)))
+
+
 def document_odds(good: np.ndarray, size: np.ndarray, lines: np.ndarray) -> np.ndarray:
     """Log odds of the mean P(good) of a text's lines, weighted by their length; an empty text is one line."""
     first = np.cumsum(lines) - lines
@@ -229,31 +296,41 @@ def quality_model(docs: DataFrame, marked: DataFrame) -> tuple[Chain, np.ndarray
     return fitted(x, size, lines, sample["quality"].to_numpy(float))
 
 
-def scored(docs: DataFrame, model: tuple[Chain, np.ndarray] | None) -> DataFrame:
-    """The rows of docs with `score` (0 to 1) added, computed from the whole text alone; other columns pass through.
+def text_odds(chain: Chain, texts: list[str]) -> np.ndarray:
+    """Log odds of each text."""
+    out = [np.zeros(0)]
+    for held in portions(texts):
+        if len(held) == 1 and held[0].count("\n") >= PORTION_LINES:
+            out.append(np.asarray([chain.long_odds(held[0])]))
+        else:
+            x, size, lines = line_features(held)
+            out.append(document_odds(chain.marginals(chain.inputs(x, lines), lines)[0], size, lines))
+    return np.concatenate(out)
+
+
+def scored(docs: DataFrame, model: tuple[Chain, np.ndarray] | None, name: str = "score") -> DataFrame:
+    """The rows of docs with `name` (0 to 1) added, computed from the whole text alone; other columns stay where they
+    are, and one of that name goes.
 
     A null text is empty; an empty text is a single empty line. Without a model every score is 0.5."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [np.zeros(0)]
-            for texts in portions([text or "" for text in batch["text"]]):
-                if model:
-                    chain, scale = model
-                    x, size, lines = line_features(texts)
-                    odds = document_odds(chain.marginals(chain.inputs(x, lines), lines)[0], size, lines)
-                    found.append(1 / (1 + np.exp(-np.clip(scale[0] * odds + scale[1], -50, 50))))
-                else:
-                    found.append(np.full(len(texts), 0.5))
-            yield batch.assign(score=np.concatenate(found))
-
-    rows = docs.drop("score")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInPandas(run, f"{schema}, score double")
+    if model is None:
+        return docs.drop(name).withColumn(name, F.lit(0.5))
+    chain, scale = model
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hold("quality_crf", lambda: None)
+        for texts in batches:
+            odds = text_odds(chain, texts.tolist())
+            yield pd.Series(1 / (1 + np.exp(-np.clip(scale[0] * odds + scale[1], -50, 50))))
+
+    return docs.drop(name).withColumn(name, score(body()))
 
 
 def good_documents(docs: DataFrame, marked: DataFrame) -> DataFrame:
     """The rows of docs that the classifier does not reject."""
-    return scored(docs, quality_model(docs, marked)).where(F.col("score") >= GOOD_FROM).select(*docs.columns)
+    rows = scored(docs, quality_model(docs, marked), "_quality_score")
+    return rows.where(F.col("_quality_score") >= GOOD_FROM).select(*docs.columns)
 
 
 def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:

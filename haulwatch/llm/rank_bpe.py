@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwatch.llm.common import body, documents
+from haulwatch.llm.common import body, documents, hold
 
 #: Words of more symbols are merged with a heap: scanning all ranks for each merge would take quadratic time.
 SHORT = 64
@@ -152,6 +152,7 @@ class Codec:
 
 
 def codec(file: str) -> Codec:
+    hold("rank_bpe", _CODECS.clear)
     if file not in _CODECS:
         _CODECS[file] = Codec(file)
     return _CODECS[file]

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwatch.llm.common import body, documents, saved
+from haulwatch.llm.common import body, documents, replaced, saved, saved_at
 
 #: A word has this many code points and occurrences at least.
 LEAST_LENGTH = 5
@@ -227,11 +227,11 @@ def near_words(words: DataFrame, alphabets: tuple[int, ...] = ALPHABETS, pairs:
 def roots(forms: DataFrame) -> DataFrame:
     """word, root of forms(word, form): where the forms of forms end. Each round doubles the length of the way; a form
     has twice the occurrences of its word, so a way has fewer steps than a count has bits."""
-    ways = saved(forms.select("word", F.col("form").alias("root")), "ways")
+    ways, path = saved_at(forms.select("word", F.col("form").alias("root")), "ways")
     while True:
         on = ways.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        ways = saved(ways.join(on, "root", "left").select(
-            "word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "ways")
+        ways, path = replaced(ways.join(on, "root", "left").select(
+            "word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "ways", path)
         if ways.where("moved").isEmpty():
             return ways.select("word", "root")
         ways = ways.select("word", "root")

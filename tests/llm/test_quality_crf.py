@@ -43,6 +43,30 @@ def test_features():
     assert x[4] == pytest.approx(alone[0])  # other texts do not matter
 
 
+def test_long_texts_in_stretches(monkeypatch):
+    """Stretches of a text give the score of the whole; lines repeat across stretches, lines may be empty."""
+    rng = np.random.default_rng(7)
+    model = chain(3)
+    long = [prose(rng, 70), "\n" * 40, "a b\n" * 30 + prose(rng, 20) + "\n\na b", "x" * 500 + "\n" * 25 + "A 1 $"]
+    want = Q.text_odds(model, long)
+    for lines in (1, 2, 7, 24):
+        monkeypatch.setattr(Q, "PORTION_LINES", lines)
+        monkeypatch.setattr(Q.stretches, "__defaults__", (lines,))
+        assert ["\n".join(Q.stretches(text)) for text in long] == long
+        assert Q.text_odds(model, long) == pytest.approx(want, abs=1e-6)
+
+
+def test_memory_of_a_text_of_line_feeds():
+    import tracemalloc
+
+    model, text = chain(4), "\n" * 300_000
+    tracemalloc.start()
+    Q.text_odds(model, [text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
+
+
 def labelled(spark, n=600):
     rng = np.random.default_rng(11)
     rows = []
