@@ -25,6 +25,7 @@ QUERIES = {
 ORACLES = {
     "op3_line_dedup": line_dedup.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
+    "op7_quality_rules": quality_rules.ORACLE,
     "op10_license_scan": license_scan.ORACLE,
     "op12_merkle_manifest": merkle.ORACLE,
     "op13_spelling_variants": spelling.ORACLE,

@@ -59,6 +59,60 @@ def test_cutoffs_hold_the_risk(spark):
     assert rows[rows.lang == "xx"].kept.all()
 
 
+def plain_steps(rows):
+    """stratum -> step of (stratum, good, first step), by exact sums of binomial terms."""
+    strata = {x[0] for x in rows if x[1]}
+    out = {}
+    for name in strata:
+        good, bad = ([s for n, g, s in rows if n == name and g == want] for want in (True, False))
+        best = None
+        for i in range(Q.STEPS):
+            k, b, n = sum(s <= i for s in good), sum(s <= i for s in bad), len(good)
+            tail = sum(math.comb(n, x) * Q.RISK**x * (1 - Q.RISK) ** (n - x) for x in range(k + 1))
+            if tail > Q.ERROR / len(strata):
+                break
+            gain = b / len(bad) - k / n if bad else 0
+            if b and gain > 0 and (best is None or gain > best[0]):
+                best = (gain, i)
+        if best is not None:
+            out[name] = best[1]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_choice_of_steps(spark, seed):
+    """Steps against exact sums: strata with many, few and no labels, good documents that strict steps reject."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for name, n in (("a", 700), ("b", 120), ("c", 80), ("d", 3), ("e", 300)):
+        for _ in range(n):
+            good = bool(rng.random() < 0.8)
+            symbols = int(rng.choice([0, 0, 0, 4, 8, 30])) if good and name == "e" else (
+                0 if good and rng.random() < 0.99 else int(rng.choice([1, 8, 40, 180])))
+            rows.append((len(rows), name, symbols, good))
+    counts = spark.createDataFrame(rows, "doc_id long, stratum string, n_symbols long, good boolean").selectExpr(
+        "doc_id", "stratum", "n_symbols", "good", *[f"cast({v} as bigint) as {c}" for c, v in {
+            "n_words": 100, "word_chars": 400, "n_dup_lines": 0, "n_repeat_words": 0, "n_lines": 9, "n_marks": 0, "n_capitals": 0}.items()])
+    marks = counts.selectExpr("doc_id", "cast(good as int) as quality")
+    got = {r["stratum"]: r["step"] for r in Q.safe_steps(counts.drop("good"), marks).collect()}
+    cuts = Q.RULES["symbols_per_word"][2]
+    first = lambda n: next((i for i, c in enumerate(cuts) if n / 100 > c), Q.STEPS)
+    assert got == plain_steps([(name, good, first(n)) for _, name, n, good in rows]) and "a" in got and "d" not in got
+
+
+def test_false_rejection_on_held_back_documents(spark):
+    """Steps learned from half of the labels reject no more than the risk of the other half's good documents."""
+    folder = "/root/testdata/sf0.1"
+    docs, marks = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    half = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    out = Q.judged(docs, marks.where(half)).join(marks.where(~half), "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    rows = out.where("NOT base_failed").toPandas()
+    assert set(rows["lang"]) == {"de", "en", "es", "fr"}
+    for lang, part in rows.groupby("lang"):
+        good, bad = part[part.quality == 1], part[part.quality == 0]
+        assert (~good.kept).mean() <= Q.RISK and (~bad.kept).mean() > 0.9, lang
+
+
 def test_edges(spark):
     docs = table(spark, extra=True)
     marks = spark.createDataFrame([(0, 1), (0, 0), (None, 1), (1, None), (99_999, 0)], "doc_id long, quality int")
