@@ -25,9 +25,10 @@ SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SHORTEST = 16
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}")
 IDENTIFIER = re.compile(r"[A-Za-z0-9+/_=-]{4,}")
-#: Documents of the training sample, and random strings of each alphabet.
-SAMPLE_DOCS = 2_000
+#: Random strings of each alphabet in the labelled samples.
 SAMPLE_STRINGS = 2_000
+#: Characters of text whose strings are counted at once.
+PORTION = 1 << 18
 ALPHABETS = (
     "0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
@@ -38,7 +39,7 @@ ALPHABETS = (
 THRESHOLD = 12.0
 SEED = 7
 
-_CODE = np.full(128, -1, np.int64)
+_CODE = np.full(128, -1, np.int32)
 _CODE[[ord(c) for c in SYMBOLS]] = np.arange(len(SYMBOLS))
 _N = len(SYMBOLS)
 
@@ -53,11 +54,10 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def transitions(strings: list[str]) -> np.ndarray:
     """How often each symbol follows each other one; row _N holds the first symbols."""
-    counts = np.zeros((_N + 1, _N))
-    codes = np.frombuffer(("\n" + "\n".join(strings)).encode("ascii"), np.uint8)
-    after = _CODE[codes]
-    np.add.at(counts, (np.where(after[:-1] < 0, _N, after[:-1])[after[1:] >= 0], after[1:][after[1:] >= 0]), 1)
-    return counts
+    codes = _CODE[np.frombuffer(("\n" + "\n".join(strings)).encode("ascii"), np.uint8)]
+    last, after = codes[:-1], codes[1:]
+    pairs = np.where(last < 0, _N, last)[after >= 0] * _N + after[after >= 0]
+    return np.bincount(pairs, minlength=(_N + 1) * _N).reshape(_N + 1, _N).astype(float)
 
 
 def log_model(counts: np.ndarray) -> np.ndarray:
@@ -95,50 +95,95 @@ def scores(strings: list[str], ratio: np.ndarray) -> np.ndarray:
     return np.add.reduceat(ratio[before, codes], starts)
 
 
+def _parts(start: int, end: int, taken: list[tuple[int, int]], at: int) -> tuple[list[tuple[int, int]], int]:
+    """What is left of (start, end) outside the sorted, disjoint spans `taken`, of which those before `at` end before
+    it; and the first one that may matter to what follows."""
+    while at < len(taken) and taken[at][1] <= start:
+        at += 1
+    parts, i = [], at
+    while i < len(taken) and taken[i][0] < end:
+        if start < taken[i][0]:
+            parts.append((start, taken[i][0]))
+        start = max(start, taken[i][1])
+        i += 1
+    return (parts + [(start, end)] if start < end else parts), at
+
+
+def _merged(spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for start, end, _ in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
 def markov_spans(text: str, taken: list[tuple[int, int, str]], ratio: np.ndarray) -> list[tuple[int, int, str]]:
-    """Strings that the models call random, outside the spans found before."""
-    found = [(m.start(), m.end()) for m in CANDIDATE.finditer(text)]
-    found = [(a, z) for a, z in found if not any(a < end and start < z for start, end, _ in taken)]
+    """Strings that the models call random, but for what lies in the spans found before. A string that reaches into such
+    a span is judged as a whole; of a random one, those parts outside are added that are random rather than ordinary
+    by themselves too."""
+    found, at, spans = [], 0, _merged(taken)
+    for m in CANDIDATE.finditer(text):
+        parts, at = _parts(m.start(), m.end(), spans, at)
+        if parts:
+            found.append((m.start(), m.end(), parts))
     if not found:
         return []
-    high = scores([text[a:z] for a, z in found], ratio) >= THRESHOLD
-    return [(a, z, "markov") for (a, z), is_high in zip(found, high) if is_high]
+    high = scores([text[a:z] for a, z, _ in found], ratio) >= THRESHOLD
+    parts = [(a, z, (a, z) == (start, end)) for (start, end, parts), is_high in zip(found, high) if is_high for a, z in parts]
+    if not parts:
+        return []
+    own = scores([text[a:z] for a, z, _ in parts], ratio)
+    return [(a, z, "markov") for (a, z, whole), score in zip(parts, own) if whole or score > 0]
+
 
+def _random(text: str, spans: list[tuple[int, int, str]]) -> list[str]:
+    return [s for a, z, _ in spans for s in CANDIDATE.findall(text[a:z])]
 
-def _identifiers(text: str) -> list[str]:
+
+def _identifiers(text: str, spans: list[tuple[int, int, str]]) -> list[str]:
     """Words of a text outside the base spans, and compounds as programs use them."""
     edges, at = [], 0
-    for start, end, _ in sorted(base_spans(text)):
+    for start, end in _merged(spans):
         edges.append(text[at:start])
-        at = max(at, end)
+        at = end
     words = [w for part in [*edges, text[at:]] for w in IDENTIFIER.findall(part)]
     pairs = list(zip(words[::2], words[1::2]))
     return (words + [f"{a}_{b}".lower() for a, b in pairs] + [a + b.capitalize() for a, b in pairs]
-            + [f"{a}-{b}/{a}".lower() for a, b in pairs[:50]])
+            + [f"{a}-{b}/{a}".lower() for a, b in pairs])
+
+
+def text_transitions(texts: list[str]) -> np.ndarray:
+    """Transitions of the random strings and of the identifiers of texts, counted in portions."""
+    tables, strings, held = np.zeros((2, _N + 1, _N)), ([], []), 0
+    for i, text in enumerate(texts):
+        spans = base_spans(text)
+        strings[0].extend(_random(text, spans))
+        strings[1].extend(_identifiers(text, spans))
+        held += len(text)
+        if held >= PORTION or i == len(texts) - 1:
+            for table, some in zip(tables, strings):
+                table += transitions(some)
+                some.clear()
+            held = 0
+    return tables
 
 
 def trained_ratio(docs: DataFrame) -> np.ndarray:
     """log P(next | last) under the model of random strings less that under the model of identifiers.
 
-    Random strings are labelled by the rule that makes them and by the base patterns; identifiers are the
-    other words of SAMPLE_DOCS documents, those with the smallest hashes of their texts. Every task counts
-    transitions; what reaches the driver are the two tables of counts."""
-    rows = docs.select(body().alias("body")).withColumn("h", F.xxhash64("body"))
-    limit = rows.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
-    sample = rows.where(F.col("h") <= F.lit(limit if limit is not None else 0))
-    sample = sample.groupBy("h").agg(F.min("body").alias("body"))
-
+    Random strings are labelled by the rule that makes them and by the base patterns; identifiers are all other words
+    of all documents. Every task counts transitions; what reaches the driver are the two tables of counts."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tables = np.zeros((2, _N + 1, _N))
         for batch in batches:
-            for text in batch["body"]:
-                tables[0] += transitions([s for a, z, _ in base_spans(text) for s in CANDIDATE.findall(text[a:z])])
-                tables[1] += transitions(_identifiers(text))
+            tables += text_transitions(batch["body"].tolist())
         kind, last, next_ = np.nonzero(tables)
         yield pd.DataFrame({"kind": kind, "last": last, "next": next_, "n": tables[kind, last, next_]})
 
     tables = np.zeros((2, _N + 1, _N))
-    counted = sample.select("body").mapInPandas(count, "kind long, last long, next long, n double")
+    counted = docs.select(body().alias("body")).mapInPandas(count, "kind long, last long, next long, n double")
     for row in counted.groupBy("kind", "last", "next").agg(F.sum("n").alias("n")).collect():
         tables[row["kind"], row["last"], row["next"]] = row["n"]
     random = log_model(tables[0] + transitions(random_strings()))
