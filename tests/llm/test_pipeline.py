@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -81,11 +82,24 @@ def test_query_columns(spark, small):
         assert set(names.split()) <= set(query(spark, small).columns)
 
 
-def test_awkward_rows(spark, tmp_path):
+@pytest.mark.parametrize("kind", ["plain", "clashing columns", "null ids", "empty"])
+def test_awkward_rows(spark, tmp_path, kind):
+    """Every stage takes them and keeps the columns of documents as they are; only packing has its own."""
     folder = str(tmp_path)
-    table(spark).write.parquet(f"{folder}/documents.parquet")
+    docs = table(spark, [] if kind == "empty" else None, extra=kind == "clashing columns")
+    if kind == "null ids":
+        docs = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id")))
+    docs.write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(30)], "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
-    assert corpus_pipeline.run(spark, folder).count() > 0
+    now = spark.read.parquet(f"{folder}/documents.parquet")
+    extra = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    known = {tuple(r) for r in docs.select("doc_id", *extra).collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = saved(stage(spark, now, folder), "step")
+        assert now.dtypes == docs.dtypes, name
+        assert {tuple(r) for r in now.select("doc_id", *extra).collect()} <= known, name
+    n = corpus_pipeline.STAGES[-1][1](spark, now, folder).count()
+    assert n > 0 if kind != "empty" else n == 0
 
 
 def connect(folder):
