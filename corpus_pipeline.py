@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulwatch.llm import line_dedup, mixing, near_dedup, packing, quality_crf
-from haulwatch.llm.common import documents, labels, saved
+from haulwatch.llm.common import documents, labels, replaced
 from haulwatch.session import ship
 
 
@@ -19,13 +19,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the later copies of repeated line runs. A document that loses every word so is a copy and
     goes; one that had no words before stays. n_chars, where there is one, follows the text."""
-    rows = line_dedup.without_repeats(docs)
+    own = {c: f"_own_{c}" for c in ("n_lines", "n_removed", "runs") if c in docs.columns}
+    rows = line_dedup.without_repeats(docs.withColumnsRenamed(own))
     has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     rows = rows.where((F.col("n_removed") == 0) | has_words)
     length = F.length("text").cast(dict(docs.dtypes).get("n_chars", "long"))
     return rows.select(*[
-        F.when(F.col("n_removed") == 0, F.col(c)).otherwise(length).alias(c) if c == "n_chars" else c
-        for c in docs.columns])
+        F.when(F.col("n_removed") == 0, F.col(c)).otherwise(length).alias(c) if c == "n_chars" else
+        F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,8 +66,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder and read again."""
-    docs = documents(spark, sf_dir)
+    """All stages over documents, each written to the shared folder and read again; what a stage has read goes then."""
+    docs, path = documents(spark, sf_dir), None
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs, path = replaced(stage(spark, docs, sf_dir), name.replace(" ", "-"), path)
     return docs
