@@ -213,19 +213,29 @@ def oracle() -> str:
     lines = (f"list_filter(list_transform(string_split({flat}, chr(10)), lambda x: trim(x, ' ')), "
              f"lambda x: x <> '' AND NOT regexp_matches(x, {quote(RIGHTS)}))")
     split = r"regexp_split_to_array(coalesce(t, ''), '\n[\x20\x09-\x0D]*\n')"
-    units = f"SELECT k, list_transform({split}, lambda p: {lines}) AS ps FROM "
+    units = f"SELECT k, r, list_transform({split}, lambda p: {lines}) AS ps FROM "
+    joined = "list_filter(list_transform(ps, lambda p: array_to_string(p, ' ')), lambda p: p <> '')"
     return f"""
 WITH known(k, t) AS (VALUES {known}),
-known_units AS (SELECT DISTINCT k AS license_id, md5(array_to_string(flatten(ps), ' ')) AS digest
-    FROM ({units} known)),
-parts AS ({units} (SELECT doc_id AS k, text AS t FROM documents)),
+known_parts AS (SELECT k, flatten(ps) AS ls, {joined} AS pj FROM ({units} (SELECT k, t, 0 AS r FROM known))),
+known_units AS (SELECT DISTINCT k AS license_id, md5(array_to_string(ls, ' ')) AS digest FROM known_parts),
+firsts AS (SELECT DISTINCT pj[1] AS p FROM known_parts WHERE len(pj) > 1),
+lengths AS (SELECT DISTINCT len(pj) AS m FROM known_parts WHERE len(pj) > 1),
+parts AS (SELECT k, r, flatten(ps) AS ls, {joined} AS pj
+    FROM ({units} (SELECT doc_id AS k, text AS t, row_number() OVER () AS r FROM documents))),
+starts AS (SELECT r, i FROM (SELECT r, unnest(pj) AS p, generate_subscripts(pj, 1) AS i FROM parts) JOIN firsts USING (p)),
 units AS (
-    SELECT k, 'text' AS unit, array_to_string(flatten(ps), ' ') AS u FROM parts
-    UNION ALL SELECT k, 'paragraph', unnest(list_transform(ps, lambda p: array_to_string(p, ' '))) FROM parts
-    UNION ALL SELECT k, 'line', unnest(flatten(ps)) FROM parts),
+    SELECT k, r, 'text' AS unit, array_to_string(ls, ' ') AS u, 1 AS pos, len(pj) AS size FROM parts
+    UNION ALL SELECT k, r, 'paragraph', unnest(pj), NULL, NULL FROM parts
+    UNION ALL SELECT k, r, 'line', unnest(ls), NULL, NULL FROM parts
+    UNION ALL SELECT k, r, 'run', array_to_string(pj[i:i + m - 1], ' '), i, m
+        FROM parts JOIN starts USING (r), lengths WHERE m < len(pj) AND i + m <= len(pj) + 1),
+hits AS (SELECT *, max(pos + size) OVER (PARTITION BY r, license_id, pos IS NULL ORDER BY pos, size DESC
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS covered
+    FROM units JOIN known_units ON md5(u) = digest WHERE u <> ''),
 found AS (SELECT k, count(*) AS n, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS ids,
     bool_or(unit = 'text') AS whole
-    FROM units JOIN known_units ON md5(u) = digest WHERE u <> '' GROUP BY k)
+    FROM hits WHERE covered IS NULL OR covered < pos + size GROUP BY k)
 SELECT doc_id, coalesce(n, 0) AS n_matches, coalesce(ids, '') AS license_ids, coalesce(whole, false) AS is_license
 FROM documents LEFT JOIN found ON doc_id IS NOT DISTINCT FROM k
 """

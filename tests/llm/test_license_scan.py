@@ -40,6 +40,23 @@ def test_embedded_licences(spark):
     assert (0, 2, "MIT", False) in found and (4, 0, "", False) in found
 
 
+def test_sql_of_embedded_licences(spark):
+    """The SQL of the query finds runs of paragraphs too, and of runs inside each other the longest."""
+    import duckdb
+
+    rows = ["My tool\n\n" + L.MIT + "\n\nint main;", L.MIT, L.MIT + "\n\n" + L.MIT, "MIT License\n\n" + L.MIT + "\n\nx",
+            dict(L.TEXTS)["BSD-3-Clause"] + "\n\nand\n\n" + dict(L.TEXTS)["BSD-2-Clause"], "Released under the MIT License",
+            "a\n\nReleased under the MIT License.\n\nb", None, "", "plain"]
+    docs = table(spark, [*rows, rows[0]])
+    con = duckdb.connect()
+    con.register("docs", docs.select("doc_id", "text").toPandas())
+    con.sql("create view documents as select doc_id, text from docs")
+    got = sorted(tuple(r) for r in L.license_report(docs, L.known_licenses(spark)).collect())
+    rel = con.sql(L.ORACLE)
+    assert rel.columns == ["doc_id", "n_matches", "license_ids", "is_license"] and sorted(rel.fetchall()) == got
+    assert sum(n > 0 for _, n, _, _ in got) == 8
+
+
 def test_known_from_table(spark, tmp_path):
     text = "Own licence\n\nBe kind.\n\nStay kind."
     spark.createDataFrame([("Own", text)], "license_id string, text string").write.parquet(f"{tmp_path}/known")
