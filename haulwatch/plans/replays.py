@@ -27,13 +27,18 @@ Job = Callable[[DataFrame], DataFrame]
 
 def delivered(spark: SparkSession, folder: str, start: Callable, restarts: int = 1) -> str:
     """Delivers the positions of ``v_arrival`` and runs a stream over them until it has read all, ``restarts`` times for
-    each delivery. ``start(stream, path)`` gives the writer; the folder of its results is returned."""
+    each delivery. ``start(stream, path)`` gives the writer; the folder of its results is returned.
+
+    The parts of a state are dealt once, with the first checkpoint, and each costs a few files a micro-batch: the stream
+    has a session of its own, with as many parts as the cluster has cores."""
     path = new_shared_path(spark, "arrivals")
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     rows = view(spark, folder, "v_arrival").drop("delay")
     for arrival in range(ARRIVALS):
         rows.where(F.col("arrival") == arrival).drop("arrival").write.parquet(f"{path}/in/{arrival}")
         for _ in range(restarts):
-            live = spark.readStream.schema(rows.drop("arrival").schema).parquet(f"{path}/in/*")
+            live = session.readStream.schema(rows.drop("arrival").schema).parquet(f"{path}/in/*")
             writer = start(live, f"{path}/out").option("checkpointLocation", f"{path}/checkpoint")
             writer.trigger(availableNow=True).start().awaitTermination()
     return f"{path}/out"
@@ -76,14 +81,14 @@ def late_alarms(spark, folder):
 
 @register
 def late_trips(spark, folder):
-    sites = view(spark, folder, "v_site")
-    return streamed(spark, folder, lambda live: streams.trips(live, sites, allowance=ALLOWANCE))
+    sites = lambda live: view(live.sparkSession, folder, "v_site")
+    return streamed(spark, folder, lambda live: streams.trips(live, sites(live), allowance=ALLOWANCE))
 
 
 @register
 def late_dwell(spark, folder):
-    sites = view(spark, folder, "v_site")
-    return streamed(spark, folder, lambda live: streams.dwell(live, sites, allowance=ALLOWANCE))
+    sites = lambda live: view(live.sparkSession, folder, "v_site")
+    return streamed(spark, folder, lambda live: streams.dwell(live, sites(live), allowance=ALLOWANCE))
 
 
 @register
@@ -96,10 +101,9 @@ def checkpoint_restart(spark, folder):
 @register
 def dim_refresh(spark, folder):
     """Each position with the version of its vehicle at the position's own time, whenever it arrives."""
-    dim = RefreshedDim(lambda: view(spark, folder, "v_vehicle_versions"), seconds=0)
-
     def start(live: DataFrame, out: str):
         table = sinks.BatchTable(out)
+        dim = RefreshedDim(lambda: view(live.sparkSession, folder, "v_vehicle_versions"), seconds=0)
         join = lambda batch, versions: as_of(batch, versions, ["vehicle_id"], valid_to="valid_to")
         return live.select("event_id", "vehicle_id", "t_sec").writeStream.foreachBatch(
             per_batch(join, table.write, versions=dim))
