@@ -35,8 +35,9 @@ def ranked(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
 
     Rows are dealt to ranges of (key, order); a range counts its rows per key, and a row's rank is its place in its
     range after the counts of the ranges before it. So a key with most of the rows is spread like any other, and so
-    are rows that repeat all values, which change places freely."""
-    rows = rows.withColumn("_at", F.monotonically_increasing_id())
+    are rows that repeat all values, which change places freely. Rows are stored first: dealing to ranges reads them
+    twice, and what they were made from may be long."""
+    rows = saved(rows.withColumn("_at", F.monotonically_increasing_id()), "ranked")
     dealt = rows.repartitionByRange(*[F.col(c).asc_nulls_first() for c in (key, *order, "_at")])
     dealt = saved(dealt.withColumn("_range", F.spark_partition_id()), "dealt")
     counts = dealt.groupBy(key, "_range").agg(F.count(F.lit(1)).alias("_n"))
