@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from haulwatch.functions import timefn
 from haulwatch.operators.chains import ChainRule, greedy_chain
 from haulwatch.operators.clean import empty_flag, load_by_model
-from haulwatch.operators.ordered import DAY, episodes, timed, with_chunk, with_neighbours
+from haulwatch.operators.ordered import DAY, timed, with_chunk, with_neighbours
 from haulwatch.operators.proximity import audited_disposal, with_near_ids
 
 KEY = ["dept_id", "vehicle_id"]
@@ -150,11 +150,12 @@ def stop_episodes(tracks: DataFrame, gap: int = STOP_GAP_SECONDS, width: int = D
     """Stops that were seen through: standing from ``stop`` until the first moving position.
 
     A stop is followed while its positions are at most ``gap`` seconds apart and is reported when
-    a moving position comes less than ``gap`` seconds after the last one. What happened more than
-    ``gap`` seconds ago does not matter, so a chunk also sees the last seconds of the chunk before
-    and no state is carried."""
+    a moving position comes less than ``gap`` seconds after the last one. Whether a position starts, follows or ends a
+    stop depends on the one before it, so a chunk also sees the last ``gap`` seconds of the chunk before."""
     speed = F.col("speed")
-    rows = tracks.where((speed >= 0) & F.col("t_sec").isNotNull()).select(
+    # without nulls in the key both branches below read the same exchange
+    placed = F.col("dept_id").isNotNull() & F.col("vehicle_id").isNotNull() & F.col("t_sec").isNotNull()
+    rows = tracks.where((speed >= 0) & placed).select(
         *KEY, "t_sec", "event_id", "lng", "lat", (speed > 0).alias("_moving")
     )
     chunked = with_chunk(rows, width)
@@ -163,19 +164,27 @@ def stop_episodes(tracks: DataFrame, gap: int = STOP_GAP_SECONDS, width: int = D
     chunked = chunked.withColumn("_copy", F.explode(copies)).withColumn(
         "_chunk", F.col("_chunk") + F.col("_copy").cast("long")
     )
-    w = Window.partitionBy(*KEY, "_chunk").orderBy("t_sec", "event_id")
-    before = F.lag(F.struct("t_sec", "_moving")).over(w)
-    seen = chunked.withColumn("_b", before).where(~F.col("_copy"))
+    chunk = [*KEY, "_chunk"]
+    w = Window.partitionBy(*chunk).orderBy("t_sec", "event_id")
+    seen = chunked.withColumn("_b", F.lag(F.struct("t_sec", "_moving")).over(w))
     since = F.col("t_sec") - F.col("_b.t_sec")
     standing_before = F.col("_b").isNotNull() & ~F.col("_b._moving")
     follows = F.coalesce(standing_before & (since <= gap), F.lit(False))
-    starts = ~F.col("_moving") & ~follows
-    ends = F.col("_moving") & F.coalesce(standing_before & (since < gap), F.lit(False))
-    paired = episodes(seen, KEY, starts, ends, ["lng", "lat"], pick="last", width=width)
-    return paired.select(
+    starts = ~F.col("_moving") & ~follows & ~F.col("_copy")
+    ends = F.col("_moving") & F.coalesce(standing_before & (since < gap), F.lit(False)) & ~F.col("_copy")
+    place = F.struct("t_sec", "event_id", "lng", "lat")
+    seen = seen.withColumns({"_start": F.when(starts, place), "_ends": ends})
+    # a stop ends the last start before it: of its chunk, or else of the chunks before, one row for each of them
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = seen.withColumn("_open", F.last("_start", ignorenulls=True).over(so_far))
+    last = seen.groupBy(*chunk).agg(F.max("_start").alias("_last"))
+    across = Window.partitionBy(*KEY).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.withColumn("_before", F.last("_last", ignorenulls=True).over(across)).drop("_last")
+    done = seen.where("_ends").join(carried, chunk, "left").withColumn("opened", F.coalesce("_open", "_before"))
+    return done.where(F.col("opened").isNotNull()).select(
         *KEY, F.col("opened.t_sec").alias("stop_sec"), F.col("opened.lng").alias("stop_lng"),
-        F.col("opened.lat").alias("stop_lat"), F.col("closed.t_sec").alias("start_sec"),
-        F.col("closed.lng").alias("start_lng"), F.col("closed.lat").alias("start_lat"),
+        F.col("opened.lat").alias("stop_lat"), F.col("t_sec").alias("start_sec"), F.col("lng").alias("start_lng"),
+        F.col("lat").alias("start_lat"),
     )
 
 
