@@ -130,11 +130,13 @@ def _buckets(classes: DataFrame) -> DataFrame:
     """h, hub, node, n of the classes that share a band with another one. The hub of a bucket is the member that shares
     bands with the most classes in all, so that a text with many altered copies is the hub of most of them."""
     rows = classes.select("node", "n", F.explode("bands").alias("h"))
-    often = rows.groupBy("h").agg(F.count(F.lit(1)).alias("of")).where("of > 1")
+    # sums are tables of their own, so that Spark can split the rows of a hot bucket between tasks of a join
+    often = saved(rows.groupBy("h").agg(F.count(F.lit(1)).alias("of")).where("of > 1"), "often")
     rows = saved(rows.join(often, "h"), "buckets")
     rows = rows.join(rows.groupBy("node").agg(F.sum("of").alias("met")), "node")
     hubs = rows.groupBy("h").agg(F.max(F.struct("met", (-F.col("node")).alias("node"))).alias("best"))
-    return rows.join(hubs.select("h", (-F.col("best.node")).alias("hub")), "h").select("h", "hub", "node", "n")
+    hubs = saved(hubs.select("h", (-F.col("best.node")).alias("hub")), "hubs")
+    return rows.join(hubs, "h").select("h", "hub", "node", "n")
 
 
 def _block_links(group: pd.DataFrame, pct: int) -> pd.DataFrame:
@@ -182,6 +184,7 @@ def _other_links(members: DataFrame, sets: DataFrame, labels: DataFrame, pct: in
         F.count_if("out").alias("outs"), F.count(F.lit(1)).alias("all"),
         F.coalesce(F.sum(F.when(F.col("out"), F.col("n"))), F.lit(0)).alias("outs_n"), F.sum("n").alias("all_n"),
     ).where("outs > 0")
+    sizes = saved(sizes, "hub-sizes")
     rows = saved(rows.join(sizes, "hub").select("hub", "node", "label", "out", *[
         F.ceil(F.greatest(F.col(c) / BLOCK, F.col(f"{c}_n") / BLOCK_SHINGLES)).alias(c) for c in ("outs", "all")]),
         "mixed-buckets")
