@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwatch.llm.common import body, documents
+from haulwatch.llm.common import body, documents, saved
 
 
 def content_hash(text: Column) -> Column:
@@ -37,7 +37,8 @@ def exact_duplicates(docs: DataFrame, keep: str = "min",
     keyed = groups.groupBy("h", "s").agg(
         F.first("keep_id").alias("keep_id"), F.first("group_size").alias("group_size"),
         F.count(F.lit(1)).alias("texts"))
-    members = rows.drop("body").join(keyed, ["h", "s"])
+    # a table of its own: Spark can then split the rows of a hot group between tasks of the join
+    members = rows.drop("body").join(saved(keyed, "groups"), ["h", "s"])
     clash = F.raise_error(F.lit("different texts share both digests"))
     return members.select(
         "doc_id", "keep_id", F.when(F.col("texts") > 1, clash.cast("long")).otherwise(F.col("group_size"))
