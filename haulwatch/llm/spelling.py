@@ -194,7 +194,8 @@ def _links(words: DataFrame, size: int, last: bool, pairs: int) -> tuple[DataFra
         F.count(F.lit(1)).alias("size"), F.min("word").alias("word")), "reduced-words")
     near = classes.select(F.col("key").alias("near"), F.col("size").alias("near_size"))
     # the vocabulary's side has one row for each key, so no key can be hot in its hash table
-    met = _neighbours(classes, size).join(near.hint("shuffle_hash"), "near").where("key <= near")
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = _neighbours(classes.repartition(tasks, "key"), size).join(near.hint("shuffle_hash"), "near").where("key <= near")
     met = saved(met, "met")
     fits = F.lit(True) if last else F.col("size") * F.col("near_size") <= pairs
     left = keyed.select("key", F.col("word").alias("a"))
