@@ -5,21 +5,19 @@ from __future__ import annotations
 import heapq
 import json
 import os
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulwatch.llm.common import body, documents, hold
+from haulwatch.llm.common import body, documents, hold, in_slices
 
 #: Words of more symbols are merged with a heap: scanning all ranks for each merge would take quadratic time.
 SHORT = 64
 #: Characters of the words whose ids a Python worker remembers; beyond that it forgets all and begins anew.
 REMEMBERED = 3_000_000
-#: Characters of text that are encoded, ids that are decoded, and bytes of results that are handed over, at once.
+#: Characters of text that are encoded at once.
 STRETCH = 1_000_000
 #: No merge joins the two parts.
 NEVER = 1 << 60
@@ -158,44 +156,31 @@ def codec(file: str) -> Codec:
     return _CODECS[file]
 
 
-def _stretches(sizes: list[int]) -> Iterator[slice]:
-    """Parts of a batch of about STRETCH characters or ids."""
-    first, held = 0, 0
-    for at, size in enumerate(sizes):
-        held += size
-        if held >= STRETCH:
-            yield slice(first, at + 1)
-            first, held = at + 1, 0
-    if first < len(sizes):
-        yield slice(first, len(sizes))
-
-
 def encoded(docs: DataFrame, file: str) -> DataFrame:
     """doc_id, ids (little-endian unsigned 32-bit, as binary) of each row of docs(doc_id, text), as the library of the
     vocabulary file gives them without special tokens added. A null text is empty and has no ids. Rows that repeat
     are encoded each, a null doc_id is kept, other columns are ignored, an empty table gives no rows. A very long
     text is encoded in stretches; its ids are one value."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = codec(file)
-        for batch in batches:
-            for part in _stretches(batch["body"].str.len().tolist()):
-                rows = batch.iloc[part]
-                yield pd.DataFrame({"doc_id": rows["doc_id"], "ids": [own.encode(text) for text in rows["body"]]})
+        ids = [own.encode(text) for text in batch.column("body").to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", body().alias("body")).mapInPandas(run, f"doc_id {kind}, ids binary")
+    return in_slices(docs.select("doc_id", body().alias("body")), run, f"doc_id {kind}, ids binary")
 
 
-def decoded(file: str):
-    """A function of a column of ids (as `encoded` gives them) that gives their text, special tokens included; null
+def decoded(rows: DataFrame, file: str) -> DataFrame:
+    """rows(doc_id, ids), ids as `encoded` gives them, with the text that they decode to, special tokens included; null
     for null."""
-    @F.pandas_udf("string")
-    def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = codec(file)
-        for ids in batches:
-            yield ids.map(own.decode, na_action="ignore")
+        texts = [None if ids is None else own.decode(ids) for ids in batch.column("ids").to_pylist()]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
-    return text
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return in_slices(rows.select("doc_id", "ids"), run, f"doc_id {kind}, ids binary, text string")
 
 
 def n_tokens(ids: Column) -> Column:
@@ -212,7 +197,7 @@ def vocabulary() -> str:
 def op11_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
     file = vocabulary()
-    rows = encoded(documents(spark, sf_dir), file)
+    rows = decoded(encoded(documents(spark, sf_dir), file), file)
     return rows.select(
         "doc_id", n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(decoded(file)("ids"), 256).alias("decoded_sha256"))
+        F.sha2("text", 256).alias("decoded_sha256"))

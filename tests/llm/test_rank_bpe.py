@@ -62,8 +62,8 @@ def test_stretches_and_forgetting(library, monkeypatch):
 
 def test_rows(spark, library):
     docs = table(spark, extra=True).unionByName(table(spark, [None, "twice", "twice"], extra=True).withColumn("doc_id", F.lit(None).cast("long")))
-    rows = encoded(docs, vocabulary())
-    got = rows.select("doc_id", n_tokens(F.col("ids")).alias("n"), "ids", decoded(vocabulary())("ids").alias("text"))
+    rows = decoded(encoded(docs, vocabulary()), vocabulary())
+    got = rows.select("doc_id", n_tokens(F.col("ids")).alias("n"), "ids", "text")
     want = []
     for row in docs.collect():
         ids = library.encode(row["text"] or "", add_special_tokens=False).ids
@@ -73,8 +73,8 @@ def test_rows(spark, library):
 
 def test_empty_and_null(spark):
     assert encoded(table(spark, []), vocabulary()).count() == 0
-    nothing = spark.createDataFrame([(None,)], "ids binary")
-    assert nothing.select(decoded(vocabulary())("ids")).first()[0] is None
+    nothing = spark.createDataFrame([(None, None)], "doc_id long, ids binary")
+    assert decoded(nothing, vocabulary()).first()["text"] is None
 
 
 def test_query(spark, small, library):
