@@ -130,3 +130,18 @@ def test_options_of_the_database_scan():
         "partitionColumn": "id", "lowerBound": 1, "upperBound": 900, "numPartitions": 8}
     # a parallel scan needs its bounds
     assert scan(partition_column="id", partitions=8) == plain
+
+
+def test_tonnage_is_computed_once(spark, small, monkeypatch):
+    """What is written three times is read from where it was stored."""
+    from haulwatch.plans.registry import QUERIES
+
+    plans, write = [], sinks.overwrite_static
+
+    def seen(df, path, values):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write(df, path, values)
+
+    monkeypatch.setattr(sinks, "overwrite_static", seen)
+    assert QUERIES["overwrite_partition"](spark, small).count() == 2
+    assert len(plans) == 3 and not any("Join" in p or "Aggregate" in p for p in plans)
