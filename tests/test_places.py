@@ -165,3 +165,13 @@ def test_a_site_that_covers_a_cell_ends_its_list(spark):
         stop = min((rank for rank, covers in found if covers), default=(99, 0))
         assert kept[cell] == {rank for rank, _ in found if rank <= stop}
     assert sum(map(len, kept.values())) < len(pairs) / 2
+
+
+def test_pairs_of_sites_at_one_place(spark):
+    """Sites at one place, one of them listed twice, give a row each; a position meets their place once."""
+    sites = [(1, s, 2, 113.6, 34.7, 0) for s in (1, 2, 2, 3)] + [(1, 4, 2, 113.7, 34.7, 0)]
+    s, p = spark.createDataFrame(sites, SITES), spark.createDataFrame([(7, 1, 113.6, 34.7)], POINTS)
+    pairs = proximity.near_sites(p, s)
+    assert sorted((r.event_id, r.site_id) for r in pairs.collect()) == [(7, 1), (7, 2), (7, 2), (7, 3)]
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(_sites") < plan.index("Join Inner")
