@@ -334,3 +334,48 @@ def test_as_of_without_rows_or_versions(spark):
     none = spark.createDataFrame([], "k int, valid_from long, name string")
     assert [tuple(r) for r in as_of(rows, none, ["k"]).collect()] == [(1, 5, None, None)]
     assert as_of(rows.limit(0), none, ["k"]).count() == 0
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_vehicles_share_a_state(spark, tracks, in_order, tmp_path, buckets):
+    """A state holds the vehicles of a bucket, however many there are, and keeps them apart."""
+    live = stream(spark, in_order, tracks.schema)
+    stops = run_machine(clean.admitted(live), machines.StopMachine(gap=36000), KEY, "0 seconds", buckets=buckets)
+    query = stops.writeStream.format("parquet").option("path", f"{tmp_path}/out").option(
+        "checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    query.awaitTermination()
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert 0 < max(kept) <= buckets < tracks.select(*KEY).distinct().count()
+    same(spark.read.schema(stops.schema).parquet(f"{tmp_path}/out"), movement.stop_episodes(clean.admitted(tracks), 36000),
+         [*KEY, "stop_sec", "start_sec", "start_lng"])
+
+
+def test_large_ids_beside_late_positions(spark, tmp_path):
+    """Whole numbers stay exact in a bucket that also reports positions without any."""
+    big = 2**60 + 1
+    places = [(1, big, 1_000, 0.0, 0), (2, 2, 9_000, 1.0, 0), (1, 3, 500, 0.0, 1), (2, big + 2, 99_000, 1.0, 1)]
+    rows = spark.createDataFrame([(0, v, i, t, s, 113.6, 34.7, n) for v, i, t, s, n in places],
+                                 "dept_id int, vehicle_id long, event_id long, t_sec long, speed double, lng double, lat double, n int")
+    path = files(rows, f"{tmp_path}/in", "n", 2)
+    live = run_machine(stream(spark, path, rows.drop("n").schema), machines.OnlineMachine(), KEY, "0 seconds", True, buckets=1)
+    done, late = split_late(run(spark, live, tmp_path)[0], KEY)
+    assert sorted(r.event_id for r in done.collect()) == [2, big, big + 2]
+    assert [(r.vehicle_id, r.event_id, r.reason) for r in late.collect()] == [(1, 3, "late")]
+
+
+def test_dwell_of_sites_at_one_place(spark, tmp_path):
+    """Sites at one place are one visit until it is over; one that has a second place is followed for itself."""
+    at = {"A": (113.6, 34.7), "B": (113.7, 34.7)}
+    sites = spark.createDataFrame([(s, 0, 2, 0, "1", *at[p]) for s, p in ((5, "A"), (6, "A"), (7, "B"), (9, "A"), (9, "B"))],
+                                  "site_id long, dept_id int, site_flag int, is_delete int, audit_state string, lng double, lat double")
+    way = [("A", 100), ("A", 300), ("B", 400), ("B", 800), (None, 900), (None, 1_300)]
+    rows = spark.createDataFrame([(0, 1, i, t, *at.get(p, (113.8, 34.7)), "1", "1", 0) for i, (p, t) in enumerate(way)],
+                                 "dept_id int, vehicle_id long, event_id long, t_sec long, lng double, lat double, manage_state string, audit_state string, n int")
+    path = files(rows, f"{tmp_path}/in", "n", 1)
+    live = streams.dwell(stream(spark, path, rows.drop("n").schema), sites, **IN_ORDER)
+    done, _ = run(spark, live, tmp_path)
+    assert sorted((r.site_id, r.enter_sec, r.exit_sec) for r in done.collect()) == [
+        (5, 100, 400), (6, 100, 400), (7, 400, 900), (9, 100, 900)]
+    places, members = proximity.together(sites)
+    assert sorted(r.site_id for r in places.collect()) == [5, 7, 9, 9]
+    assert sorted((r.group_id, r.site_id) for r in members.collect()) == [(5, 5), (5, 6), (7, 7), (9, 9)]
