@@ -175,3 +175,23 @@ def test_pairs_of_sites_at_one_place(spark):
     assert sorted((r.event_id, r.site_id) for r in pairs.collect()) == [(7, 1), (7, 2), (7, 2), (7, 3)]
     plan = pairs._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("explode(_sites") < plan.index("Join Inner")
+
+
+def test_first_forbidden_site_of_a_place(spark):
+    """The smallest id without a permit, of sites at one place and of one that has two, whatever the permits."""
+    sites = [(5, 0, "A"), (6, 0, "A"), (8, 0, "A"), (3, 0, "B"), (9, 0, "A"), (9, 0, "B"), (5, 1, "A"), (6, 1, "A")]
+    at = {"A": (113.6, 34.7), "B": (113.7, 34.7)}
+    s = spark.createDataFrame([(i, f"s{i}", d, 2, 0, "1", *at[p]) for i, d, p in sites],
+                              "site_id long, site_name string, dept_id int, site_flag int, is_delete int, audit_state string, lng double, lat double")
+    permits = {1: [], 2: [5], 3: [5, 6], 4: [6, 8], 5: [5, 6, 8, 9], 6: [9, 3], 7: [3, 5, 6, 8, 9]}
+    cards = spark.createDataFrame([(v, i, 0) for v, ids in permits.items() for i in ids], "vehicle_id long, disposal_site_id long, state int")
+    rows = [(d, v, 10 * v + n + 100 * d, 1_000 * n, *at[p]) for d in (0, 1) for v in permits for n, p in enumerate("AB")]
+    tracks = spark.createDataFrame(rows, "dept_id int, vehicle_id long, event_id long, t_sec long, lng double, lat double")
+    points = alarms.illegal_disposal_points(tracks, s, cards)
+    want = []
+    for d, v, event, _, x, y in rows:
+        free = [i for i, sd, p in sites if sd == d and at[p] == (x, y) and i not in permits[v]]
+        want += [(event, min(free))] if free else []
+    assert sorted((r.start_event_id, r.site_id) for r in points.collect()) == sorted(want)
+    joined = points._jdf.queryExecution().optimizedPlan().toString()
+    assert "_firsts" in joined
