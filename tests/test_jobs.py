@@ -145,3 +145,26 @@ def test_tonnage_is_computed_once(spark, small, monkeypatch):
     monkeypatch.setattr(sinks, "overwrite_static", seen)
     assert QUERIES["overwrite_partition"](spark, small).count() == 2
     assert len(plans) == 3 and not any("Join" in p or "Aggregate" in p for p in plans)
+
+
+def test_rank_levels_from_two_shuffles(spark):
+    """The six levels equal the rank tables, with vehicles and names missing; no row is copied per level."""
+    made = []
+    for i in range(300):
+        vehicle = None if i % 11 == 0 else i % 7
+        made.append((vehicle, None if i % 5 == 0 else f"car {i % 7}", i % 4, f"firm {i % 3}", f"0{i % 3}", None if i % 3 else "x",
+                     None if i % 13 == 0 else float(i), float(i % 9), str(i % 2), None if i % 17 == 0 else "c", "a", i % 2))
+    detail = spark.createDataFrame(made, "vehicle_id long, car_card_number string, transport_enterprise_id long, enterprise_name string, "
+                                   "illegal_id string, illegal_name string, enterprise_final_score double, "
+                                   "vehicle_driver_final_score double, province_id string, city_id string, area_id string, dept_id int")
+    found = violations.rank_grouping_sets(detail)
+    assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
+    tables_ = {"type": violations.rank_by_type, "enterprise": violations.rank_by_enterprise,
+               "enterprise_type": violations.rank_by_enterprise_type, "vehicle": violations.rank_by_vehicle,
+               "vehicle_type": violations.rank_by_vehicle_type, "total": violations.rank_total}
+    for level, operator in tables_.items():
+        want = operator(detail)
+        got = found.where(F.col("level") == level)
+        assert rows(got, *want.columns) == rows(want, *want.columns)
+    firms = found.where("level = 'enterprise_type'").groupBy().agg(F.max("illegal_vehicle_count")).first()[0]
+    assert firms and found.where("level = 'total'").select(F.max("illegal_vehicle_count")).first()[0] == 7
