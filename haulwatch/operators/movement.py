@@ -10,6 +10,7 @@ from haulwatch.operators.chains import ChainRule, greedy_chain
 from haulwatch.operators.clean import empty_flag, load_by_model
 from haulwatch.operators.ordered import DAY, timed, with_chunk, with_neighbours
 from haulwatch.operators.proximity import audited_disposal, with_near_ids
+from haulwatch.session import dealt
 
 KEY = ["dept_id", "vehicle_id"]
 
@@ -50,7 +51,8 @@ def trips(sited: DataFrame, strict: bool = False, carry: tuple[str, ...] = TRIP_
     rule = ChainRule(gap=TRIP_GAP_SECONDS, other_label=True, reopen="next")
     links = greedy_chain(kept, KEY, rule, label="site_id", reset="_outside", out="_left", width=7 * DAY)
     end = F.struct("t_sec", *site_cols, *more)
-    paired = links.groupBy(*KEY, "link_t", "link_seq").agg(
+    pair = [*KEY, "link_t", "link_seq"]
+    paired = dealt(links, *pair).groupBy(*pair).agg(
         F.max(F.when(F.col("role") == "open", end)).alias("o"),
         F.max(F.when(F.col("role") == "close", end)).alias("c"),
         F.max("worked_t").alias("from_site_work_sec"), F.max("leave_t").alias("from_site_leave_sec"),

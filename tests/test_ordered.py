@@ -170,3 +170,13 @@ def test_daily_rule_of_document_control(spark):
     rows = [(1, 1, "0119", t, i) for i, t in enumerate([10, 90000, 90001, 86400 * 3])]
     df = spark.createDataFrame(rows, "dept_id int, vehicle_id long, illegal_type_code string, start_sec long, start_event_id long")
     assert sorted(r.start_sec for r in alarms.thin_alarms(df).collect()) == [10, 90000, 86400 * 3]
+
+
+def test_wide_rows_are_dealt_to_all_parts(spark, small):
+    """Neighbours, chains and trips sort their rows in the parts that were asked for, not in one per core."""
+    from haulwatch.plans.registry import QUERIES
+
+    plan = QUERIES["trips"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    by_number = [line for line in plan.splitlines() if "REPARTITION_BY_NUM" in line]
+    assert not any("REPARTITION_BY_COL" in line and "_row" not in line and "_halo" in line for line in plan.splitlines())
+    assert len(by_number) >= 4
