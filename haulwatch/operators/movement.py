@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,10 +25,7 @@ TRIP_CARRY = (
 )
 
 
-def trips(
-    sited: DataFrame, strict: bool = False, carry: tuple[str, ...] = TRIP_CARRY,
-    lookup: Callable[[DataFrame], DataFrame] | None = None,
-) -> DataFrame:
+def trips(sited: DataFrame, strict: bool = False, carry: tuple[str, ...] = TRIP_CARRY) -> DataFrame:
     """Trips from site to site out of positions with ``site_*`` columns.
 
     A stay opens at a position inside a site. It closes at the first position inside another
@@ -39,26 +34,21 @@ def trips(
     time. With ``strict`` they do: the open stay is replaced by the outside position, so the
     following trip has no origin (and is removed by :func:`clean.valid_trips`).
 
-    ``carry`` names the columns a trip takes over; the load needs ``vehicle_model_id``. ``lookup`` joins those that
-    the positions do not have yet. It is given only the positions that can open or close a stay, so that the sort of
-    all positions is one of narrow rows."""
+    ``carry`` names the columns a trip takes over; the load needs ``vehicle_model_id``."""
     site_cols = [c for c in sited.columns if c.startswith("site_")]
     more = list(carry)
+    # No trip takes anything over from a position outside. Its columns are one null while all positions are sorted.
     outside = F.col("site_id").isNull()
-    # no trip ends outside, so what a trip takes over need not be kept there
-    own = [F.when(~outside, F.col(c)).alias(c) for c in more if c in sited.columns or lookup is None]
-    rows = sited.select(*KEY, "t_sec", "event_id", *own, *site_cols, outside.alias("_outside"))
-    rows = with_neighbours(rows, KEY, ["t_sec", "_outside"])
+    place = F.when(~outside, F.struct(*site_cols, *more)).alias("_place")
+    rows = with_neighbours(
+        sited.select(*KEY, "t_sec", "event_id", place, outside.alias("_outside")), KEY, ["t_sec", "_outside"])
     if strict:
         # Of consecutive outside positions only the last one can matter.
         kept = rows.where(~F.col("_outside") | ~F.col("next._outside"))
         kept = kept.withColumn("_left", F.lit(None).cast("long"))
     else:
         kept = rows.where(~F.col("_outside")).withColumn("_left", F.when(F.col("next._outside"), F.col("next.t_sec")))
-    kept = kept.drop("prev", "next")
-    if lookup is not None:
-        # in a stage of its own: a side that is broadcast counts beside the sort of the stage it is in
-        kept = lookup(dealt(kept, *KEY, "t_sec")).select(*kept.columns, *[c for c in more if c not in kept.columns])
+    kept = kept.select(*KEY, "t_sec", "event_id", "_outside", "_left", "_place.*")
     rule = ChainRule(gap=TRIP_GAP_SECONDS, other_label=True, reopen="next")
     links = greedy_chain(kept, KEY, rule, label="site_id", reset="_outside", out="_left", width=7 * DAY)
     end = F.struct("t_sec", *site_cols, *more)

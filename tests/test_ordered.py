@@ -182,33 +182,14 @@ def test_wide_rows_are_dealt_to_all_parts(spark, small):
     assert len(by_number) >= 4
 
 
-@pytest.mark.parametrize("strict", [False, True])
-def test_trips_look_up_only_what_they_take_over(spark, strict):
-    """Only positions that can open or close a stay meet the vehicles, and the trips are those of looking up all."""
-    df = spark.createDataFrame(made_rows(3), SCHEMA)
-    vehicles = [(1, v, "16" if v % 2 else "17", v % 3) for v in range(9)]
-    known = spark.createDataFrame([*vehicles, vehicles[0]], "dept_id int, vehicle_id long, vehicle_model_id string, enterprise_id int")
-    given, carry = [], ("vehicle_model_id", "enterprise_id")
-
-    def lookup(some):
-        given.append(some)
-        return some.join(known, KEY, "left")
-
-    got = movement.trips(df, strict, carry, lookup)
-    want = movement.trips(df.join(known, KEY, "left"), strict, carry)
-    assert got.columns == want.columns
-    assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
-    road = df.where("site_id is null").count()
-    assert len(given) == 1 and given[0].where("site_id is null").count() < (road if strict else 1)
-
-
-def test_neighbours_of_trips_are_narrow_rows(spark, small):
-    """No vehicle is joined to a position before the sort of all positions."""
-    from haulwatch.plans.registry import QUERIES
-
-    for name in ("trips", "valid_trips"):
-        above = []  # names of the operators on the way to a line, by depth
-        for line in QUERIES[name](spark, small)._jdf.queryExecution().optimizedPlan().toString().splitlines():
-            depth = len(line) - len(line.lstrip(" :+-"))
-            above = [a for a in above if a[0] < depth] + [(depth, line.strip(" :+-").split()[0])]
-            assert "c_custkey" not in line or "Window" not in [a[1] for a in above]
+def test_positions_outside_are_sorted_without_what_trips_take_over(spark, monkeypatch):
+    """While all positions are sorted, one outside all sites has its key, its order and a null; one inside has all."""
+    seen, neighbours = [], movement.with_neighbours
+    monkeypatch.setattr(movement, "with_neighbours", lambda df, *a: neighbours(seen.append(df) or df, *a))
+    df = spark.createDataFrame(made_rows(3), SCHEMA).withColumn("vehicle_model_id", F.lit("16"))
+    got = movement.trips(df, carry=("vehicle_model_id",))
+    assert {r.load for r in got.collect()} == {19.32}
+    row = {r._outside: r.asDict() for r in seen[0].collect()}
+    filled = {c for c, v in row[True].items() if v is not None}
+    assert filled == {*KEY, "t_sec", "event_id", "_outside"} and len(row[True]) == 6
+    assert row[False]["_place"].vehicle_model_id == "16" and row[False]["_place"].site_id is not None
